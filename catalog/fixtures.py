@@ -123,3 +123,55 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("caplen").alias("origlen"),
         F.unhex(F.rpad(frame, F.col("caplen") * 2, F.lit("0"))).alias("data"),
     )
+
+
+def session_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session file names, one per direction seen."""
+    name = F.concat(
+        F.col("class"), F.lit(".pcap."), F.when(F.col("proto") == TCP, "TCP").otherwise("UDP"),
+        F.lit("_"), F.replace("src_ip", F.lit("."), F.lit("-")), F.lit("_"), F.col("src_port"),
+        F.lit("_"), F.replace("dst_ip", F.lit("."), F.lit("-")), F.lit("_"), F.col("dst_port"),
+        F.lit(".pcap"),
+    )
+    return packet_rows(spark, sf_dir).select(name.alias("file_name")).distinct()
+
+
+def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics per directional session id; ids whose digest starts with 0 are left out.
+
+    The smallest packet key of an id stands for its row number in the file.
+    """
+    flow_id = F.concat_ws("-", "src_ip", "dst_ip", "src_port", "dst_port", "proto")
+    grouped = (
+        packet_rows(spark, sf_dir)
+        .withColumn("Flow ID", flow_id)
+        .groupBy("class", "Flow ID", "src_ip", "proto")
+        .agg(
+            F.min("pkt_key").alias("row_no"),
+            F.count("*").alias("Tot Pkts"),
+            F.sum("caplen").alias("Tot Bytes"),
+            F.min("ts_us").alias("Timestamp"),
+        )
+    )
+    n, total = F.col("Tot Pkts"), F.col("Tot Bytes")
+    return grouped.where(~F.md5("Flow ID").startswith("0")).select(
+        "class", "row_no", "Flow ID", F.col("src_ip").alias("Src IP"),
+        F.col("proto").alias("Protocol"), "Timestamp", "Tot Pkts", "Tot Bytes",
+        (total / n).alias("Mean Bytes"),
+        (total.cast("double") * 4096).alias("Bulk"),
+        (n / F.lit(8192.0)).alias("Rate"),
+        (n / F.lit(1048576.0)).alias("Small Rate"),
+        F.when(n % 5 != 0, total.cast("double")).alias("Idle"),
+        F.when(F.col("proto") == TCP, "stream").otherwise("datagram").alias("Kind"),
+        F.lit("BENIGN").alias("Label"),
+    )
+
+
+def named_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with one of nine dataset names each, two of them unknown to the task table."""
+    names = [
+        "ustc-tfc-2016", "iscx-botnet", "iscx-vpn-2016", "lfett-2021", "dohbrw-2020",
+        "iscx-tor-2016", "dapt-2020", "cross-platform", "other",
+    ]
+    chosen = F.element_at(F.array(*[F.lit(x) for x in names]), (F.col("doc_id") % 9 + 1).cast("int"))
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", chosen.alias("dataset_name"))

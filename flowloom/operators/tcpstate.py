@@ -6,7 +6,7 @@ Meant for sessions already cut to their first packets; every window is over
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from flowloom.operators.sessions import KEY
@@ -14,13 +14,14 @@ from flowloom.operators.sessions import KEY
 SEQ_MODULUS = 1 << 32
 SEQ_HALF = 1 << 31
 
-SO_FAR = Window.partitionBy(*KEY).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-BEFORE = Window.partitionBy(*KEY).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-WHOLE = (
-    Window.partitionBy(*KEY)
-    .orderBy("pos")
-    .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-)
+
+def session_frame(first: int, last: int) -> WindowSpec:
+    """Packets of the row's session from ``first`` to ``last``, counted from the row."""
+    return Window.partitionBy(*KEY).orderBy("pos").rowsBetween(first, last)
+
+
+def so_far() -> WindowSpec:
+    return session_frame(Window.unboundedPreceding, 0)
 
 
 def _relative(number: Column, base: Column) -> Column:
@@ -46,13 +47,16 @@ def with_tcp_state(packets: DataFrame) -> DataFrame:
     """
     first = lambda c: F.first(c, ignorenulls=True)
     has_data = F.col("tcp_len") > 0
+    until_now = so_far()
+    before = session_frame(Window.unboundedPreceding, -1)
+    whole = session_frame(Window.unboundedPreceding, Window.unboundedFollowing)
     based = packets.withColumns(
         {
-            "_base": _per_direction(first, F.col("seq"), WHOLE, True),
-            "_peer_base": _per_direction(first, F.col("seq"), WHOLE, False),
-            "_wscale": _per_direction(F.max, F.col("wscale"), WHOLE, True),
-            "_peer_wscale": _per_direction(F.max, F.col("wscale"), WHOLE, False),
-            "_sent": _per_direction(F.sum, F.col("tcp_len"), SO_FAR, True),
+            "_base": _per_direction(first, F.col("seq"), whole, True),
+            "_peer_base": _per_direction(first, F.col("seq"), whole, False),
+            "_wscale": _per_direction(F.max, F.col("wscale"), whole, True),
+            "_peer_wscale": _per_direction(F.max, F.col("wscale"), whole, False),
+            "_sent": _per_direction(F.sum, F.col("tcp_len"), until_now, True),
         }
     )
     relative = based.withColumns(
@@ -66,12 +70,12 @@ def with_tcp_state(packets: DataFrame) -> DataFrame:
     end = F.col("_seq") + F.col("tcp_len")
     running = relative.withColumns(
         {
-            "_end_before": _per_direction(F.max, F.when(has_data, end), BEFORE, True),
-            "_end_max": _per_direction(F.max, end, SO_FAR, True),
-            "_start": _per_direction(F.min, F.col("_seq"), SO_FAR, True),
-            "_acked": _per_direction(F.max, F.col("_rel_ack"), SO_FAR, False),
+            "_end_before": _per_direction(F.max, F.when(has_data, end), before, True),
+            "_end_max": _per_direction(F.max, end, until_now, True),
+            "_start": _per_direction(F.min, F.col("_seq"), until_now, True),
+            "_acked": _per_direction(F.max, F.col("_rel_ack"), until_now, False),
             "_at_push": _per_direction(
-                F.max, F.when(F.col("is_psh") == 1, F.col("_sent")), BEFORE, True
+                F.max, F.when(F.col("is_psh") == 1, F.col("_sent")), before, True
             ),
         }
     )
@@ -96,7 +100,7 @@ def with_tcp_state(packets: DataFrame) -> DataFrame:
             }
         )
         .withColumn(
-            "stream_run", F.coalesce(_per_direction(F.sum, F.col("_gap"), SO_FAR, True), zero)
+            "stream_run", F.coalesce(_per_direction(F.sum, F.col("_gap"), until_now, True), zero)
         )
         .drop(
             "_base", "_peer_base", "_wscale", "_peer_wscale", "_sent", "_seq", "_rel_ack",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.functions.bytefields import hex_at, uint_at
-from flowloom.operators.tcpstate import SO_FAR
+from flowloom.operators.tcpstate import so_far
 
 # TLS record header layout and limits.
 HEADER_BYTES = 5
@@ -75,8 +75,8 @@ def with_tls_records(packets: DataFrame) -> DataFrame:
             .alias("bytes"),
         ),
     )
-    ahead = F.collect_list(F.when(F.col("forward"), fresh)).over(SO_FAR)
-    back = F.collect_list(F.when(~F.col("forward"), fresh)).over(SO_FAR)
+    ahead = F.collect_list(F.when(F.col("forward"), fresh)).over(so_far())
+    back = F.collect_list(F.when(~F.col("forward"), fresh)).over(so_far())
     own = F.when(F.col("forward"), ahead).otherwise(back)
     size = lambda s: (F.length(s) / 2).cast("int")
     segments = F.transform(
