@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.operators.endpoints import TCP, UDP
+from flowloom.plans.staging import spread, stage_table
 
 PACKET_ORDER = ["ts_us", "pkt_key"]
 
@@ -63,7 +64,7 @@ def _byte(value: str | int, n: int = 1) -> Column:
 
 def packet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header values and payload of each packet, without the frame."""
-    base = table(spark, sf_dir, "lineitem").select(
+    base = spread(table(spark, sf_dir, "lineitem")).select(
         "*", F.col("l_returnflag").alias("class"),
         *[F.expr(sql).alias(name) for name, sql in PACKET_COLUMNS.items()],
     )
@@ -84,8 +85,19 @@ def packet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_STAGED: dict[tuple[str, str], DataFrame] = {}
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Packets as captured: ``class, capture, capture_pos, ts_us, caplen, origlen, data``.
+    """The captured packets of all ``lineitem`` rows, built once per application and staged."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGED:
+        _STAGED[key] = stage_table(build_frames(spark, sf_dir), "frames")
+    return _STAGED[key]
+
+
+def build_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets as captured: ``class, capture, pkt_key, ts_us, caplen, origlen, data``.
 
     Frames are zero-padded to ``caplen`` as Ethernet pads short frames.
     """

@@ -1,7 +1,9 @@
 """Integer and text fields cut out of a hex string, addressed by byte offset.
 
-Every offset may be a Python int or a Column; a field that lies beyond the end
-of the string is null.
+Offsets may be Python ints or Columns. A field beyond the end of the string is
+null or empty, one across the end is cut short: callers check the length of the
+packet once instead of once per field, which keeps the generated code small
+enough for the JVM to compile.
 """
 
 from __future__ import annotations
@@ -15,9 +17,9 @@ def _col(value: int | Column) -> Column:
 
 
 def hex_at(h: Column, offset: int | Column, n: int | Column) -> Column:
-    """``n`` bytes at ``offset`` as hex digits, or null when fewer than ``n`` are there."""
-    part = F.substring(h, _col(offset) * 2 + 1, _col(n) * 2)
-    return F.when(F.length(part) == _col(n) * 2, part)
+    """Hex digits of ``n`` bytes at ``offset``."""
+    start = F.lit(offset * 2 + 1) if isinstance(offset, int) else offset * 2 + 1
+    return F.substring(h, start, _col(n) * 2 if isinstance(n, Column) else F.lit(n * 2))
 
 
 def uint_at(h: Column, offset: int | Column, n: int) -> Column:
@@ -27,14 +29,12 @@ def uint_at(h: Column, offset: int | Column, n: int) -> Column:
 
 def ipv4_text(h: Column, offset: int | Column) -> Column:
     """Dotted quad of the four bytes at ``offset``."""
-    quad = [uint_at(h, _col(offset) + i, 1).cast("string") for i in range(4)]
-    return F.when(quad[3].isNotNull(), F.concat_ws(".", *quad))
+    return F.concat_ws(".", *[F.conv(hex_at(h, offset + i, 1), 16, 10) for i in range(4)])
 
 
 def ipv6_text(h: Column, offset: int | Column) -> Column:
     """Eight colon-separated lower-case groups, not shortened."""
-    groups = [F.lower(hex_at(h, _col(offset) + 2 * i, 2)) for i in range(8)]
-    return F.when(groups[7].isNotNull(), F.concat_ws(":", *groups))
+    return F.lower(F.regexp_replace(hex_at(h, offset, 16), "(.{4})(?!$)", "$1:"))
 
 
 def hex_literal(value: Column, digits: int) -> Column:

@@ -30,55 +30,46 @@ def with_endpoints(packets: DataFrame) -> DataFrame:
     ``ip0`` and ``l4`` are byte offsets of the network and transport headers.
     ``l4`` and the ports are null for anything but unfragmented TCP and UDP.
     """
-    h = F.col("_h")
+    h, ip0, tags = F.col("_h"), F.col("ip0"), F.col("vlan_tags")
+    proto, l4 = F.col("proto"), F.col("l4")
+    v4, v6 = F.col("ip_version") == 4, F.col("ip_version") == 6
     link = F.col("linktype") if "linktype" in packets.columns else F.lit(LINK_ETHERNET)
     ethernet = link == LINK_ETHERNET
     tag1 = ethernet & hex_at(h, 12, 2).isin(*VLAN_TYPES)
     tag2 = tag1 & hex_at(h, 16, 2).isin(*VLAN_TYPES)
-    tagged = (
+    # One byte of the network header decides; Ethernet names the same protocol before it.
+    network = F.when(link == LINK_RAW_IP, hex_at(h, 0, 1).substr(1, 1)).otherwise(
+        F.concat(hex_at(h, ip0 - 2, 2), hex_at(h, ip0, 1).substr(1, 1))
+    )
+    offset_bits = uint_at(h, ip0 + 6, 2).bitwiseAND(0x1FFF)
+    ihl = (uint_at(h, ip0, 1).bitwiseAND(15) * 4).cast("int")
+    carried = proto.isin(TCP, UDP) & (v6 | (offset_bits == 0))
+    ended = (
         packets.withColumn("_h", F.hex(F.substring("data", 1, _LOOKAHEAD)))
         .withColumn("vlan_tags", F.when(tag2, 2).when(tag1, 1).otherwise(0))
+        .withColumn("ip0", F.when(ethernet, tags * 4 + 14).when(link == LINK_RAW_IP, 0))
         .withColumn(
-            "ip0",
-            F.when(ethernet, 14 + 4 * F.col("vlan_tags")).when(link == LINK_RAW_IP, 0).cast("int"),
+            "ip_version",
+            F.when(network.isin("4", ETHERTYPE_IPV4 + "4"), 4).when(
+                network.isin("6", ETHERTYPE_IPV6 + "6"), 6
+            ),
         )
+        .withColumn("proto", uint_at(h, F.when(v4, ip0 + 9).when(v6, ip0 + 6), 1).cast("int"))
+        .withColumn("_src", F.when(v4, ip0 + 12).when(v6, ip0 + 8))
+        .withColumn("l4", F.when(carried, ip0 + F.when(v6, 40).otherwise(ihl)))
+        # A packet cut off before its ports has no transport header for us.
+        .withColumn("l4", F.when(F.octet_length("data") >= l4 + 4, l4))
     )
-    ip0 = F.col("ip0")
-    nibble = hex_at(h, ip0, 1).substr(1, 1)
-    ethertype = hex_at(h, ip0 - 2, 2)
-    network = tagged.withColumn(
-        "ip_version",
-        F.when((nibble == "4") & (~ethernet | (ethertype == ETHERTYPE_IPV4)), 4).when(
-            (nibble == "6") & (~ethernet | (ethertype == ETHERTYPE_IPV6)), 6
-        ),
-    )
-    v4 = F.col("ip_version") == 4
-    v6 = F.col("ip_version") == 6
-    fragment_offset = uint_at(h, ip0 + 6, 2).bitwiseAND(0x1FFF)
-    transport = network.withColumn(
-        "proto",
-        F.when(v4, uint_at(h, ip0 + 9, 1)).when(v6, uint_at(h, ip0 + 6, 1)).cast("int"),
-    ).withColumn(
-        "l4",
-        F.when(
-            F.col("proto").isin(TCP, UDP),
-            F.when(
-                v4 & (fragment_offset == 0),
-                ip0 + uint_at(h, ip0, 1).bitwiseAND(15).cast("int") * 4,
-            ).when(v6, ip0 + 40),
-        ),
-    )
-    l4 = F.col("l4")
-    ended = transport.withColumn("l4", F.when(F.octet_length("data") >= l4 + 4, l4))
+    src = F.col("_src")
     decoded = F.struct(
         "vlan_tags",
         "ip_version",
         "ip0",
         "l4",
         "proto",
-        F.when(v4, ipv4_text(h, ip0 + 12)).when(v6, ipv6_text(h, ip0 + 8)).alias("src_ip"),
+        F.when(v4, ipv4_text(h, src)).when(v6, ipv6_text(h, src)).alias("src_ip"),
         uint_at(h, l4, 2).cast("int").alias("src_port"),
-        F.when(v4, ipv4_text(h, ip0 + 16)).when(v6, ipv6_text(h, ip0 + 24)).alias("dst_ip"),
+        F.when(v4, ipv4_text(h, src + 4)).when(v6, ipv6_text(h, src + 16)).alias("dst_ip"),
         uint_at(h, l4 + 2, 2).cast("int").alias("dst_port"),
     )
     # Filters on the decoded columns stay above the generator. Pushed below it, they would

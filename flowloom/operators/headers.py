@@ -117,12 +117,14 @@ def _flags_text(flags: Column) -> Column:
 
 def _with_layers(kept: DataFrame) -> DataFrame:
     """Raw header numbers, transport payload and per-session times."""
-    h, o = F.col("_h"), F.col("_o")
+    h, t, o = F.col("_h"), F.col("_t"), F.col("_o")
     tcp, udp, v4 = F.col("proto") == TCP, F.col("proto") == UDP, F.col("ip_version") == 4
     by_pos = Window.partitionBy(*KEY).orderBy("pos")
     cut = (
         kept.withColumn("_h", F.hex(F.substring("data", F.col("ip0") + 1, F.lit(_HEADERS))))
         .withColumn("_o", F.col("l4") - F.col("ip0"))
+        # Transport fields stay null unless the whole fixed header was captured.
+        .withColumn("_t", F.when(F.length(h) >= (o + F.when(tcp, 20).otherwise(8)) * 2, h))
         .withColumns(
             {
                 "time_delta_us": F.col("ts_us") - F.lag("ts_us", 1).over(by_pos),
@@ -134,13 +136,13 @@ def _with_layers(kept: DataFrame) -> DataFrame:
     named = cut.withColumn(
         "_ip_len",
         F.when(v4, uint_at(h, 2, 2)).when(F.col("ip_version") == 6, uint_at(h, 4, 2) + 40),
-    ).withColumn("_thl", F.when(tcp, F.shiftright(uint_at(h, o + 12, 1), 4) * 4))
+    ).withColumn("_thl", F.when(tcp, F.shiftright(uint_at(t, o + 12, 1), 4) * 4))
     rest = F.col("origlen") - F.col("l4")
     l4_len = F.when(F.col("_ip_len") > o, F.col("_ip_len") - o).otherwise(rest)
     measured = (
         named.withColumn("tcp_len", F.when(tcp, F.greatest(l4_len - F.col("_thl"), F.lit(0))))
-        .withColumn("_udp_len", F.when(udp, uint_at(h, o + 4, 2)))
-        .withColumn("_flags", F.when(tcp, uint_at(h, o + 12, 2).bitwiseAND(0xFFF)))
+        .withColumn("_udp_len", F.when(udp, uint_at(t, o + 4, 2)))
+        .withColumn("_flags", F.when(tcp, uint_at(t, o + 12, 2).bitwiseAND(0xFFF)))
     )
     start = F.when(tcp, F.col("l4") + F.col("_thl")).when(udp, F.col("l4") + 8)
     length = F.when(tcp, F.col("tcp_len")).when(udp, F.greatest(F.col("_udp_len") - 8, F.lit(0)))
@@ -150,9 +152,9 @@ def _with_layers(kept: DataFrame) -> DataFrame:
             "payload_hex",
             F.lower(F.hex(F.substring("data", start.cast("int") + 1, length.cast("int")))),
         )
-        .withColumn("seq", F.when(tcp, uint_at(h, o + 4, 4)))
-        .withColumn("ack", F.when(tcp, uint_at(h, o + 8, 4)))
-        .withColumn("window", F.when(tcp, uint_at(h, o + 14, 2)))
+        .withColumn("seq", F.when(tcp, uint_at(t, o + 4, 4)))
+        .withColumn("ack", F.when(tcp, uint_at(t, o + 8, 4)))
+        .withColumn("window", F.when(tcp, uint_at(t, o + 14, 2)))
         .withColumn("is_ack", bit(flags, 0x10))
         .withColumn("is_psh", bit(flags, 0x08))
         .withColumn("is_syn", bit(flags, 0x02))
@@ -160,7 +162,7 @@ def _with_layers(kept: DataFrame) -> DataFrame:
             "wscale",
             F.when(
                 (F.col("is_syn") == 1) & (F.col("_thl") > 20),
-                _window_scale(F.substring(h, (o + 20) * 2 + 1, (F.col("_thl").cast("int") - 20) * 2)),
+                _window_scale(F.substring(t, (o + 20) * 2 + 1, (F.col("_thl").cast("int") - 20) * 2)),
             ),
         )
         .drop("data")
