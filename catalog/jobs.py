@@ -163,8 +163,8 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dataset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole dataset build: frames to instructed, labelled text rows."""
     labels = labelling.label_dictionary(surviving_sessions(_sessions(spark, sf_dir)))
-    records = _records(spark, sf_dir).withColumn("task", labelling.task_of(F.lit("dohbrw-2020")))
-    rows = labelling.dataset_rows(records, labels, labelling.templates(spark))
+    template = labelling.template_of(labelling.TASK_OF_DATASET["dohbrw-2020"])
+    rows = labelling.dataset_rows(_records(spark, sf_dir), labels, template)
     return _ints(rows, "labels")
 
 

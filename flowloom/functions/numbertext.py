@@ -32,18 +32,41 @@ def float_text(x: Column) -> Column:
     )
 
 
-def value_text(x: Column, dtype: T.DataType) -> Column:
-    """Text of one statistics value; missing values read ``nan``."""
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return float_text(x)
-    if isinstance(dtype, T.BooleanType):
-        return F.when(x.isNull(), "nan").when(x, "True").otherwise("False")
-    return F.coalesce(x.cast("string"), F.lit("nan"))
+def row_values(columns: list[tuple[str, T.DataType]]) -> Column:
+    """Array with the text of each column; missing values read ``nan``.
+
+    All floating-point columns go through one lambda, so the generated code does
+    not grow with the long number-formatting rule for every column.
+    """
+    floats = [c for c, dtype in columns if isinstance(dtype, (T.DoubleType, T.FloatType))]
+    place = {c: i for i, c in enumerate(floats)}
+    texts = F.transform(
+        F.array(*[F.col(f"`{c}`").cast("double") for c in floats]), lambda x: float_text(x)
+    )
+
+    def text(name: str, dtype: T.DataType) -> Column:
+        x = F.col(f"`{name}`")
+        if name in place:
+            return F.get(texts, F.lit(place[name]))
+        if isinstance(dtype, T.BooleanType):
+            return F.when(x.isNull(), "nan").when(x, "True").otherwise("False")
+        return F.coalesce(x.cast("string"), F.lit("nan"))
+
+    return F.array(*[text(c, dtype) for c, dtype in columns])
+
+
+def named_values(names: list[str], values: Column) -> Column:
+    """``name: value`` pairs joined by ``, ``; null values are left out."""
+    heads = F.array(*[F.lit(f"{n}: ") for n in names])
+    return F.array_join(F.zip_with(heads, values, lambda n, v: F.concat(n, v)), ", ")
 
 
 def seconds_text(us: Column) -> Column:
     """Microseconds as seconds with six decimals."""
-    whole = F.floor(F.abs(us) / 1_000_000).cast("bigint")
-    rest = (F.abs(us) - whole * 1_000_000).cast("string")
-    text = F.concat(whole.cast("string"), F.lit("."), F.lpad(rest, 6, "0"))
-    return F.when(us < 0, F.concat(F.lit("-"), text)).otherwise(text)
+    size = F.abs(us)
+    return F.concat(
+        F.when(us < 0, "-").otherwise(""),
+        F.call_function("div", size, F.lit(1_000_000)).cast("string"),
+        F.lit("."),
+        F.lpad((size % 1_000_000).cast("string"), 6, "0"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.functions.numbertext import value_text
+from flowloom.functions.numbertext import named_values, row_values
 from flowloom.operators.endpoints import TCP, UDP, flow_key
 from flowloom.operators.sessions import KEY
 
@@ -68,35 +68,40 @@ def flow_id_key(flow_id: Column) -> Column:
     return F.when(flow_id.rlike(FLOW_ID_PATTERN), canonical).otherwise(flow_id)
 
 
-def feature_columns(statistics: DataFrame, extra: tuple[str, ...] = ("class", "row_no")) -> list[str]:
+def feature_columns(statistics: DataFrame) -> list[str]:
     """Statistics columns to render, in file order."""
-    skipped = {*EXCLUDED_COLUMNS, *extra}
+    skipped = {*EXCLUDED_COLUMNS, *KEY, "row_no"}
     return [c for c in statistics.columns if c not in skipped]
 
 
-def feature_text(statistics: DataFrame) -> DataFrame:
+def feature_text(statistics: DataFrame, keep: list[str] = []) -> DataFrame:
     """``class, flow_id, row_no, features``: every feature as ``column: value``, ``, `` between."""
     types = {f.name: f.dataType for f in statistics.schema.fields}
-    pairs = [
-        F.concat(F.lit(f"{c}: "), value_text(F.col(f"`{c}`"), types[c]))
-        for c in feature_columns(statistics)
-    ]
+    names = feature_columns(statistics)
+    values = row_values([(c, types[c]) for c in names])
     return statistics.select(
-        "class", F.col(f"`{FLOW_ID}`").alias("flow_id"), "row_no", F.concat_ws(", ", *pairs).alias("features")
+        "class",
+        *keep,
+        F.col(f"`{FLOW_ID}`").alias("flow_id"),
+        "row_no",
+        named_values(names, values).alias("features"),
     )
 
 
 def first_features(statistics: DataFrame) -> DataFrame:
     """One row per session key: the features of its first row in file order, either direction.
 
-    ``min_by`` combines before the shuffle, so an id with very many rows stays cheap.
+    ``min_by`` combines before the shuffle, so an id with very many rows stays
+    cheap, and only the rows that remain are rendered.
     """
-    return (
-        feature_text(statistics)
-        .withColumn("flow_key", flow_id_key(F.col("flow_id")))
+    row = F.struct(*[F.col(f"`{c}`") for c in statistics.columns if c != "class"])
+    first = (
+        statistics.withColumn("flow_key", flow_id_key(F.col(f"`{FLOW_ID}`")))
         .groupBy(*KEY)
-        .agg(F.min_by("features", "row_no").alias("features"))
+        .agg(F.min_by(row, "row_no").alias("_row"))
+        .select(*KEY, "_row.*")
     )
+    return feature_text(first, ["flow_key"]).select(*KEY, "features")
 
 
 def join_features(sessions: DataFrame, statistics: DataFrame) -> DataFrame:

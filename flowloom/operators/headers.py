@@ -63,6 +63,18 @@ FIELDS = [
     "udp.time_delta",
     "udp.payload",
 ]
+TEXT_FIELDS = {
+    "frame.protocols",
+    "ip.dsfield",
+    "ip.flags",
+    "tcp.flags",
+    "tcp.flags.str",
+    "tls.record.content_type",
+    "tls.record.version",
+    "tls.record.length",
+    "tcp.payload",
+    "udp.payload",
+}
 # One letter per TCP flag bit, from bit 11 down, and the mark of an unset bit.
 FLAG_LETTERS = "RRRACEUAPRSF"
 FLAG_UNSET = "·"
@@ -79,6 +91,7 @@ def column_of(field: str) -> str:
 
 
 HEADER_COLUMNS = [column_of(f) for f in FIELDS]
+TEXT_COLUMNS = {column_of(f) for f in TEXT_FIELDS}
 
 
 def _window_scale(options: Column) -> Column:
@@ -246,13 +259,8 @@ def decode_headers(kept: DataFrame) -> DataFrame:
         "udp_time_delta_us": F.when(udp, delta),
         "udp_payload": F.when(udp & (F.col("payload_hex") != ""), F.col("payload_hex")),
     }
-    text = {
-        "frame_protocols", "ip_dsfield", "ip_flags", "tcp_flags", "tcp_flags_str",
-        "tls_record_content_type", "tls_record_version", "tls_record_length", "tcp_payload",
-        "udp_payload",
-    }
     passed = [c for c in kept.columns if c not in HEADER_COLUMNS and c != "data"]
     typed = [
-        values[c].cast("string" if c in text else "bigint").alias(c) for c in HEADER_COLUMNS
+        values[c].cast("string" if c in TEXT_COLUMNS else "bigint").alias(c) for c in HEADER_COLUMNS
     ]
     return layered.select(*passed, *typed)

@@ -70,7 +70,7 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def task_of(dataset_name: Column) -> Column:
-    """Task code of a dataset name."""
+    """Task code of a column of dataset names."""
     codes = F.create_map(*[F.lit(x) for pair in TASK_OF_DATASET.items() for x in pair])
     return F.coalesce(F.try_element_at(codes, dataset_name), F.lit(DEFAULT_TASK))
 
@@ -106,19 +106,33 @@ def with_instruction(
     )
 
 
+def template_of(
+    task: str, rows: list[tuple[str, str, str]] = TASK_TEMPLATES, granularity: str = GRANULARITY
+) -> tuple[str, str]:
+    """Instruction (granularity filled in) and label format of one task."""
+    for code, instruction, label_format in rows:
+        if code == task:
+            return instruction.replace("{granularity}", granularity), label_format
+    raise ValueError(f"no template for task {task}")
+
+
 def dataset_rows(
     sessions: DataFrame,
     labels: DataFrame,
-    task_templates: DataFrame,
+    template: tuple[str, str],
     granularity: str = GRANULARITY,
 ) -> DataFrame:
-    """``class, flow_key, inputs, labels, str_labels`` from sessions with ``task`` and ``text``."""
-    mark = INPUT_MARK.replace("{granularity}", granularity)
+    """``class, flow_key, inputs, labels, str_labels`` of one task from sessions with ``text``.
+
+    Only the class dictionary is joined; the template of a task is a constant.
+    """
+    instruction, label_format = template
+    head = instruction + INPUT_MARK.replace("{granularity}", granularity)
     named = labels.withColumnRenamed("str_label", "class")
-    return with_instruction(join_staged(sessions, named, ["class"]), task_templates, granularity).select(
+    return join_staged(sessions, named, ["class"]).select(
         "class",
         "flow_key",
-        F.concat("instruction", F.lit(mark), "text").alias("inputs"),
+        F.concat(F.lit(head), "text").alias("inputs"),
         F.col("label").alias("labels"),
-        F.replace("label_format", F.lit("{label}"), F.col("class")).alias("str_labels"),
+        F.replace(F.lit(label_format), F.lit("{label}"), F.col("class")).alias("str_labels"),
     )

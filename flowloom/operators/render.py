@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.functions.numbertext import seconds_text
-from flowloom.operators.headers import FIELDS, column_of
+from flowloom.functions.numbertext import named_values, seconds_text
+from flowloom.operators.headers import FIELDS, TEXT_COLUMNS, column_of
 from flowloom.operators.sessions import KEY
 
 # Fixed values of the record format. The feature mark starts with a backslash and the letter n.
@@ -16,20 +16,20 @@ PAYLOAD_DIGITS = 128
 PAYLOAD_FIELDS = ("tcp.payload", "udp.payload")
 
 
-def _field_text(field: str) -> Column:
+def _field_value(field: str) -> Column:
     name = column_of(field)
     value = F.col(name)
     if name.endswith("_us"):
-        value = seconds_text(value)
-    elif field in PAYLOAD_FIELDS:
+        return seconds_text(value)
+    if field in PAYLOAD_FIELDS:
         value = F.substring(value, 1, PAYLOAD_DIGITS)
-    value = value.cast("string")
-    return F.when(value != "", F.concat(F.lit(f"{field}: "), value))
+    return F.nullif(value, F.lit("")) if name in TEXT_COLUMNS else value.cast("string")
 
 
 def packet_text(headers: DataFrame, fields: list[str] = FIELDS) -> DataFrame:
     """Add ``text``: ``field: value`` pairs joined by ``, ``; empty fields are left out."""
-    return headers.withColumn("text", F.concat_ws(", ", *[_field_text(f) for f in fields]))
+    values = F.array(*[_field_value(f) for f in fields])
+    return headers.withColumn("text", named_values(fields, values))
 
 
 def session_text(packets: DataFrame) -> DataFrame:

@@ -9,11 +9,13 @@ from flowloom.operators.endpoints import with_endpoints, is_forward
 from flowloom.operators.features import join_features, parse_flow_name
 from flowloom.operators.headers import decode_headers
 from flowloom.operators.labelling import (
+    DEFAULT_TASK,
     GRANULARITY,
+    TASK_OF_DATASET,
+    TASK_TEMPLATES,
     dataset_rows,
     label_dictionary,
-    task_of,
-    templates,
+    template_of,
 )
 from flowloom.operators.modelling import fit_select, report_test, save_model
 from flowloom.operators.render import packet_text, session_text, with_feature_text
@@ -28,6 +30,7 @@ from flowloom.operators.sessions import (
     session_positions,
 )
 from flowloom.operators.splitting import MAX_PER_CLASS, SEED, split_assign
+from flowloom.plans.ranks import slice_positions
 from flowloom.plans.staging import stage_table
 from flowloom.sources.captures import (
     decode_captures,
@@ -39,20 +42,24 @@ from flowloom.sources.captures import (
 from flowloom.sources.datasets import read_dataset, write_dataset, write_dataset_csv, write_labels
 
 
+def staged_sessions(spark: SparkSession, input_path: str) -> DataFrame:
+    """Packets of raw captures with their session, decoded once and staged.
+
+    What follows reads the table twice: totals of all packets from a few narrow
+    columns, and the bytes of the first packets only.
+    """
+    packets = good_packets(read_captures(spark, input_path, class_from="file"))
+    return stage_table(assign_sessions(packets), "sessions")
+
+
 def split_captures(spark: SparkSession, input_path: str, output_path: str) -> None:
     """Cut raw captures ``<class>.pcap`` into sessions stored as capture contents."""
-    packets = stage_table(
-        good_packets(read_captures(spark, input_path, class_from="file")), "packets"
-    )
-    write_captures(session_positions(assign_sessions(packets)), output_path)
+    write_captures(session_positions(staged_sessions(spark, input_path)), output_path)
 
 
 def packets_of_captures(spark: SparkSession, input_path: str) -> DataFrame:
-    """Kept packets of raw captures. Packets are decoded once and staged; two steps read them."""
-    packets = stage_table(
-        good_packets(read_captures(spark, input_path, class_from="file")), "packets"
-    )
-    return kept_packets(assign_sessions(packets))
+    """Kept packets of raw captures."""
+    return kept_packets(staged_sessions(spark, input_path))
 
 
 def packets_of_session_files(spark: SparkSession, flow_path: str) -> DataFrame:
@@ -63,7 +70,6 @@ def packets_of_session_files(spark: SparkSession, flow_path: str) -> DataFrame:
     """
     files = list_captures(spark, flow_path).where(F.col("length") >= MIN_CAPTURE_BYTES)
     packets = good_packets(decode_captures(files, max_packets=FIRST_PACKETS))
-    named = parse_flow_name(packets.select("capture").withColumn("file_name", F.col("capture")))
     named = packets.withColumn("file_name", F.col("capture")).withColumnRenamed("class", "_class")
     keyed = (
         parse_flow_name(named)
@@ -89,7 +95,7 @@ def build_dataset(
     statistics: DataFrame,
     dataset_name: str,
     output_path: str,
-    task_templates: DataFrame | None = None,
+    task_templates: list[tuple[str, str, str]] = TASK_TEMPLATES,
     granularity: str = GRANULARITY,
     cap: int = MAX_PER_CLASS,
     seed: int = SEED,
@@ -105,9 +111,9 @@ def build_dataset(
     records = stage_table(session_records(kept, statistics), "sessions")
     labels = stage_table(label_dictionary(records), "labels")
     write_labels(labels, f"{output_path}/label")
-    tasks = records.withColumn("task", task_of(F.lit(dataset_name)))
-    prompts = task_templates if task_templates is not None else templates(spark)
-    dataset_rows(tasks, labels, prompts, granularity).write.mode("overwrite").parquet(
+    task = TASK_OF_DATASET.get(dataset_name, DEFAULT_TASK)
+    template = template_of(task, task_templates, granularity)
+    dataset_rows(records, labels, template, granularity).write.mode("overwrite").parquet(
         f"{output_path}/data"
     )
     rows = spark.read.parquet(f"{output_path}/data")
@@ -133,24 +139,25 @@ def write_splits(
 
 
 def resplit_dataset(
-    rows: DataFrame, output_path: str, cap: int = MAX_PER_CLASS, seed: int = SEED
+    rows: DataFrame, output_path: str, cap: int = MAX_PER_CLASS, seed: int = SEED, csv: bool = False
 ) -> None:
     """Split a stored dataset anew by its ``labels``; rows without a label are left out.
 
-    A dataset read from files has no key of its own, so the digest of the row
-    and its number among equal rows stand in.
+    Rows with a ``flow_key`` keep it as their key. Otherwise the key is the digest
+    of the row and its number among equal rows; equal rows are numbered partition
+    by partition, so very many copies of one row are no hot group.
     """
-    digest = F.md5(F.concat_ws("\u0001", "inputs", F.col("labels").cast("string"), "str_labels"))
-    keyed = rows.withColumn("_digest", digest)
     if "flow_key" in rows.columns:
-        write_splits(rows, output_path, "labels", KEY, cap, seed)
+        write_splits(rows, output_path, "labels", KEY, cap, seed, csv=csv)
         return
-    same = Window.partitionBy("_digest", "_part").orderBy(F.lit(1))
-    numbered = keyed.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_copy", F.row_number().over(same)
+    text = F.to_json(F.struct("inputs", "labels", "str_labels"))
+    staged = stage_table(
+        rows.withColumn("_digest", F.md5(text)).withColumn("_part", F.spark_partition_id()), "rows"
+    )
+    numbered = slice_positions(staged, ["_digest"], F.col("_part"), ["_digest"], "_copy")
+    write_splits(
+        numbered.drop("_part"), output_path, "labels", ["_digest", "_copy"], cap, seed, csv=csv
     )
-    staged = stage_table(numbered, "numbered")
-    write_splits(staged, output_path, "labels", ["_digest", "_part", "_copy"], cap, seed)
 
 
 def train_and_evaluate(
