@@ -7,28 +7,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Texts up to this long have at most 15 digits, which no shorter text can stand for.
+_SHORT_TEXT = 16
+
+
 def float_text(x: Column) -> Column:
-    """Shortest decimal text: ``10000000.0``, ``1e-05``, ``nan``, ``-inf``."""
+    """Shortest decimal text: ``10000000.0``, ``1e-05``, ``nan``, ``-inf``.
+
+    The JVM may spell a value with more digits than needed, so longer texts are
+    replaced by the first of 15, 16 or 17 digits that reads back as the value. From
+    1e16 on, the last digit may rarely differ by one from the closest such text.
+    """
     x = x.cast("double")
     raw = x.cast("string")
     size = F.abs(x)
-    # Scale 22 keeps every digit of values down to 1e-4 and leaves 16 integer digits.
-    plain = F.regexp_replace(
-        F.regexp_replace(raw.try_cast("decimal(38,22)").cast("string"), "0+$", ""), r"\.$", ".0"
-    )
-    mantissa = F.regexp_replace(F.regexp_extract(raw, "^([^E]*)E", 1), r"\.0$", "")
-    power = F.regexp_extract(raw, "E(-?[0-9]+)$", 1).try_cast("int")
-    sign = F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+"))
-    digits = F.abs(power).cast("string")
-    scientific = F.concat(
-        mantissa, sign, F.when(F.length(digits) < 2, F.concat(F.lit("0"), digits)).otherwise(digits)
+    digits15, digits16, digits17 = [F.format_string(f"%.{n}e", x) for n in (14, 15, 16)]
+    # The formatter rounds halves of the printed digits up; the value may lie below.
+    below16 = F.regexp_replace(digits17, ".e", "e")
+    shortest = (
+        F.when(digits15.try_cast("double") == x, digits15)
+        .when(digits16.try_cast("double") == x, digits16)
+        .when(below16.try_cast("double") == x, below16)
+        .otherwise(digits17)
     )
+    # Scale 22 keeps every digit of values down to 1e-4 and leaves 16 integer digits.
+    fixed = shortest.try_cast("decimal(38,22)").cast("string")
+    plain = F.regexp_replace(F.regexp_replace(fixed, "0+$", ""), r"\.$", ".0")
     return (
         F.when(x.isNull() | F.isnan(x), "nan")
         .when(size == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
-        .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), raw)
+        .when(
+            (size == 0) | ((size >= 1e-3) & (size < 1e7) & (F.length(raw) <= _SHORT_TEXT)), raw
+        )
         .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(scientific)
+        .otherwise(F.regexp_replace(shortest, r"\.?0*e", "e"))
     )
 
 

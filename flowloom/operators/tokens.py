@@ -61,11 +61,13 @@ def encode_tokens(
     placed = (
         rows.select(*key, first.alias("_tokens"))
         .repartition(*key)
-        .select(*key, F.posexplode_outer("_tokens").alias("_pos", "token"))
+        .select(*key, F.posexplode_outer("_tokens").alias("_pos", "_token"))
     )
-    known = join_staged(placed, vocabulary.select("token", "id"), ["token"], "left")
+    ids = vocabulary.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
+    known = join_staged(placed, ids, ["_token"], "left")
     word = F.when(
-        F.col("token").isNotNull(), F.struct("_pos", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id"))
+        F.col("_token").isNotNull(),
+        F.struct("_pos", F.coalesce("_id", F.lit(UNKNOWN_ID)).alias("id")),
     )
     gathered = known.groupBy(*key).agg(
         F.transform(F.sort_array(F.collect_list(word)), lambda w: w["id"]).alias("ids")
