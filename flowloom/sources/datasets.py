@@ -9,16 +9,14 @@ from pyspark.sql import functions as F
 DATASET_SCHEMA = "inputs string, labels int, str_labels string"
 SPLIT_NAMES = ("train", "val", "test")
 
-# Quotes are doubled; blanks at the ends of a text are kept.
+# Quotes are doubled; blanks at the ends of a text are kept. A missing value is written as
+# nothing and an empty text as a pair of quotes, which is how Spark tells them apart.
 _CSV = {
     "header": "true",
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    # A missing label differs from an empty one.
-    "nullValue": "",
-    "emptyValue": '""',
 }
 _ROWS_PER_FILE = 200_000
 
