@@ -150,7 +150,7 @@ def instruction_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = fixtures.named_datasets(spark, sf_dir).withColumn(
         "task", labelling.task_of(F.col("dataset_name"))
     )
-    return labelling.with_instruction(named, labelling.templates(spark)).select(
+    return labelling.with_instruction(named).select(
         "doc_id", "task", "instruction",
         F.replace("label_format", F.lit("{label}"), F.col("lang")).alias("str_labels"),
     )

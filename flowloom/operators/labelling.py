@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.plans.staging import join_staged
@@ -62,13 +62,6 @@ TASK_TEMPLATES = [
 INPUT_MARK = "\\n<{granularity}>: "
 
 
-def templates(spark: SparkSession) -> DataFrame:
-    """``task, instruction, label_format``: eight rows at most, or a table of the caller's own."""
-    return spark.createDataFrame(
-        TASK_TEMPLATES, "task string, instruction string, label_format string"
-    )
-
-
 def task_of(dataset_name: Column) -> Column:
     """Task code of a column of dataset names."""
     codes = F.create_map(*[F.lit(x) for pair in TASK_OF_DATASET.items() for x in pair])
@@ -91,26 +84,31 @@ def label_dictionary(classes: DataFrame, name: str = "class") -> DataFrame:
 
 
 def with_instruction(
-    rows: DataFrame, task_templates: DataFrame, granularity: str = GRANULARITY
+    rows: DataFrame,
+    templates: list[tuple[str, str, str]] = TASK_TEMPLATES,
+    granularity: str = GRANULARITY,
 ) -> DataFrame:
     """Add ``instruction, label_format`` for the ``task`` of each row.
 
-    The template table has one row per task, so it is broadcast. A task without a
-    template is an error of the caller.
+    The few templates are constants of the plan. A task without one is an error
+    of the caller.
     """
-    matched = rows.join(F.broadcast(task_templates), "task", "left")
-    filled = F.replace("instruction", F.lit("{granularity}"), F.lit(granularity))
     missing = F.raise_error(F.concat(F.lit("no template for task "), F.col("task")))
-    return matched.withColumn(
-        "instruction", F.when(F.col("instruction").isNull(), missing).otherwise(filled)
-    )
+
+    def constant(part: int) -> Column:
+        texts = F.create_map(*[F.lit(x) for row in templates for x in (row[0], row[part])])
+        return F.coalesce(F.try_element_at(texts, F.col("task")), missing)
+
+    return rows.withColumn(
+        "instruction", F.replace(constant(1), F.lit("{granularity}"), F.lit(granularity))
+    ).withColumn("label_format", constant(2))
 
 
 def template_of(
-    task: str, rows: list[tuple[str, str, str]] = TASK_TEMPLATES, granularity: str = GRANULARITY
+    task: str, templates: list[tuple[str, str, str]] = TASK_TEMPLATES, granularity: str = GRANULARITY
 ) -> tuple[str, str]:
     """Instruction (granularity filled in) and label format of one task."""
-    for code, instruction, label_format in rows:
+    for code, instruction, label_format in templates:
         if code == task:
             return instruction.replace("{granularity}", granularity), label_format
     raise ValueError(f"no template for task {task}")

@@ -49,9 +49,16 @@ def pad_and_mask(rows: DataFrame, ids: str = "ids", length: int = MAX_TOKENS) ->
 
 
 def encode_tokens(
-    rows: DataFrame, key: list[str], text: str, vocabulary: DataFrame, length: int = MAX_TOKENS
+    rows: DataFrame,
+    key: list[str],
+    text: str,
+    vocabulary: DataFrame,
+    length: int = MAX_TOKENS,
+    keep: list[str] = [],
 ) -> DataFrame:
-    """``key…, ids, mask`` of fixed length; unknown tokens get id 1. ``key`` must be unique.
+    """``key…, keep…, ids, mask`` of fixed length; unknown tokens get id 1.
+
+    ``key`` must be unique. All other columns, the text among them, are dropped.
 
     Truncation to ``length`` is the encoder's contract, so splitting stops there.
     Rows are hashed on their key while they are still one row each: looking up
@@ -59,9 +66,9 @@ def encode_tokens(
     """
     first = F.slice(split_tokens(F.col(text), length + 2), 1, length)
     placed = (
-        rows.select(*key, first.alias("_tokens"))
+        rows.select(*key, *keep, first.alias("_tokens"))
         .repartition(*key)
-        .select(*key, F.posexplode_outer("_tokens").alias("_pos", "_token"))
+        .select(*key, *keep, F.posexplode_outer("_tokens").alias("_pos", "_token"))
     )
     ids = vocabulary.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
     known = join_staged(placed, ids, ["_token"], "left")
@@ -70,7 +77,8 @@ def encode_tokens(
         F.struct("_pos", F.coalesce("_id", F.lit(UNKNOWN_ID)).alias("id")),
     )
     gathered = known.groupBy(*key).agg(
-        F.transform(F.sort_array(F.collect_list(word)), lambda w: w["id"]).alias("ids")
+        *[F.first(c).alias(c) for c in keep],
+        F.transform(F.sort_array(F.collect_list(word)), lambda w: w["id"]).alias("ids"),
     )
     return pad_and_mask(gathered, "ids", length)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowloom.operators.endpoints import with_endpoints, is_forward
+from flowloom.operators.endpoints import is_forward, with_endpoints
 from flowloom.operators.features import join_features, parse_flow_name
 from flowloom.operators.headers import decode_headers
 from flowloom.operators.labelling import (
@@ -39,7 +39,13 @@ from flowloom.sources.captures import (
     read_captures,
     write_captures,
 )
-from flowloom.sources.datasets import read_dataset, write_dataset, write_dataset_csv, write_labels
+from flowloom.sources.datasets import (
+    read_dataset,
+    write_dataset,
+    write_dataset_csv,
+    write_labels,
+    write_split_files,
+)
 
 
 def staged_sessions(spark: SparkSession, input_path: str) -> DataFrame:
@@ -102,21 +108,23 @@ def build_dataset(
     small: str = "replicate",
     csv: bool = False,
 ) -> None:
-    """Write ``data`` (every session), ``splits`` (train, val, test) and ``label`` below ``output_path``.
+    """Write ``data`` (every session), ``splits`` and ``label.tsv`` below ``output_path``.
 
-    The rendered sessions are written first: class ids, splits and rows read
+    ``csv`` adds ``data.tsv, train.tsv, val.tsv, test.tsv``. The rendered sessions are written first: class ids, splits and rows read
     that table, each only the columns it needs.
     """
     spark = kept.sparkSession
     records = stage_table(session_records(kept, statistics), "sessions")
     labels = stage_table(label_dictionary(records), "labels")
-    write_labels(labels, f"{output_path}/label")
+    write_labels(labels, f"{output_path}/label.tsv")
     task = TASK_OF_DATASET.get(dataset_name, DEFAULT_TASK)
     template = template_of(task, task_templates, granularity)
     dataset_rows(records, labels, template, granularity).write.mode("overwrite").parquet(
         f"{output_path}/data"
     )
     rows = spark.read.parquet(f"{output_path}/data")
+    if csv:
+        write_dataset_csv(rows, f"{output_path}/data.tsv")
     write_splits(rows, output_path, "class", KEY, cap, seed, small, csv)
 
 
@@ -135,7 +143,7 @@ def write_splits(
     picked = rows.join(stage_table(chosen, "splits"), list(dict.fromkeys([by, *key])))
     write_dataset(picked, f"{output_path}/splits")
     if csv:
-        write_dataset_csv(read_dataset(rows.sparkSession, f"{output_path}/splits"), f"{output_path}/csv")
+        write_split_files(read_dataset(rows.sparkSession, f"{output_path}/splits"), output_path)
 
 
 def resplit_dataset(

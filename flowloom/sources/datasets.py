@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 DATASET_SCHEMA = "inputs string, labels int, str_labels string"
 SPLIT_NAMES = ("train", "val", "test")
 
-# Quotes are doubled; blanks at the ends of a text are kept. A missing value is written as
-# nothing and an empty text as a pair of quotes, which is how Spark tells them apart.
+# Quotes are doubled; blanks at the ends of a text are kept.
 _CSV = {
     "header": "true",
     "quote": '"',
@@ -18,6 +17,9 @@ _CSV = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# A missing value is written as nothing, an empty text as a pair of quotes. The reader tells
+# them apart only if its mark for missing values is not the empty text.
+_MISSING = "\u0000"
 _ROWS_PER_FILE = 200_000
 
 
@@ -55,14 +57,21 @@ def read_dataset_csv(spark: SparkSession, path: str, line_ends: bool = True) ->
     """
     return (
         spark.read.schema(DATASET_SCHEMA).options(**_CSV)
+        .option("nullValue", _MISSING)
         .option("multiLine", str(line_ends).lower())
         .option("lineSep", "\n")
         .csv(path)
     )
 
 
+def write_split_files(rows: DataFrame, directory: str) -> None:
+    """``train.tsv, val.tsv, test.tsv`` (comma-separated despite the name), one folder each."""
+    for name in SPLIT_NAMES:
+        write_dataset_csv(rows.where(F.col("split") == name).drop("split"), f"{directory}/{name}.tsv")
+
+
 def read_split_files(spark: SparkSession, directory: str, line_ends: bool = True) -> DataFrame:
-    """``train.tsv, val.tsv, test.tsv`` (comma-separated despite the name) as one frame."""
+    """``train.tsv, val.tsv, test.tsv``, files or folders, as one frame with ``split``."""
     parts = [
         read_dataset_csv(spark, f"{directory}/{name}.tsv", line_ends).withColumn("split", F.lit(name))
         for name in SPLIT_NAMES

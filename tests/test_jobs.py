@@ -101,7 +101,7 @@ def test_dataset_build(spark, capture_dir, tmp_path, from_files):
     out = str(tmp_path / "out")
     jobs.build_dataset(kept, stats, "dohbrw-2020", out, csv=True)
 
-    labels = {r["str_label"]: r["label"] for r in datasets.read_labels(spark, f"{out}/label").collect()}
+    labels = {r["str_label"]: r["label"] for r in datasets.read_labels(spark, f"{out}/label.tsv").collect()}
     assert labels == {"dns.v2": 0, "web": 1}
     data = spark.read.parquet(f"{out}/data").collect()
     assert Counter(r["class"] for r in data) == {"web": 12, "dns.v2": 3}
@@ -122,8 +122,9 @@ def test_dataset_build(spark, capture_dir, tmp_path, from_files):
         ("web", "train"): 9, ("web", "val"): 1, ("web", "test"): 2,
         ("dns.v2", "train"): 3, ("dns.v2", "val"): 3, ("dns.v2", "test"): 3,
     }
-    exported = datasets.read_dataset_csv(spark, f"{out}/csv")
+    exported = datasets.read_split_files(spark, out)
     columns = ["inputs", "labels", "str_labels", "split"]
+    assert datasets.read_dataset_csv(spark, f"{out}/data.tsv").count() == len(data)
     assert Counter(exported.select(*columns).collect()) == Counter(splits.select(*columns).collect())
 
 

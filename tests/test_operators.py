@@ -17,7 +17,6 @@ from flowloom.operators.labelling import (
     TASK_OF_DATASET,
     label_dictionary,
     template_of,
-    templates,
     with_instruction,
 )
 from flowloom.operators.tlsrecords import with_tls_records
@@ -242,10 +241,10 @@ def test_labels_and_instructions(spark):
         template_of("XYZ")
     assert len(set(TASK_OF_DATASET.values())) == 6
     tasks = spark.createDataFrame([("EMD",), ("XYZ",)], "task string")
-    filled = with_instruction(tasks.where("task = 'EMD'"), templates(spark)).first()["instruction"]
+    filled = with_instruction(tasks.where("task = 'EMD'")).first()["instruction"]
     assert "<session>" in filled
     with pytest.raises(Exception, match="no template"):
-        with_instruction(tasks, templates(spark)).collect()
+        with_instruction(tasks).collect()
 
 
 def test_encoding(spark):
@@ -260,6 +259,9 @@ def test_encoding(spark):
     assert got[2]["ids"] == [2] * 512 and got[4]["ids"][:3] == [1, 2, 0]
     own = tokens.encode_with(df, "text", lambda batch: [[len(t)] for t in batch], length=3)
     assert {r["id"]: r["ids"] for r in own.collect()}[0] == [len(texts[0]), 0, 0]
+    kept = tokens.encode_tokens(df.withColumn("labels", F.col("id") * 2), ["id"], "text", vocabulary, keep=["labels"])
+    assert kept.columns == ["id", "labels", "ids", "mask"]
+    assert all(r["labels"] == r["id"] * 2 for r in kept.collect())
     short = tokens.encode_tokens(df, ["id"], "text", vocabulary, length=2)
     assert {r["id"]: r["ids"] for r in short.collect()}[0] == [3, 2]
 
