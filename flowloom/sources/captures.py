@@ -13,10 +13,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowloom.operators.sessions import CAPTURE_HEADER_BYTES, KEY, RECORD_HEADER_BYTES
+from flowloom.plans.staging import stage_table
 
 # File magics as (byte order, ticks per second), and the largest believable packet.
 MAGICS = {
@@ -31,7 +32,16 @@ PACKET_SCHEMA = (
     "class string, capture string, capture_pos long, ts_us long, caplen int, origlen int,"
     " linktype int, data binary, error string"
 )
-CHUNK_SCHEMA = "class string, capture string, path string, start long, stop long, first_pos long"
+_RANGE_INPUT = ["class", "capture", "path", "length", "k", "lo", "hi", "start"]
+_RANGE_SCHEMA = (
+    "class string, capture string, path string, length long, k int, lo long, hi long, start long,"
+    " stop long, next long, n long"
+)
+_RANGE_ARROW = pa.schema(
+    [(c, pa.string()) for c in ("class", "capture", "path")]
+    + [("length", pa.int64()), ("k", pa.int32())]
+    + [(c, pa.int64()) for c in ("lo", "hi", "start", "stop", "next", "n")]
+)
 _ARROW = pa.schema(
     [
         ("class", pa.string()), ("capture", pa.string()), ("capture_pos", pa.int64()),
@@ -41,6 +51,8 @@ _ARROW = pa.schema(
 )
 _BATCH_ROWS = 4096
 _BATCH_BYTES = 16 << 20
+# Headers in a row that make a place look like the start of a record.
+_CHAIN = 8
 WHOLE_FILE_BYTES = 128 << 20
 CHUNK_BYTES = 64 << 20
 
@@ -145,55 +157,108 @@ def _open(path: str) -> pa.NativeFile:
     return filesystem.open_input_file(inner)
 
 
-def chunk_captures(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Cut large captures at record boundaries: ``class, capture, path, start, stop, first_pos``.
+def _plausible(buffer: bytes, at: int, header: struct.Struct, ticks: int, chain: int) -> bool:
+    """Do ``chain`` record headers in a row, or all up to the end of the buffer, make sense?"""
+    for _ in range(chain):
+        if at + RECORD_HEADER_BYTES > len(buffer):
+            return True
+        _, fraction, caplen, origlen = header.unpack_from(buffer, at)
+        if fraction >= ticks or caplen > origlen or origlen > MAX_PACKET_BYTES:
+            return False
+        at += RECORD_HEADER_BYTES + caplen
+    return True
 
-    One pass per file reads record headers in constant memory and gives byte
-    ranges of about ``chunk_bytes`` that decode independently.
-    """
-    header_bytes = CAPTURE_HEADER_BYTES
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                found = list(_ranges(row["path"], row["length"], header_bytes, chunk_bytes))
-                yield pa.RecordBatch.from_pylist(
-                    [
-                        {"class": row["class"], "capture": row["capture"], "path": row["path"],
-                         "start": a, "stop": b, "first_pos": n}
-                        for a, b, n in found
-                    ],
-                    schema=pa.schema(
-                        [("class", pa.string()), ("capture", pa.string()), ("path", pa.string()),
-                         ("start", pa.int64()), ("stop", pa.int64()), ("first_pos", pa.int64())]
-                    ),
-                )
-
-    return files.select("class", "capture", "path", "length").mapInArrow(index, CHUNK_SCHEMA)
-
-
-def _ranges(path: str, length: int, begin: int, chunk_bytes: int) -> Iterator[tuple]:
-    """``(start, stop, first_pos)``; a file that is no capture gives its first bytes as one range."""
-    with _open(path) as stream:
+def _scan_range(row: dict) -> dict:
+    """Records of the byte range ``[lo, hi)``: first start, end of the last one, how many.
+
+    Without a known ``start`` the first plausible one is taken, which the caller checks.
+    """
+    found = {**row, "stop": None, "next": None, "n": 0}
+    with _open(row["path"]) as stream:
         try:
-            order, _, _ = _file_header(stream.read(begin))
+            order, ticks, _ = _file_header(stream.read(CAPTURE_HEADER_BYTES))
         except ValueError:
-            yield 0, begin, 0
-            return
-        at = start = begin
-        pos = first = 0
-        while at + RECORD_HEADER_BYTES <= length:
-            stream.seek(at + 8)
-            caplen = struct.unpack(order + "I", stream.read(4))[0]
-            if caplen > MAX_PACKET_BYTES:
-                break  # the decoder reports it at the end of the last range
-            at += RECORD_HEADER_BYTES + caplen
-            pos += 1
-            if at - start >= chunk_bytes:
-                yield start, min(at, length), first
-                start, first = at, pos
-        if start < length:
-            yield start, length if at >= length else min(length, at + RECORD_HEADER_BYTES), first
+            # One range holds the file header, for the decoder to report; the rest is empty.
+            if row["k"] == 0:
+                found.update(start=0, stop=CAPTURE_HEADER_BYTES, next=row["length"])
+            return found
+        stream.seek(row["lo"])
+        buffer = stream.read(row["hi"] - row["lo"] + RECORD_HEADER_BYTES)
+    header = struct.Struct(order + "IIII")
+    at = CAPTURE_HEADER_BYTES if row["k"] == 0 else row["start"]
+    if at is None:
+        size = row["hi"] - row["lo"]
+        guesses = (o for o in range(size) if _plausible(buffer, o, header, ticks, _CHAIN))
+        at = next(guesses, None)
+        if at is None:
+            return found
+        at += row["lo"]
+    found["start"] = at
+    while at < row["hi"] and at + RECORD_HEADER_BYTES <= row["length"]:
+        caplen = header.unpack_from(buffer, at - row["lo"])[2]
+        if caplen > MAX_PACKET_BYTES:
+            # Nothing beyond a damaged record can be trusted; the decoder reports it.
+            found.update(stop=at + RECORD_HEADER_BYTES, next=row["length"])
+            return found
+        at += RECORD_HEADER_BYTES + caplen
+        found["n"] += 1
+    end = row["length"] if at + RECORD_HEADER_BYTES > row["length"] else at
+    found.update(stop=min(end, row["length"]), next=end)
+    return found
+
+
+def _scan(ranges: DataFrame) -> DataFrame:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [_scan_range(row) for row in batch.to_pylist()]
+            yield pa.RecordBatch.from_pylist(rows, schema=_RANGE_ARROW)
+
+    return ranges.select(*_RANGE_INPUT).repartition("path", "k").mapInArrow(scan, _RANGE_SCHEMA)
+
+
+def chunk_captures(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Cut large captures at record boundaries: ``class, capture, path, start, stop, first_pos``.
+
+    All byte ranges of a file are scanned at once, each from the first place that
+    looks like a record. A range is right if it starts where the one before it
+    ended; the first starts behind the file header. Ranges that guessed wrong are
+    scanned again from the right place until none is left, so the cut is exact.
+    """
+    steps = F.sequence(F.lit(0), F.floor((F.col("length") - 1) / chunk_bytes).cast("int"))
+    ranges = (
+        files.select("class", "capture", "path", "length", F.explode(steps).alias("k"))
+        .withColumn("lo", F.col("k").cast("bigint") * chunk_bytes)
+        .withColumn("hi", F.least("length", F.col("lo") + chunk_bytes))
+        .withColumn("start", F.lit(None).cast("bigint"))
+    )
+    table = stage_table(_scan(ranges), "ranges")
+    before = Window.partitionBy("path").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    while True:
+        due = F.last("next", ignorenulls=True).over(before)
+        checked = table.withColumn("_due", due).withColumn(
+            "_wrong", (F.col("k") > 0) & ~F.col("start").eqNullSafe(F.col("_due"))
+        )
+        # A range that the record before it covers to its end holds no start of its own.
+        empty = F.col("_wrong") & (F.col("_due") >= F.col("hi"))
+        settled = checked.select(
+            *_RANGE_INPUT[:-1],
+            F.when(empty, F.col("_due")).otherwise(F.col("start")).alias("start"),
+            F.when(empty, F.col("_due")).otherwise(F.col("stop")).alias("stop"),
+            F.when(empty, F.lit(None)).otherwise(F.col("next")).alias("next"),
+            F.when(empty, 0).otherwise(F.col("n")).alias("n"),
+            # Where an earlier range has not found its place yet, this one has to wait for it.
+            (F.col("_wrong") & ~empty & (F.col("_due") >= F.col("lo"))).alias("_again"),
+            "_due",
+        )
+        again = settled.where("_again").withColumn("start", F.col("_due"))
+        if again.isEmpty():
+            break
+        kept = settled.where("not _again").select(*_RANGE_INPUT, "stop", "next", "n")
+        table = stage_table(kept.unionByName(_scan(again)), "ranges")
+    return settled.withColumn("first_pos", F.coalesce(F.sum("n").over(before), F.lit(0))).where(
+        F.col("stop") > F.col("start")
+    ).select("class", "capture", "path", "start", "stop", "first_pos")
 
 
 def decode_chunks(chunks: DataFrame) -> DataFrame:
@@ -231,11 +296,13 @@ def read_captures(
     """All packets of all captures below ``path``, with an ``error`` row per unreadable file.
 
     Files up to ``whole_file_bytes`` are read whole; larger ones, of any size,
-    are cut into ranges first.
+    are cut into ranges first, which many tasks decode.
     """
     files = list_captures(spark, path, class_from)
     small = decode_captures(files.where(F.col("length") <= whole_file_bytes))
     large = files.where(F.col("length") > whole_file_bytes).drop("content")
+    if large.isEmpty():
+        return small
     return small.unionByName(decode_chunks(chunk_captures(large, chunk_bytes)))
 
 

@@ -53,13 +53,18 @@ def test_cut_file_bad_file_and_early_stop(spark, tmp_path):
     assert {r["class"]: r["count"] for r in two.groupBy("class").count().collect()} == {"a": 2, "c": 2}
 
 
-@pytest.mark.parametrize("chunk_bytes", [1, 300, 1 << 20])
+@pytest.mark.parametrize("chunk_bytes", [90, 700, 1 << 20])
 def test_large_captures_are_cut_at_records(spark, tmp_path, chunk_bytes):
     packets = [(i, tcp_frame(payload=bytes([i]) * (i * 7 % 50))) for i in range(40)]
     X.write(tmp_path / "a.pcap", X.capture(packets))
     X.write(tmp_path / "b.pcap", X.capture(packets, ">", cut=3))
     X.write(tmp_path / "c.pcap", X.capture(packets) + b"\xff" * 40)
     X.write(tmp_path / "d.pcap", b"\x0a\x0d\x0d\x0a" + b"\0" * 40)
+    # Packets that carry captures themselves look like records in the wrong places.
+    inner = X.capture([(i, b"q" * 9) for i in range(30)])
+    X.write(tmp_path / "e.pcap", X.capture([(i, tcp_frame(payload=inner)) for i in range(9)]))
+    X.write(tmp_path / "f.pcap", X.capture([(i, b"\0" * (i * 31 % 200)) for i in range(60)], nanos=True))
+    X.write(tmp_path / "g.pcap", X.capture([]))
     whole = captures.read_captures(spark, str(tmp_path), "file")
     cut = captures.read_captures(
         spark, str(tmp_path), "file", whole_file_bytes=0, chunk_bytes=chunk_bytes
