@@ -53,7 +53,7 @@ _BATCH_ROWS = 4096
 _BATCH_BYTES = 16 << 20
 # Headers in a row that make a place look like the start of a record.
 _CHAIN = 8
-WHOLE_FILE_BYTES = 128 << 20
+WHOLE_FILE_BYTES = 64 << 20
 CHUNK_BYTES = 64 << 20
 
 
