@@ -7,10 +7,13 @@ checked against the row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.operators.endpoints import TCP, UDP
+from flowloom.operators.sessions import assign_sessions
 from flowloom.plans.staging import spread, stage_table
 
 PACKET_ORDER = ["ts_us", "pkt_key"]
@@ -85,17 +88,29 @@ def packet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_STAGED: dict[tuple[str, str], DataFrame] = {}
+_STAGED: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The captured packets of all ``lineitem`` rows, built once per application and staged."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def staged(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame]
+) -> DataFrame:
+    """A derived table, written once per application and read by every query that needs it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGED:
-        _STAGED[key] = stage_table(build_frames(spark, sf_dir), "frames")
+        _STAGED[key] = stage_table(build(spark, sf_dir), name)
     return _STAGED[key]
 
 
+def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The captured packets of all ``lineitem`` rows."""
+    return staged(spark, sf_dir, "frames", build_frames)
+
+
+def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same packets with their session, staged as the dataset job stages them."""
+    return staged(spark, sf_dir, "sessions", lambda s, d: assign_sessions(frames(s, d)))
+
+
 def build_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packets as captured: ``class, capture, pkt_key, ts_us, caplen, origlen, data``.
 

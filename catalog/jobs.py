@@ -41,11 +41,13 @@ def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kept_packets(_sessions(spark, sf_dir), PACKET_ORDER)
+    return kept_packets(fixtures.sessions(spark, sf_dir), PACKET_ORDER)
 
 
 def _first_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_headers(take_first_packets(_sessions(spark, sf_dir), PACKET_ORDER))
+    return decode_headers(
+        take_first_packets(fixtures.sessions(spark, sf_dir), PACKET_ORDER)
+    )
 
 
 def _ints(df: DataFrame, *names: str) -> DataFrame:
@@ -128,12 +130,12 @@ def feature_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    survivors = surviving_sessions(_sessions(spark, sf_dir)).select(*KEY)
+    survivors = surviving_sessions(fixtures.sessions(spark, sf_dir)).select(*KEY)
     return features.join_features(survivors, fixtures.statistics(spark, sf_dir))
 
 
 def label_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = labelling.label_dictionary(surviving_sessions(_sessions(spark, sf_dir)))
+    labels = labelling.label_dictionary(surviving_sessions(fixtures.sessions(spark, sf_dir)))
     return _ints(labels, "label")
 
 
@@ -162,7 +164,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dataset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole dataset build: frames to instructed, labelled text rows."""
-    labels = labelling.label_dictionary(surviving_sessions(_sessions(spark, sf_dir)))
+    labels = labelling.label_dictionary(surviving_sessions(fixtures.sessions(spark, sf_dir)))
     template = labelling.template_of(labelling.TASK_OF_DATASET["dohbrw-2020"])
     rows = labelling.dataset_rows(_records(spark, sf_dir), labels, template)
     return _ints(rows, "labels")
