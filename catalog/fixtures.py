@@ -60,9 +60,9 @@ SEQ = "ts_us // 60000000 * 200"
 ACK = "ts_us // 60000000 * 200 - l_partkey % 5 * 288000"
 
 
-def _byte(value: str | int, n: int = 1) -> Column:
-    expr = F.expr(value) if isinstance(value, str) else F.lit(value)
-    return F.lpad(F.hex(expr.cast("bigint")), 2 * n, "0")
+def _hex(pattern: str, *values: str) -> Column:
+    """Hex digits of SQL integers by a format such as ``%02X%04X``."""
+    return F.format_string(pattern, *[F.expr(v).cast("bigint") for v in values])
 
 
 def packet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +75,7 @@ def packet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     timed = base.withColumn("ts_us", day * 86_400_000_000 + F.col("day_us"))
     div = lambda sql: F.expr(sql.replace("//", "div"))
     raw = F.concat(F.lit("ff"), F.expr("substr(digest, 3)"))
-    record = F.concat(_byte("length(digest) div 2", 2), F.col("digest"))
+    record = F.concat(_hex("%04X", "length(digest) div 2"), F.col("digest"))
     tls = (
         F.when(F.col("tls_kind") == 0, F.concat(F.lit("160303"), record))
         .when(F.col("tls_kind") == 1, F.concat(F.lit("140301000101170303"), record))
@@ -117,27 +117,24 @@ def build_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     Frames are zero-padded to ``caplen`` as Ethernet pads short frames.
     """
     rows = packet_rows(spark, sf_dir).withColumn("hdr", F.expr("case when syn = 1 then 24 else 20 end"))
-    ip_hex = lambda c: F.concat(
-        *[F.lpad(F.hex(F.split(c, "[.]")[i].cast("bigint")), 2, "0") for i in range(4)]
+    addresses = [f"split({c}, '[.]')[{i}]" for c in ("src_ip", "dst_ip") for i in range(4)]
+    l4_bytes = f"(case when proto = {TCP} then hdr else 8 end + length(payload) div 2)"
+    ethernet = F.when(F.col("vlan") == 1, "020000000002020000000001810000050800").otherwise(
+        "0200000000020200000000010800"
     )
-    ethernet = F.concat(
-        F.lit("020000000002020000000001"), F.when(F.col("vlan") == 1, "81000005").otherwise(""),
-        F.lit("0800"),
+    ip = _hex(
+        "45%02X%04X%04X%04X%02X%02X0000" + "%02X" * 8,
+        "tos", f"20 + {l4_bytes}", "l_orderkey % 65536", "df * 16384", "ttl", "proto", *addresses,
     )
-    l4_bytes = F.expr(f"case when proto = {TCP} then hdr else 8 end + length(payload) div 2")
-    ip = F.concat(
-        F.lit("45"), _byte("tos"), F.lpad(F.hex((20 + l4_bytes).cast("bigint")), 4, "0"),
-        _byte("l_orderkey % 65536", 2), F.when(F.col("df") == 1, "4000").otherwise("0000"),
-        _byte("ttl"), _byte("proto"), F.lit("0000"), ip_hex("src_ip"), ip_hex("dst_ip"),
-    )
-    ports = F.concat(_byte("src_port", 2), _byte("dst_port", 2))
     tcp = F.concat(
-        ports, _byte("seq", 4), _byte("ack", 4), _byte("hdr div 4 * 16"),
-        _byte("cwr * 128 + urg * 32 + ackf * 16 + psh * 8 + rst * 4 + syn * 2 + fin"),
-        _byte("win", 2), F.lit("00000000"),
-        F.when(F.col("syn") == 1, F.concat(F.lit("010303"), _byte("shift"))).otherwise(""),
+        _hex(
+            "%04X%04X%08X%08X%02X%02X%04X00000000",
+            "src_port", "dst_port", "seq", "ack", "hdr div 4 * 16",
+            "cwr * 128 + urg * 32 + ackf * 16 + psh * 8 + rst * 4 + syn * 2 + fin", "win",
+        ),
+        F.when(F.col("syn") == 1, _hex("010303%02X", "shift")).otherwise(""),
     )
-    udp = F.concat(ports, F.lpad(F.hex(l4_bytes.cast("bigint")), 4, "0"), F.lit("0000"))
+    udp = _hex("%04X%04X%04X0000", "src_port", "dst_port", l4_bytes)
     frame = F.concat(
         ethernet, ip, F.when(F.col("proto") == TCP, tcp).when(F.col("proto") == UDP, udp), "payload"
     )

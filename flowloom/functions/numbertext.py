@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,27 +44,30 @@ def float_text(x: Column) -> Column:
     )
 
 
-def row_values(columns: list[tuple[str, T.DataType]]) -> Column:
-    """Array with the text of each column; missing values read ``nan``.
+def with_value_texts(rows: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """Add array ``name`` with the text of each of ``columns``; missing values read ``nan``.
 
     All floating-point columns go through one lambda, so the generated code does
     not grow with the long number-formatting rule for every column.
     """
-    floats = [c for c, dtype in columns if isinstance(dtype, (T.DoubleType, T.FloatType))]
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    floats = [c for c in columns if isinstance(types[c], (T.DoubleType, T.FloatType))]
     place = {c: i for i, c in enumerate(floats)}
-    texts = F.transform(
-        F.array(*[F.col(f"`{c}`").cast("double") for c in floats]), lambda x: float_text(x)
-    )
+    numbers = F.array(*[F.col(f"`{c}`").cast("double") for c in floats])
 
-    def text(name: str, dtype: T.DataType) -> Column:
-        x = F.col(f"`{name}`")
-        if name in place:
-            return F.get(texts, F.lit(place[name]))
-        if isinstance(dtype, T.BooleanType):
+    def text(column: str) -> Column:
+        x = F.col(f"`{column}`")
+        if column in place:
+            return F.get(F.col("_floats"), F.lit(place[column]))
+        if isinstance(types[column], T.BooleanType):
             return F.when(x.isNull(), "nan").when(x, "True").otherwise("False")
         return F.coalesce(x.cast("string"), F.lit("nan"))
 
-    return F.array(*[text(c, dtype) for c, dtype in columns])
+    return (
+        rows.withColumn("_floats", F.transform(numbers, float_text))
+        .withColumn(name, F.array(*[text(c) for c in columns]))
+        .drop("_floats")
+    )
 
 
 def named_values(names: list[str], values: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.functions.numbertext import named_values, row_values
+from flowloom.functions.numbertext import named_values, with_value_texts
 from flowloom.operators.endpoints import TCP, UDP, flow_key
 from flowloom.operators.sessions import KEY
 
@@ -76,15 +76,13 @@ def feature_columns(statistics: DataFrame) -> list[str]:
 
 def feature_text(statistics: DataFrame, keep: list[str] = []) -> DataFrame:
     """``class, flow_id, row_no, features``: every feature as ``column: value``, ``, `` between."""
-    types = {f.name: f.dataType for f in statistics.schema.fields}
     names = feature_columns(statistics)
-    values = row_values([(c, types[c]) for c in names])
-    return statistics.select(
+    return with_value_texts(statistics, names, "_values").select(
         "class",
         *keep,
         F.col(f"`{FLOW_ID}`").alias("flow_id"),
         "row_no",
-        named_values(names, values).alias("features"),
+        named_values(names, F.col("_values")).alias("features"),
     )
 
 

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowloom.plans.staging import join_staged
+from flowloom.plans.staging import join_staged, spread
 
 # Fixed values of the encoder.
 MAX_TOKENS = 512
@@ -30,7 +30,8 @@ def vocab_build(rows: DataFrame, text: str, size: int = VOCABULARY_SIZE) -> Data
     Counts combine before the shuffle; only the chosen tokens are numbered.
     """
     counts = (
-        rows.select(F.explode(split_tokens(F.col(text))).alias("token"))
+        spread(rows.select(text))
+        .select(F.explode(split_tokens(F.col(text))).alias("token"))
         .groupBy("token")
         .agg(F.count("*").alias("n"))
     )

@@ -1,9 +1,9 @@
 """Positions and running maxima within groups of any size.
 
-A plain window sends one group to one task. Here a group is cut into ordered
+A plain window sends one group to one task. Here a hot group is cut into ordered
 slices first; slices are ranked on their own, and the few per-slice totals of a
-group carry the offset, so a hot group spreads over as many tasks as it has
-slices. Results are exact.
+group carry the offset, so it spreads over as many tasks as it has slices.
+Results are exact.
 """
 
 from __future__ import annotations
@@ -11,38 +11,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowloom.plans.staging import stage_table
+
+# Rows one task ranks without trouble.
+HOT_ROWS = 1_000_000
+
 
 def slice_positions(
-    df: DataFrame, group: list[str], slice_by: Column, order: list[str], pos: str = "pos"
+    df: DataFrame,
+    group: list[str],
+    slice_by: Column,
+    order: list[str],
+    pos: str = "pos",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """1-based position within ``group`` ordered by ``order``.
 
-    ``slice_by`` must not decrease along ``order``; rows of one slice are ranked
-    in one task.
+    Only groups of more than ``hot_rows`` rows are cut into slices; rows of one
+    slice are ranked in one task. ``slice_by`` must not decrease along ``order``.
+    Groups are counted ahead, from their key columns alone.
     """
-    sliced = df.withColumn("_slice", slice_by)
+    hot = stage_table(
+        df.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows), "hot"
+    )
+    if hot.isEmpty():
+        return df.withColumn(pos, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    sliced = df.join(hot, group, "left").withColumn("_slice", F.when(F.col("_n").isNotNull(), slice_by))
     key = [*group, "_slice"]
+    earlier = (
+        Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    )
     offsets = (
-        sliced.groupBy(*key)
-        .agg(F.count("*").alias("_n"))
-        .withColumn(
-            "_before",
-            F.coalesce(
-                F.sum("_n").over(
-                    Window.partitionBy(*group)
-                    .orderBy("_slice")
-                    .rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .drop("_n")
+        df.join(hot, group, "left_semi")
+        .withColumn("_slice", slice_by)
+        .groupBy(*key)
+        .agg(F.count("*").alias("_rows"))
+        .select(*key, F.sum("_rows").over(earlier).alias("_before"))
     )
     ranked = sliced.withColumn("_in", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    placed = F.coalesce("_before", F.lit(0)) + F.col("_in")
     return (
-        ranked.join(offsets, key)
-        .withColumn(pos, F.col("_before") + F.col("_in"))
-        .drop("_slice", "_before", "_in")
+        ranked.join(offsets, key, "left").withColumn(pos, placed)
+        .drop("_n", "_slice", "_before", "_in")
     )
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import pyarrow.fs
@@ -143,8 +144,8 @@ def decode_captures(files: DataFrame, max_packets: int | None = None) -> DataFra
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(i) for i in range(3)]
-            for i in range(batch.num_rows):
-                yield from _batches(rows_of(*[c[i].as_py() for c in columns]))
+            files = ([c[i].as_py() for c in columns] for i in range(batch.num_rows))
+            yield from _batches(chain.from_iterable(rows_of(*file) for file in files))
 
     return files.select("class", "capture", "content").mapInArrow(decode, PACKET_SCHEMA)
 
@@ -157,9 +158,9 @@ def _open(path: str) -> pa.NativeFile:
     return filesystem.open_input_file(inner)
 
 
-def _plausible(buffer: bytes, at: int, header: struct.Struct, ticks: int, chain: int) -> bool:
-    """Do ``chain`` record headers in a row, or all up to the end of the buffer, make sense?"""
-    for _ in range(chain):
+def _plausible(buffer: bytes, at: int, header: struct.Struct, ticks: int) -> bool:
+    """Do some record headers in a row, or all up to the end of the buffer, make sense?"""
+    for _ in range(_CHAIN):
         if at + RECORD_HEADER_BYTES > len(buffer):
             return True
         _, fraction, caplen, origlen = header.unpack_from(buffer, at)
@@ -189,7 +190,7 @@ def _scan_range(row: dict) -> dict:
     at = CAPTURE_HEADER_BYTES if row["k"] == 0 else row["start"]
     if at is None:
         size = row["hi"] - row["lo"]
-        guesses = (o for o in range(size) if _plausible(buffer, o, header, ticks, _CHAIN))
+        guesses = (o for o in range(size) if _plausible(buffer, o, header, ticks))
         at = next(guesses, None)
         if at is None:
             return found
@@ -279,8 +280,7 @@ def decode_chunks(chunks: DataFrame) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                yield from _batches(rows_of(row))
+            yield from _batches(chain.from_iterable(map(rows_of, batch.to_pylist())))
 
     # Ranges of one file are hashed apart, so a giant capture is decoded by many tasks.
     return chunks.repartition("path", "start").mapInArrow(decode, PACKET_SCHEMA)
