@@ -285,7 +285,8 @@ def best_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     hour = F.date_trunc("hour", "ts")
     epochs = slice_positions(events, ["run"], hour, ["ts", "event_id"], "epoch")
-    return _rounded(evaluation.best_epoch(epochs), "best_score")
+    best = _ints(evaluation.best_epoch(epochs), "n_epochs", "stop_epoch", "best_epoch")
+    return _rounded(best, "best_score")
 
 
 def vocab_build(spark: SparkSession, sf_dir: str) -> DataFrame:

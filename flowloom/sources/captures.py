@@ -11,6 +11,7 @@ import re
 import struct
 from collections.abc import Iterator
 from itertools import chain
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs
@@ -152,8 +153,10 @@ def decode_captures(files: DataFrame, max_packets: int | None = None) -> DataFra
 
 def _open(path: str) -> pa.NativeFile:
     """Input stream of a Hadoop-style path."""
-    uri = re.sub(r"^file:/+", "file:///", path)
-    uri = re.sub(r"^s3[an]:", "s3:", uri)
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return pa.fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    uri = quote(re.sub(r"^s3[an]:", "s3:", path), safe=":/@")
     filesystem, inner = pa.fs.FileSystem.from_uri(uri)
     return filesystem.open_input_file(inner)
 

@@ -30,8 +30,10 @@ def read_statistics(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     )
+    # The path is percent-encoded, except for plus signs, which decoding would turn to blanks.
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
     return rows.select(
-        F.regexp_extract(F.url_decode("_metadata.file_path"), FILE_NAME, 1).alias("class"),
+        F.regexp_extract(path, FILE_NAME, 1).alias("class"),
         order.alias("row_no"),
         *[F.col(f"`{c}`") for c in rows.columns],
     )

@@ -65,6 +65,7 @@ def test_large_captures_are_cut_at_records(spark, tmp_path, chunk_bytes):
     X.write(tmp_path / "e.pcap", X.capture([(i, tcp_frame(payload=inner)) for i in range(9)]))
     X.write(tmp_path / "f.pcap", X.capture([(i, b"\0" * (i * 31 % 200)) for i in range(60)], nanos=True))
     X.write(tmp_path / "g.pcap", X.capture([]))
+    X.write(tmp_path / "h +%20.pcap", X.capture(packets[:3]))
     whole = captures.read_captures(spark, str(tmp_path), "file")
     cut = captures.read_captures(
         spark, str(tmp_path), "file", whole_file_bytes=0, chunk_bytes=chunk_bytes

@@ -68,12 +68,13 @@ def test_statistics_files(spark, capture_dir):
 
 def test_row_numbers_follow_the_file_over_many_blocks(spark, tmp_path):
     lines = [f"id{i},a,1,b,2,6,t,9,{i},x,0.5,x" for i in range(20_000)]
-    statistics_csv(tmp_path / "c.pcap_Flow.csv", lines)
+    statistics_csv(tmp_path / "c +1.pcap_Flow.csv", lines)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
     try:
         rows = statistics.read_statistics(spark, str(tmp_path), SCHEMA)
         assert rows.rdd.getNumPartitions() > 5
+        assert [r[0] for r in rows.select("class").distinct().collect()] == ["c +1"]
         ordered = [r[0] for r in rows.orderBy("row_no").select("Tot Pkts").collect()]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
