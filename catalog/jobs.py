@@ -283,8 +283,7 @@ def best_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run"), "event_id", "ts", F.col("value").alias("f1")
     )
-    hour = F.date_trunc("hour", "ts")
-    epochs = slice_positions(events, ["run"], hour, ["ts", "event_id"], "epoch")
+    epochs = slice_positions(events, ["run"], F.to_date("ts"), ["ts", "event_id"], "epoch")
     best = _ints(evaluation.best_epoch(epochs), "n_epochs", "stop_epoch", "best_epoch")
     return _rounded(best, "best_score")
 

@@ -48,24 +48,32 @@ from flowloom.sources.datasets import (
 )
 
 
-def staged_sessions(spark: SparkSession, input_path: str) -> DataFrame:
+def staged_sessions(
+    spark: SparkSession, input_path: str, class_from: str = "file"
+) -> DataFrame:
     """Packets of raw captures with their session, decoded once and staged.
 
-    What follows reads the table twice: totals of all packets from a few narrow
-    columns, and the bytes of the first packets only.
+    The class is the base name of a capture; with ``class_from="directory"`` a folder
+    holds all captures of a class, such as rotated ones. What follows reads the table
+    twice: totals of all packets from a few narrow columns, and the bytes of the first
+    packets only.
     """
-    packets = good_packets(read_captures(spark, input_path, class_from="file"))
+    packets = good_packets(read_captures(spark, input_path, class_from))
     return stage_table(assign_sessions(packets), "sessions")
 
 
-def split_captures(spark: SparkSession, input_path: str, output_path: str) -> None:
-    """Cut raw captures ``<class>.pcap`` into sessions stored as capture contents."""
-    write_captures(session_positions(staged_sessions(spark, input_path)), output_path)
+def split_captures(
+    spark: SparkSession, input_path: str, output_path: str, class_from: str = "file"
+) -> None:
+    """Cut raw captures into sessions stored as capture contents."""
+    write_captures(session_positions(staged_sessions(spark, input_path, class_from)), output_path)
 
 
-def packets_of_captures(spark: SparkSession, input_path: str) -> DataFrame:
+def packets_of_captures(
+    spark: SparkSession, input_path: str, class_from: str = "file"
+) -> DataFrame:
     """Kept packets of raw captures."""
-    return kept_packets(staged_sessions(spark, input_path))
+    return kept_packets(staged_sessions(spark, input_path, class_from))
 
 
 def packets_of_session_files(spark: SparkSession, flow_path: str) -> DataFrame:
