@@ -15,6 +15,8 @@ from flowloom.plans.staging import stage_table
 
 # Rows one task ranks without trouble.
 HOT_ROWS = 1_000_000
+# Default of spark.sql.optimizer.windowGroupLimitThreshold.
+CUT_LIMIT = 1000
 
 
 def slice_positions(
@@ -71,15 +73,17 @@ def max_before_slice(
 
 
 def lowest_per_group(
-    df: DataFrame, group: list[str], order: list[str], k: int, rank: str = "rank", fan: int = 64
+    df: DataFrame, group: list[str], order: list[str], k: int, rank: str = "rank", fan: int | None = None
 ) -> DataFrame:
     """The ``k`` lowest rows of each group by ``order``, with their rank.
 
     Each input partition forwards at most ``k`` rows of a group; on many thousand
     partitions that is still too much for one task, so a first round keeps ``k``
     per group and ``fan``-th of the partitions and the last round sees at most
-    ``fan * k`` rows of a group.
+    ``fan * k`` rows of a group. Spark cuts ahead of the shuffle only up to
+    ``CUT_LIMIT``; beyond it a group is dealt out to more tasks instead.
     """
+    fan = fan or (64 if k <= CUT_LIMIT else 1024)
     first = Window.partitionBy(*group, "_fan").orderBy(*order)
     last = Window.partitionBy(*group).orderBy(*order)
     return (
