@@ -2,4 +2,31 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+_DECONTAMINATE = f"""
+with dw as (select doc_id, {_WORDS} w from documents),
+iw as (select item_id, {_WORDS} w from benchmark),
+it as (
+  select item_id, w, least(10, len(w)) size, unnest(range(1, len(w) - least(10, len(w)) + 2)) p
+  from iw where len(w) > 0
+),
+ig as (select distinct item_id, size, array_to_string(w[p:p + size - 1], ' ') g from it),
+grams as (select distinct size, g from ig),
+dp as (
+  select doc_id, w, size, unnest(range(1, len(w) - size + 2)) p
+  from dw, (select distinct size from ig) where len(w) >= size
+),
+hit as (select doc_id, p, size, g from (select doc_id, p, size, array_to_string(w[p:p + size - 1], ' ') g from dp) join grams using (size, g)),
+hw as (select doc_id, count(distinct q) n_hit from (select doc_id, unnest(range(p, p + size)) q from hit) group by 1),
+hi as (
+  select doc_id, count(*) n_items, string_agg(i, ',' order by i) ids
+  from (select distinct doc_id, cast(item_id as varchar) i from hit join ig using (size, g)) group by 1
+)
+select doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+  sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+from dw left join hw using (doc_id) left join hi using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op3_decontaminate": _DECONTAMINATE}

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowloom.llm import pii, secretscan
+from flowloom.llm import bpe, decontaminate, pii, secretscan, toxicity
+
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +26,26 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.digest_columns(secretscan.detect(_table(spark, sf_dir, "documents")))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.digest_columns(found)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
+    docs = _table(spark, sf_dir, "documents")
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, bpe.digests, bpe.DIGEST_FIELDS)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_bpe": op4_bpe,
+    "op9_toxicity": op9_toxicity,
 }
