@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowloom.llm import bpe, decontaminate, pii, secretscan, toxicity
+from flowloom.llm import bpe, decontaminate, pii, secretscan, simhash, toxicity
 
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -37,6 +37,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, ranks, public_tokenizers.PATTERN, bpe.digests, bpe.DIGEST_FIELDS)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest_columns(simhash.classes(_table(spark, sf_dir, "documents")))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
@@ -47,5 +51,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op3_decontaminate": op3_decontaminate,
     "op4_bpe": op4_bpe,
+    "op6_simhash": op6_simhash,
     "op9_toxicity": op9_toxicity,
 }

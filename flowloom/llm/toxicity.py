@@ -25,9 +25,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 from flowloom.llm.batches import keep_or_rewrite, map_rows, slices
 
 BITS = 18
-SAMPLE_ROWS = 8_000
-ROUNDS = 4
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.5, 0.1
+SAMPLE_ROWS = 16_000
+ROUNDS = 6
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 7.0, 0.1
 THRESHOLD = 0.5
 HELD_OUT_OF = 5
 
