@@ -29,4 +29,13 @@ select doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesc
 from dw left join hw using (doc_id) left join hi using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op3_decontaminate": _DECONTAMINATE}
+_WARC = """
+with p as (select page_id, coalesce(html, '') html, cast(strlen(coalesce(html, '')) as bigint) payload_bytes from pages),
+f as (select html, max(page_id) first_id from p where payload_bytes >= 1000 group by html)
+select page_id, payload_bytes, sha1(html) payload_digest,
+  case when first_id <> page_id then 'revisit' else 'response' end record_type,
+  case when first_id <> page_id then first_id end refers_to
+from p left join f using (html)
+"""
+
+ORACLES: dict[str, str] = {"op3_decontaminate": _DECONTAMINATE, "op7_warc": _WARC}

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, decontaminate, pii, secretscan, simhash, toxicity
+from flowloom.llm import bpe, decontaminate, pii, secretscan, simhash, toxicity, warc
+from flowloom.plans.staging import fresh_path
 
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -41,6 +43,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest_columns(simhash.classes(_table(spark, sf_dir, "documents")))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").alias("payload"))
+    archive = fresh_path(spark, "warc")
+    warc.write_archives(pages, archive)
+    return warc.digest_columns(warc.transactions(warc.read_records(spark, archive), with_payload=False))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
@@ -52,5 +61,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_bpe": op4_bpe,
     "op6_simhash": op6_simhash,
+    "op7_warc": op7_warc,
     "op9_toxicity": op9_toxicity,
 }
