@@ -52,8 +52,8 @@ def _record(kind: Column, identifier: Column, url: Column, content: Column, bloc
 
 
 def _in_chunks(payload: Column) -> Column:
-    """The payload in HTTP chunks that end in the middle of every separator it holds."""
-    cut = F.split(payload, r"(?<=\r\n\r\n)(?=WARC/1\.1\r\n)")
+    """The payload in HTTP chunks that end in the middle of every version line it holds."""
+    cut = F.split(payload, r"(?<=WA)(?=RC/1\.1\r\n)")
     one = lambda part: F.concat(F.lower(F.hex(F.octet_length(part))), F.lit("\r\n"), part, F.lit("\r\n"))
     return F.concat(F.array_join(F.transform(cut, one), ""), F.lit("0" + END))
 
