@@ -38,4 +38,24 @@ select page_id, payload_bytes, sha1(html) payload_digest,
 from p left join f using (html)
 """
 
-ORACLES: dict[str, str] = {"op3_decontaminate": _DECONTAMINATE, "op7_warc": _WARC}
+_LINE_RUNS = r"""
+with t as (select doc_id, string_split(coalesce(text, ''), chr(10)) l from documents),
+l as (select doc_id d, unnest(range(len(l))) n, unnest(l) line from t),
+w as (select d, n, line, len(regexp_extract_all(line, '[^\x09-\x0D\x20]+')) words, count(*) over (partition by line) k from l),
+m as (
+  select b.d, b.n, b.words, a.d e, b.n - a.n diagonal
+  from w a join w b on a.line = b.line and (a.d < b.d or (a.d = b.d and a.n < b.n))
+  where a.k > 1
+),
+i as (select *, n - row_number() over (partition by d, e, diagonal order by n) part from m),
+s as (select *, sum(words) over (partition by d, e, diagonal, part) size from i),
+g as (select distinct d, n from s where size >= 50),
+r as (select d, n, n - row_number() over (partition by d order by n) part from g),
+c as (select d, count(*) n_removed, count(distinct part) n_runs from r group by d),
+k as (select l.d, string_agg(line, chr(10) order by l.n) kept from l left join g using (d, n) where g.d is null group by l.d)
+select t.doc_id, cast(len(l) as bigint) n_lines, coalesce(n_removed, 0) n_removed, coalesce(n_runs, 0) n_runs,
+  sha256(coalesce(kept, '')) kept_sha256
+from t left join c on c.d = t.doc_id left join k on k.d = t.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op3_decontaminate": _DECONTAMINATE, "op7_warc": _WARC, "op10_line_runs": _LINE_RUNS}

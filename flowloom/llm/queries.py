@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, decontaminate, pii, secretscan, simhash, toxicity, warc
+from flowloom.llm import bpe, decontaminate, lineruns, pii, secretscan, simhash, toxicity, warc
 from flowloom.plans.staging import fresh_path
 
 
@@ -55,6 +55,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineruns.digest_columns(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -63,4 +67,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
     "op9_toxicity": op9_toxicity,
+    "op10_line_runs": op10_line_runs,
 }
