@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, decontaminate, lineruns, pii, secretscan, simhash, toxicity, warc
+from flowloom.llm import bpe, crosspolytope, decontaminate, lineruns, pii, secretscan, simhash, toxicity, warc
 from flowloom.plans.staging import fresh_path
 
 
@@ -39,6 +39,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, ranks, public_tokenizers.PATTERN, bpe.digests, bpe.DIGEST_FIELDS)
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest_columns(simhash.classes(_table(spark, sf_dir, "documents")))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op3_decontaminate": op3_decontaminate,
     "op4_bpe": op4_bpe,
+    "op5_nearest": op5_nearest,
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
     "op9_toxicity": op9_toxicity,
