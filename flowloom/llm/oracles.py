@@ -38,6 +38,26 @@ select page_id, payload_bytes, sha1(html) payload_digest,
 from p left join f using (html)
 """
 
+_SUFFIXES = """
+with b as (select doc_id, encode(coalesce(text, '')) t from documents),
+w as (select doc_id, p, t[p:p + 49] s from (select doc_id, t, unnest(range(1, octet_length(t) - 48)) p from b where octet_length(t) >= 50)),
+f as (select s, min(doc_id) first_id from w group by s),
+g as (select w.doc_id, w.p from w join f using (s) where f.first_id < w.doc_id),
+q as (select *, max(p + 49) over (partition by doc_id order by p rows between unbounded preceding and 1 preceding) before from g),
+r as (select *, sum(case when before >= p - 1 then 0 else 1 end) over (partition by doc_id order by p) run from q),
+u as (select doc_id, run, min(p) a, max(p) + 49 z from r group by 1, 2),
+c as (select doc_id, sum(z - a + 1) n_removed, count(*) n_spans from u group by 1),
+k as (select doc_id, a, z, coalesce(lag(z) over (partition by doc_id order by a), 0) from_z from u),
+x as (
+  select k.doc_id, string_agg(hex(b.t[from_z + 1:a - 1]), '' order by a) head, max(z) last_z
+  from k join b using (doc_id) group by 1
+)
+select b.doc_id, cast(octet_length(t) as bigint) n_bytes, cast(coalesce(n_removed, 0) as bigint) n_removed,
+  coalesce(n_spans, 0) n_spans,
+  sha256(case when x.doc_id is null then t else unhex(head || hex(t[last_z + 1:octet_length(t)])) end) kept_sha256
+from b left join c using (doc_id) left join x using (doc_id)
+"""
+
 _LINE_RUNS = r"""
 with t as (select doc_id, string_split(coalesce(text, ''), chr(10)) l from documents),
 l as (select doc_id d, unnest(range(len(l))) n, unnest(l) line from t),
@@ -58,4 +78,4 @@ select t.doc_id, cast(len(l) as bigint) n_lines, coalesce(n_removed, 0) n_remove
 from t left join c on c.d = t.doc_id left join k on k.d = t.doc_id
 """
 
-ORACLES: dict[str, str] = {"op3_decontaminate": _DECONTAMINATE, "op7_warc": _WARC, "op10_line_runs": _LINE_RUNS}
+ORACLES: dict[str, str] = {"op3_decontaminate": _DECONTAMINATE, "op7_warc": _WARC, "op8_suffix_levels": _SUFFIXES, "op10_line_runs": _LINE_RUNS}

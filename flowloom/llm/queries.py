@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, crosspolytope, decontaminate, lineruns, pii, secretscan, simhash, toxicity, warc
+from flowloom.llm import bpe, crosspolytope, decontaminate, lineruns, pii, secretscan, simhash, suffixlevels, toxicity, warc
 from flowloom.plans.staging import fresh_path
 
 
@@ -54,6 +54,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest_columns(warc.transactions(warc.read_records(spark, archive), with_payload=False))
 
 
+def op8_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixlevels.digest_columns(suffixlevels.deduplicate(_table(spark, sf_dir, "documents")))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_nearest": op5_nearest,
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
+    "op8_suffix_levels": op8_suffix_levels,
     "op9_toxicity": op9_toxicity,
     "op10_line_runs": op10_line_runs,
 }
