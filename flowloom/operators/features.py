@@ -56,6 +56,18 @@ def parse_flow_name(files: DataFrame, name: str = "file_name") -> DataFrame:
     )
 
 
+def file_key(name: Column) -> Column:
+    """Direction-free key of the endpoints in a session file's name."""
+
+    def part(i: int) -> Column:
+        return F.regexp_extract(name, FILE_NAME, i)
+
+    address = lambda i: F.replace(part(i), F.lit("-"), F.lit("."))
+    return flow_key(
+        address(3), part(4).try_cast("int"), address(5), part(6).try_cast("int"), protocol_number(part(2))
+    )
+
+
 def flow_id_key(flow_id: Column) -> Column:
     """Direction-free form of a statistics id; text of another shape is its own key."""
 
@@ -74,8 +86,31 @@ def feature_columns(statistics: DataFrame) -> list[str]:
     return [c for c in statistics.columns if c not in skipped]
 
 
+def _listed(statistics: DataFrame) -> bool:
+    """Whether rows come as lists of names and texts, each row with its own columns."""
+    return {"names", "texts"} <= set(statistics.columns)
+
+
+def _flow_id(statistics: DataFrame) -> Column:
+    if _listed(statistics):
+        return F.get("texts", (F.array_position("names", FLOW_ID) - 1).cast("int"))
+    return F.col(f"`{FLOW_ID}`")
+
+
+def _listed_text() -> Column:
+    pairs = F.filter(
+        F.arrays_zip(F.col("names").alias("name"), F.col("texts").alias("text")),
+        lambda p: ~p["name"].isin(EXCLUDED_COLUMNS),
+    )
+    return F.array_join(F.transform(pairs, lambda p: F.concat(p["name"], F.lit(": "), p["text"])), ", ")
+
+
 def feature_text(statistics: DataFrame, keep: list[str] = []) -> DataFrame:
     """``class, flow_id, row_no, features``: every feature as ``column: value``, ``, `` between."""
+    if _listed(statistics):
+        return statistics.select(
+            "class", *keep, _flow_id(statistics).alias("flow_id"), "row_no", _listed_text().alias("features")
+        )
     names = feature_columns(statistics)
     return with_value_texts(statistics, names, "_values").select(
         "class",
@@ -94,7 +129,7 @@ def first_features(statistics: DataFrame) -> DataFrame:
     """
     row = F.struct(*[F.col(f"`{c}`") for c in statistics.columns if c != "class"])
     first = (
-        statistics.withColumn("flow_key", flow_id_key(F.col(f"`{FLOW_ID}`")))
+        statistics.withColumn("flow_key", flow_id_key(_flow_id(statistics)))
         .groupBy(*KEY)
         .agg(F.min_by(row, "row_no").alias("_row"))
         .select(*KEY, "_row.*")
@@ -105,8 +140,16 @@ def first_features(statistics: DataFrame) -> DataFrame:
 def join_features(sessions: DataFrame, statistics: DataFrame) -> DataFrame:
     """Add ``features``; sessions without statistics get an empty text.
 
-    Both sides have one row per session key, so no key is hot.
+    A session that is a file of its own has the file's name as its key; its
+    statistics are found by the endpoints in that name. Several files of one pair of
+    endpoints share a row of statistics, which then is a key of few sessions.
     """
-    return sessions.join(first_features(statistics), KEY, "left").withColumn(
-        "features", F.coalesce("features", F.lit(""))
+    by_name = F.regexp_extract("flow_key", FILE_NAME, 0) != ""
+    key = F.when(by_name, file_key(F.col("flow_key"))).otherwise(F.col("flow_key"))
+    first = first_features(statistics).withColumnRenamed("flow_key", "_key")
+    return (
+        sessions.withColumn("_key", key)
+        .join(first, ["class", "_key"], "left")
+        .withColumn("features", F.coalesce("features", F.lit("")))
+        .select(*sessions.columns, "features")
     )

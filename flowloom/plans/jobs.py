@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowloom.operators.endpoints import is_forward, with_endpoints
-from flowloom.operators.features import join_features, parse_flow_name
+from flowloom.operators.features import join_features
 from flowloom.operators.headers import decode_headers
 from flowloom.operators.labelling import (
     DEFAULT_TASK,
@@ -36,6 +36,7 @@ from flowloom.sources.captures import (
     decode_captures,
     good_packets,
     list_captures,
+    quarantine,
     read_captures,
     write_captures,
 )
@@ -79,17 +80,14 @@ def packets_of_captures(
 def packets_of_session_files(spark: SparkSession, flow_path: str) -> DataFrame:
     """Kept packets of ``flow/<class>/*.pcap``, one session per file.
 
-    The size filter runs on the file listing and decoding stops at the last
-    packet needed, so most bytes are never looked at.
+    The size filter runs on the file listing, and decoding stops at the last packet
+    needed. The key of a session is its file's name: files of the same endpoints stay
+    apart, and so do files whose names tell no endpoints, which get no statistics.
     """
     files = list_captures(spark, flow_path).where(F.col("length") >= MIN_CAPTURE_BYTES)
     packets = good_packets(decode_captures(files, max_packets=FIRST_PACKETS))
-    named = packets.withColumn("file_name", F.col("capture")).withColumnRenamed("class", "_class")
-    keyed = (
-        parse_flow_name(named)
-        .drop("class", "proto", "src_ip", "src_port", "dst_ip", "dst_port", "file_name")
-        .withColumnRenamed("_class", "class")
-        .withColumn("pos", (F.col("capture_pos") + 1).cast("int"))
+    keyed = packets.withColumn("flow_key", F.col("capture")).withColumn(
+        "pos", (F.col("capture_pos") + 1).cast("int")
     )
     ends = [F.col(c) for c in ("src_ip", "src_port", "dst_ip", "dst_port")]
     counted = with_endpoints(keyed).withColumn("forward", is_forward(*ends))
@@ -97,6 +95,23 @@ def packets_of_session_files(spark: SparkSession, flow_path: str) -> DataFrame:
     return counted.withColumn("n_pkts", size).where(F.col("n_pkts") >= MIN_PACKETS)
 
 
+def write_quarantine(
+    spark: SparkSession, input_path: str, output_path: str, class_from: str = "directory"
+) -> DataFrame:
+    """Write what the jobs leave out of the captures below ``input_path``, and return counts by class and reason.
+
+    One row per unreadable or damaged capture, with the place where reading stopped, and
+    one per packet that is no TCP or UDP packet of a known link type.
+    """
+    packets = read_captures(spark, input_path, class_from)
+    damaged = quarantine(packets).select("class", "capture", "capture_pos", F.col("error").alias("reason"))
+    unknown = with_endpoints(good_packets(packets)).where(F.col("l4").isNull())
+    reason = F.when(F.col("ip_version").isNull(), "no IP packet of a known link type").otherwise("no TCP or UDP ports")
+    left_out = damaged.unionByName(unknown.select("class", "capture", "capture_pos", reason.alias("reason")))
+    left_out.write.mode("overwrite").parquet(output_path)
+    return spark.read.parquet(output_path).groupBy("class", "reason").agg(F.count("*").alias("n"))
+
+
 def session_records(kept: DataFrame, statistics: DataFrame) -> DataFrame:
     """``class, flow_key, n_pkts, features, text`` of every kept session."""
     texts = session_text(packet_text(decode_headers(kept)))
@@ -170,7 +185,7 @@ def resplit_dataset(
     staged = stage_table(
         rows.withColumn("_digest", F.md5(text)).withColumn("_part", F.spark_partition_id()), "rows"
     )
-    numbered = slice_positions(staged, ["_digest"], F.col("_part"), ["_digest"], "_copy")
+    numbered = slice_positions(staged, ["_digest"], ["_part"], "_copy")
     write_splits(
         numbered.drop("_part"), output_path, "labels", ["_digest", "_copy"], cap, seed, csv=csv
     )

@@ -6,9 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowloom.functions.numbertext import float_text
+from flowloom.plans.staging import stage_table
+
 # Encoding and file name of the statistics files.
 ENCODING = "GBK"
-FILE_NAME = r"([^/]+)\.pcap_Flow\.csv$"
+FILE_NAME = r"([^/=]+)\.pcap_Flow\.csv(?:/part-[^/]*)?$"
+# Texts that read as missing.
+MISSING = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 
 
 def read_statistics(
@@ -16,12 +24,14 @@ def read_statistics(
 ) -> DataFrame:
     """Statistics rows with ``class`` (from the file name) and ``row_no`` (file order).
 
+    For files that all have the same columns in the same order; files that differ are
+    for :func:`read_statistics_by_class`.
     Give a ``schema`` where it is known: without one, Spark reads the files once
     more to infer the types. ``row_no`` is the block of the file a row was read
     from, then the position in it, which is the order of the file however Spark
     spreads the blocks.
     """
-    # Spark reads this encoding only with the Java character sets allowed.
+    # Spark reads this encoding only with the Java character sets allowed; the setting stays.
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     reader = spark.read.option("header", "true").option("encoding", ENCODING)
     reader = reader.option("inferSchema", "true") if schema is None else reader.schema(schema)
@@ -37,3 +47,71 @@ def read_statistics(
         order.alias("row_no"),
         *[F.col(f"`{c}`") for c in rows.columns],
     )
+
+
+def read_statistics_by_class(spark: SparkSession, path: str) -> DataFrame:
+    """``class, row_no, names, texts``: rows of files that each have a header of their own.
+
+    ``names`` has a row's columns in the order of its file, ``texts`` its values as they are
+    rendered. Types are those of a class's own values: whole numbers stay whole where
+    none is missing, other numbers are spelt as floats, missing numbers read ``nan``, and
+    everything else stays text. A file is read as lines, so a quoted value has no line end.
+    The longest header's number of columns is all that comes back to the driver.
+    """
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    file = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    order = F.struct(
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"),
+    )
+    line = F.decode(F.col("value").cast("binary"), ENCODING)
+    lines = spark.read.text(path).select(file.alias("file"), order.alias("row_no"), line.alias("line"))
+    lines = lines.where(F.trim("line") != "")
+    heads = stage_table(
+        lines.groupBy("file").agg(
+            F.min("row_no").alias("head_no"), F.min_by("line", "row_no").alias("head")
+        ),
+        "headers",
+    )
+    # Commas in quotes only make this number larger than need be.
+    width = heads.agg(F.max(F.size(F.split("head", ",")))).first()[0] or 1
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    options = {"quote": '"', "escape": '"', "nullValue": "", "emptyValue": ""}
+
+    def cells(text: str):
+        parsed = F.from_csv(F.col(text), schema, options)
+        return F.array(*[parsed[f"c{i}"] for i in range(width)])
+
+    names = F.filter(cells("head"), lambda name: name.isNotNull())
+    known = heads.select(F.col("file").alias("_file"), "head_no", names.alias("names"))
+    rows = lines.join(known, F.col("file") == F.col("_file")).where(F.col("row_no") > F.col("head_no"))
+    value = lambda v: F.when(~F.coalesce(v, F.lit("")).isin(MISSING), v)
+    rows = rows.select(
+        F.regexp_extract("file", FILE_NAME, 1).alias("class"), "file", "row_no", "names",
+        F.slice(F.transform(cells("line"), value), 1, F.size("names")).alias("values"),
+    )
+    each = rows.select("class", F.inline(F.arrays_zip(F.col("names").alias("name"), F.col("values").alias("value"))))
+    whole = F.col("value").rlike(r"^[+-]?[0-9]+$") & F.col("value").try_cast("bigint").isNotNull()
+    kinds = each.groupBy("class", "name").agg(
+        F.coalesce(F.min(F.col("value").isNull() | whole), F.lit(False)).alias("_whole"),
+        F.coalesce(F.min(F.col("value").isNull() | F.col("value").try_cast("double").isNotNull()), F.lit(False)).alias("_number"),
+        F.max(F.col("value").isNull()).alias("_missing"),
+    )
+    kind = F.when(F.col("_whole") & ~F.col("_missing"), "whole").when(F.col("_number"), "number").otherwise("text")
+    by_class = kinds.groupBy("class").agg(F.map_from_entries(F.collect_list(F.struct("name", kind))).alias("kinds"))
+
+    def text(v, k):
+        number = v.try_cast("double")
+        return (
+            F.when((k == "whole"), v.try_cast("bigint").cast("string"))
+            .when(k == "number", float_text(number))
+            .otherwise(F.coalesce(v, F.lit("nan")))
+        )
+
+    own = F.transform("names", lambda name: F.element_at("kinds", name))
+    return rows.join(by_class, "class").select(
+        "class",
+        F.struct("file", "row_no").alias("row_no"),
+        "names",
+        F.zip_with("values", own, text).alias("texts"),
+    )

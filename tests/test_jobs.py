@@ -66,6 +66,43 @@ def test_statistics_files(spark, capture_dir):
     assert first["10.0.0.2-10.0.0.3-443-5000-6"].startswith("Tot Pkts: 5")
 
 
+def test_statistics_by_class(spark, tmp_path):
+    """Files of swapped, missing and further columns, of whole numbers here and floats there."""
+    files = {
+        "a": ["Flow ID,Tot Pkts,Rate,名称", "i1,5,2.5,甲", 'i2,7,,"x, y"'],
+        "b": ["Flow ID,Rate,Tot Pkts,Label", "i1,7.5,9,BENIGN", "i3,NaN,,BENIGN"],
+        "c.v2": ["Src IP,Extra,Flow ID", "1.1.1.1,007,i1", ""],
+    }
+    for name, lines in files.items():
+        path = tmp_path / f"{name}.pcap_Flow.csv"
+        path.write_bytes("\r\n".join(lines).encode("gbk"))
+    rows = statistics.read_statistics_by_class(spark, str(tmp_path))
+    got = {(r["class"], r["flow_id"]): r["features"] for r in features.feature_text(rows).collect()}
+    assert got == {
+        ("a", "i1"): "Tot Pkts: 5, Rate: 2.5, 名称: 甲",
+        ("a", "i2"): "Tot Pkts: 7, Rate: nan, 名称: x, y",
+        ("b", "i1"): "Rate: 7.5, Tot Pkts: 9.0",
+        ("b", "i3"): "Rate: nan, Tot Pkts: nan",
+        ("c.v2", "i1"): "Extra: 7",
+    }
+    first = {(r["class"], r["flow_key"]): r["features"] for r in features.first_features(rows).collect()}
+    assert first["b", "i1"] == got["b", "i1"]
+
+
+def test_one_session_for_each_file(spark, tmp_path):
+    packets = [(i * 10, frame(1, payload=900)) for i in range(5)]
+    names = ["sess0.pcap", "sess1.pcap", "w.pcap.TCP_10-0-0-1_1_10-0-0-2_2.pcap", "w.pcap.TCP_10-0-0-2_2_10-0-0-1_1.pcap"]
+    for name in names:
+        X.write(tmp_path / "w" / name, X.capture(packets))
+    X.write(tmp_path / "w" / "bad.pcap", b"no capture" * 300)
+    got = jobs.packets_of_session_files(spark, str(tmp_path)).groupBy("flow_key").agg(
+        F.array_sort(F.collect_list("pos")).alias("p")
+    )
+    assert {r["flow_key"]: r["p"] for r in got.collect()} == {n: [1, 2, 3, 4, 5] for n in names}
+    counts = jobs.write_quarantine(spark, str(tmp_path), str(tmp_path / "left_out"))
+    assert [(r["class"], r["n"]) for r in counts.collect()] == [("w", 1)]
+
+
 def test_row_numbers_follow_the_file_over_many_blocks(spark, tmp_path):
     lines = [f"id{i},a,1,b,2,6,t,9,{i},x,0.5,x" for i in range(20_000)]
     statistics_csv(tmp_path / "c +1.pcap_Flow.csv", lines)
@@ -83,6 +120,7 @@ def test_row_numbers_follow_the_file_over_many_blocks(spark, tmp_path):
 
 @pytest.mark.parametrize("from_files", [False, True])
 def test_dataset_build(spark, capture_dir, tmp_path, from_files):
+    key_of = {}
     if from_files:
         raw = captures.good_packets(
             captures.read_captures(spark, str(capture_dir / "raw"), "file")
@@ -95,6 +133,7 @@ def test_dataset_build(spark, capture_dir, tmp_path, from_files):
             file = f"{name}.pcap.TCP_{a.replace('.', '-')}_{p}_{b.replace('.', '-')}_{q}.pcap"
             content = X.capture([(r["ts_us"], bytes(r["data"])) for r in packets])
             X.write(tmp_path / "flow" / name / file, content)
+            key_of[file] = key
         kept = jobs.packets_of_session_files(spark, str(tmp_path / "flow"))
     else:
         kept = jobs.packets_of_captures(spark, str(capture_dir / "raw"))
@@ -106,7 +145,7 @@ def test_dataset_build(spark, capture_dir, tmp_path, from_files):
     assert labels == {"dns.v2": 0, "web": 1}
     data = spark.read.parquet(f"{out}/data").collect()
     assert Counter(r["class"] for r in data) == {"web": 12, "dns.v2": 3}
-    by_key = {(r["class"], r["flow_key"]): r for r in data}
+    by_key = {(r["class"], key_of.get(r["flow_key"], r["flow_key"])): r for r in data}
     row = by_key["web", "10.0.0.2-10.0.0.3-443-5000-6"]
     assert row["inputs"].startswith(
         "Below is a traffic session. Please conduct the malicious DoH detection task: "
