@@ -11,7 +11,7 @@ from flowloom.functions.numbertext import seconds_text
 from flowloom.operators import evaluation, features, labelling, render, splitting, tokens
 from flowloom.operators.headers import HEADER_COLUMNS, decode_headers
 from flowloom.operators.modelling import fit_select as fit_and_select
-from flowloom.operators.modelling import report_test
+from flowloom.operators.modelling import score_splits
 from flowloom.operators.sessions import (
     KEY,
     assign_sessions,
@@ -239,23 +239,23 @@ def pcap_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two proxies: ten classes from embeddings, two from document labels."""
+    """Two proxies: the largest component of embeddings against their label, and document labels."""
     vectors = table(spark, sf_dir, "embeddings")
-    logits = vectors.select("vec_id", F.slice("embedding", 1, 10).alias("logits"))
-    ten = evaluation.score_predictions(logits, vectors.select("vec_id", "label"), ["vec_id"])
+    logits = vectors.select("vec_id", F.col("embedding").alias("logits"))
+    far = evaluation.score_predictions(logits, vectors.select("vec_id", "label"), ["vec_id"])
     two = table(spark, sf_dir, "labels").select(
         F.lit("labels").alias("proxy"), F.col("quality").alias("y_true"),
         F.col("toxic").alias("y_pred"),
     )
-    ten = ten.select(F.lit("embeddings").alias("proxy"), "y_true", "y_pred")
-    return two.unionByName(ten)
+    far = far.select(F.lit("embeddings").alias("proxy"), "y_true", "y_pred")
+    return two.unionByName(far)
 
 
 def argmax_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return vectors.select(
         "vec_id",
-        evaluation.argmax(F.slice("embedding", 1, 10)).cast("bigint").alias("y_pred"),
+        evaluation.argmax(F.col("embedding")).cast("bigint").alias("y_pred"),
         F.col("label").cast("bigint").alias("y_true"),
     )
 
@@ -283,7 +283,7 @@ def best_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run"), "event_id", "ts", F.col("value").alias("f1")
     )
-    epochs = slice_positions(events, ["run"], F.to_date("ts"), ["ts", "event_id"], "epoch")
+    epochs = slice_positions(events, ["run"], ["ts", "event_id"], "epoch")
     best = _ints(evaluation.best_epoch(epochs), "n_epochs", "stop_epoch", "best_epoch")
     return _rounded(best, "best_score")
 
@@ -305,7 +305,8 @@ def encode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fit_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language of a document from its text: fit, choose on val, report on test."""
+    """Language of a document from its text: rows scored per split and label, and whether
+    macro F1 there beats the most frequent label of the split."""
     docs = table(spark, sf_dir, "documents")
     labels = stage_table(labelling.label_dictionary(docs, "lang"), "labels")
     chosen = splitting.split_assign(docs.select("lang", "doc_id"), "lang", ["doc_id"])
@@ -317,7 +318,13 @@ def fit_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     dataset = stage_table(rows, "dataset")
     model, _, _ = fit_and_select(dataset, ["doc_id"], grid=(0.01, 0.1))
-    return _rounded(report_test(model, dataset, ["doc_id"]), "accuracy", "precision", "recall", "f1")
+    scored = stage_table(score_splits(model, dataset, ["doc_id"]), "scored")
+    counts = scored.groupBy("split", F.col("y_true").cast("bigint").alias("label")).agg(F.count("*").alias("n"))
+    common = counts.groupBy("split").agg(F.max_by("label", F.struct("n", "label")).alias("y_pred"))
+    plain = evaluation.eval_metrics(scored.drop("y_pred").join(common, "split"), ["split"])
+    own = evaluation.eval_metrics(scored, ["split"]).select("split", F.col("f1").alias("own"))
+    better = own.join(plain, "split").select("split", (F.col("own") > F.col("f1")).alias("beats_common_label"))
+    return counts.join(better, "split").select("split", "label", "n", "beats_common_label")
 
 
 QUERIES = {

@@ -17,7 +17,6 @@ RECORD_HEADER_BYTES = 16
 
 KEY = ["class", "flow_key"]
 CAPTURE_ORDER = ["ts_us", "capture", "capture_pos"]
-SLICE_US = 1_000_000
 
 
 def assign_sessions(packets: DataFrame) -> DataFrame:
@@ -35,10 +34,9 @@ def assign_sessions(packets: DataFrame) -> DataFrame:
 def session_positions(sessions: DataFrame, order: list[str] = CAPTURE_ORDER) -> DataFrame:
     """Position of every packet within its session, in capture-time order.
 
-    A session is ranked in one-second slices: a slice holds no more packets than
-    the line can carry in a second, however long the session is.
+    Long sessions are ranked in ranges, also where many packets share a time.
     """
-    return slice_positions(sessions, KEY, F.floor(F.col("ts_us") / SLICE_US), order)
+    return slice_positions(sessions, KEY, order)
 
 
 def session_stats(sessions: DataFrame) -> DataFrame:

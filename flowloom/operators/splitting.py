@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.functions.hashing import seeded_hash
@@ -14,9 +14,6 @@ SMALL_CLASS = 10
 SEED = 42
 SPLITS = ("train", "val", "test")
 
-# Hash digits that name a slice: 4096 equal slices per split.
-_SLICE_DIGITS = 3
-
 
 def class_cap(
     rows: DataFrame, by: str, key: list[str], cap: int = MAX_PER_CLASS, seed: int = SEED
@@ -48,19 +45,21 @@ def split_assign(
 ) -> DataFrame:
     """Cap each class and add ``split``.
 
-    A class below ten rows goes whole to all three splits, or to ``train`` only
-    with ``small="train"``.
+    A class of fewer than ten rows, counted ahead of the cap, goes whole to all
+    three splits, or to ``train`` only with ``small="train"``.
     """
     if small not in ("replicate", "train"):
         raise ValueError("small must be 'replicate' or 'train'")
-    sized = class_cap(rows.where(F.col(by).isNotNull()), by, key, cap, seed).withColumn(
-        "_n", F.count("*").over(Window.partitionBy(by))
-    )
+    known = rows.where(F.col(by).isNotNull())
+    # Totals combine before the shuffle; a capped class has the cap's rows or all of its own.
+    totals = known.groupBy(by).agg(F.count("*").alias("_all"))
+    sized = class_cap(known, by, key, cap, seed).join(totals, by)
+    sized = sized.withColumn("_n", F.least("_all", F.lit(cap)))
     everywhere = F.array(*[F.lit(s) for s in (SPLITS if small == "replicate" else SPLITS[:1])])
-    target = F.when(F.col("_n") < SMALL_CLASS, everywhere).otherwise(
+    target = F.when(F.col("_all") < SMALL_CLASS, everywhere).otherwise(
         F.array(split_of_rank(F.col("rank"), F.col("_n")))
     )
-    return sized.withColumn("split", F.explode(target)).drop("_n", "rank")
+    return sized.withColumn("split", F.explode(target)).drop("_n", "_all", "rank")
 
 
 def split_sizes(assigned: DataFrame) -> DataFrame:
@@ -72,8 +71,7 @@ def seeded_shuffle(
 ) -> DataFrame:
     """Add the position of each row in the seeded order of its split.
 
-    Hash prefixes cut a split into equal ordered slices, so no task sees a whole split.
+    A split is ranked in ranges of the order, so no task sees a whole split.
     """
     hashed = rows.withColumn("_hash", seeded_hash(seed, *key))
-    prefix = F.substring("_hash", 1, _SLICE_DIGITS)
-    return slice_positions(hashed, by, prefix, ["_hash", *key], pos).drop("_hash")
+    return slice_positions(hashed, by, ["_hash", *key], pos).drop("_hash")

@@ -13,49 +13,33 @@ from pyspark.sql import functions as F
 
 from flowloom.plans.staging import stage_table
 
-# Rows one task ranks without trouble.
-HOT_ROWS = 1_000_000
 # Default of spark.sql.optimizer.windowGroupLimitThreshold.
 CUT_LIMIT = 1000
 
 
-def slice_positions(
-    df: DataFrame,
-    group: list[str],
-    slice_by: Column,
-    order: list[str],
-    pos: str = "pos",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def slice_positions(df: DataFrame, group: list[str], order: list[str], pos: str = "pos") -> DataFrame:
     """1-based position within ``group`` ordered by ``order``.
 
-    Only groups of more than ``hot_rows`` rows are cut into slices; rows of one
-    slice are ranked in one task. ``slice_by`` must not decrease along ``order``.
-    Groups are counted ahead, from their key columns alone.
+    Rows are dealt out by ranges of (group, order), whose bounds Spark samples, so a
+    group spreads over as many tasks as its rows take, whatever their order values
+    are. The written table fixes the ranges. A row's position is its rank in its range
+    plus the number of rows of the group in earlier ranges.
     """
-    hot = stage_table(
-        df.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows), "hot"
-    )
-    if hot.isEmpty():
-        return df.withColumn(pos, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    sliced = df.join(hot, group, "left").withColumn("_slice", F.when(F.col("_n").isNotNull(), slice_by))
+    ranges = df.repartitionByRange(*group, *order).withColumn("_slice", F.spark_partition_id())
+    dealt = stage_table(ranges, "ranges")
     key = [*group, "_slice"]
     earlier = (
         Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        df.join(hot, group, "left_semi")
-        .withColumn("_slice", slice_by)
-        .groupBy(*key)
+        dealt.groupBy(*key)
         .agg(F.count("*").alias("_rows"))
-        .select(*key, F.sum("_rows").over(earlier).alias("_before"))
+        .select(*[F.col(c).alias(f"_of_{c}") for c in key], F.sum("_rows").over(earlier).alias("_before"))
     )
-    ranked = sliced.withColumn("_in", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    ranked = dealt.withColumn("_in", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in key]
     placed = F.coalesce("_before", F.lit(0)) + F.col("_in")
-    return (
-        ranked.join(offsets, key, "left").withColumn(pos, placed)
-        .drop("_n", "_slice", "_before", "_in")
-    )
+    return ranked.join(offsets, same, "left").withColumn(pos, placed).select(*df.columns, pos)
 
 
 def max_before_slice(

@@ -44,15 +44,6 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when the input has fewer splits than that.
-
-    Large inputs come in more splits than there are cores and pass unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def join_staged(facts: DataFrame, dimension: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join ``facts`` to a table of usually few rows without a broadcast hint.
 

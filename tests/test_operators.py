@@ -66,9 +66,7 @@ def test_flow_key_is_the_same_both_ways(spark, ends):
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 40), st.integers(0, 10**6)), min_size=1))
 def test_slice_positions_match_plain_ranks(spark, rows):
     df = spark.createDataFrame([(g, t, k, i) for i, (g, t, k) in enumerate(rows)], "g int, t int, k int, i int")
-    by_ten = F.floor(F.col("t") / 10)
-    got = slice_positions(df, ["g"], by_ten, ["t", "k", "i"], hot_rows=2).collect()
-    assert Counter(got) == Counter(slice_positions(df, ["g"], by_ten, ["t", "k", "i"]).collect())
+    got = slice_positions(df, ["g"], ["t", "k", "i"]).collect()
     want = {}
     for g in {r[0] for r in rows}:
         ordered = sorted((t, k, i) for i, (h, t, k) in enumerate(rows) if h == g)
@@ -76,6 +74,25 @@ def test_slice_positions_match_plain_ranks(spark, rows):
     assert {r["i"]: r["pos"] for r in got} == want
 
 
+def test_slice_positions_of_one_hot_group_with_equal_times(spark):
+    df = spark.range(20_000, numPartitions=6).select(
+        F.lit("hot").alias("g"), F.lit(7).alias("t"), F.md5(F.col("id").cast("string")).alias("k")
+    )
+    got = slice_positions(df, ["g"], ["t", "k"]).collect()
+    assert [r["k"] for r in sorted(got, key=lambda r: r["pos"])] == sorted(r["k"] for r in got)
+    assert sorted(r["pos"] for r in got) == list(range(1, 20_001))
+
+
+def test_small_classes_are_counted_ahead_of_the_cap(spark):
+    rows = spark.range(1000).select(F.lit("big").alias("c"), "id").union(
+        spark.range(9).select(F.lit("small").alias("c"), "id")
+    )
+    got = Counter((r["c"], r["split"]) for r in splitting.split_assign(rows, "c", ["id"], cap=8).collect())
+    assert got == {("big", "train"): 6, ("big", "val"): 1, ("big", "test"): 1, **{("small", s): 8 for s in ("train", "val", "test")}}
+
+
+
+
 def test_lowest_per_group_on_a_hot_group(spark):
     df = spark.range(50_000, numPartitions=7).select(
         F.when(F.col("id") % 10 < 9, "hot").otherwise("cold").alias("g"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from catalog.jobs import QUERIES
 from flowloom.operators.sessions import MIN_CAPTURE_BYTES
 from flowloom.sources.captures import list_captures
 from tests import frames as X
@@ -23,9 +23,9 @@ def plan_of(df, mode="simple"):
         spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - {"fit_select"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"fit_select"}))
 def test_no_pairwise_joins_and_no_row_wise_python(spark, name):
-    plan = plan_of(queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan
     assert ("MapInArrow" in plan) == (name == "pcap_roundtrip")
@@ -35,7 +35,7 @@ def test_session_text_reuses_the_partitioning_of_the_cut(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(queries()["session_text"](spark, SF_DIR))
+        plan = plan_of(QUERIES["session_text"](spark, SF_DIR))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("Exchange hashpartitioning") == 2  # packets cut to five, and totals
@@ -44,13 +44,13 @@ def test_session_text_reuses_the_partitioning_of_the_cut(spark):
 
 def test_capped_queries_cut_ahead_of_the_shuffle(spark):
     for name in ("class_cap", "split_assign"):
-        plan = plan_of(queries()[name](spark, SF_DIR))
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
         assert plan.count("WindowGroupLimit") == 4
         assert "text" not in plan.split("ReadSchema")[1]
 
 
 def test_encoding_shuffles_rows_once(spark):
-    plan = plan_of(queries()["encode_tokens"](spark, SF_DIR))
+    plan = plan_of(QUERIES["encode_tokens"](spark, SF_DIR))
     assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
 
 

@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog.jobs import QUERIES
+from catalog.oracles import ORACLES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -27,7 +29,7 @@ def canonical(rows):
     return sorted(repr(tuple(None if v is None else str(v) for v in row)) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(spark, con, name):
     df = queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
@@ -39,12 +41,7 @@ def test_same_rows(spark, con, name):
 
 def test_registered_names():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"fit_select"}
-
-
-def test_fit_select(spark):
-    row = queries()["fit_select"](spark, SF_DIR).first()
-    assert 0.0 <= row["f1"] <= 1.0 and row["n"] > 0
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):
