@@ -16,18 +16,18 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.llm.batches import slices
-from flowloom.plans.staging import stage_table
+from flowloom.llm.bucketed import bucketed
 
 # Texts of one chunk: so many characters, and so many rows.
 CHUNK_CHARS = 32_000_000
@@ -107,11 +107,12 @@ def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def _packed(numbers: np.ndarray) -> bytes:
     """Numbers as their byte planes, compressed: upper bytes of small numbers cost next to nothing."""
-    return zlib.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
@@ -126,7 +127,13 @@ def _chunks(docs: DataFrame, pattern: str, id_col: str, text_col: str, chunk_cha
         ids, sizes, places, chars, turn, kind = [], [], [], 0, 0, None
 
         def row() -> pa.RecordBatch:
-            cells = [[task + turn], [list(words)], [ids], [sizes], [_packed(np.concatenate(places))]]
+            # Words are numbered by how often they come, which packs best.
+            numbers = np.concatenate(places)
+            order = np.argsort(-np.bincount(numbers, minlength=len(words)), kind="stable")
+            rank = np.empty(len(words), np.int64)
+            rank[order] = np.arange(len(words))
+            listed = list(words)
+            cells = [[task + turn], [[listed[w] for w in order.tolist()]], [ids], [sizes], [_packed(rank[numbers])]]
             types = [pa.int64(), pa.list_(pa.string()), pa.list_(kind), pa.list_(pa.int32()), pa.binary()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cells, types, strict=True)], names=["chunk", "words", "ids", "sizes", "places"]
@@ -170,7 +177,7 @@ def encode(
     does not make a task cut other chunks than those that are in use.
     """
     spark = docs.sparkSession
-    chunks = stage_table(_chunks(docs, pattern, id_col, text_col, chunk_chars), "chunks")
+    chunks = bucketed(_chunks(docs, pattern, id_col, text_col, chunk_chars), "chunk")
     sent = spark.sparkContext.broadcast(ranks)
 
     def encode_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
