@@ -25,6 +25,7 @@ from flowloom.operators.sessions import (
 from flowloom.plans.jobs import session_records
 from flowloom.plans.ranks import slice_positions
 from flowloom.plans.staging import fresh_path, stage_table
+from flowloom.sources import statistics
 from flowloom.sources.captures import capture_contents, decode_captures, good_packets
 from flowloom.sources.datasets import (
     read_dataset,
@@ -129,6 +130,24 @@ def feature_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def statistics_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics as GBK files with a header of their own for each class, in two column orders, read back."""
+    rows = fixtures.statistics(spark, sf_dir).withColumn("part", F.concat("class", F.lit(".pcap_Flow.csv")))
+    path = fresh_path(spark, "statistics")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # Spark writes this encoding only so
+    names = [c for c in rows.columns if c not in ("class", "row_no", "part")]
+    for turned, order in ((0, names), (1, names[::-1])):
+        half = rows.where(F.pmod(F.crc32("class"), F.lit(2)) == turned)
+        # One writer for each class, as a class is one file, in the order of its rows.
+        files = half.repartition("class").sortWithinPartitions("class", "row_no")
+        writer = files.select("part", *[F.col(f"`{c}`") for c in order]).write.partitionBy("part").mode("append")
+        writer.option("header", "true").option("encoding", statistics.ENCODING).csv(path)
+    read = statistics.read_statistics_by_class(spark, f"{path}/*")
+    return features.feature_text(read).select(
+        "class", "flow_id", F.array_join(F.array_sort(F.split("features", ", ")), ", ").alias("features")
+    )
+
+
 def feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     survivors = surviving_sessions(fixtures.sessions(spark, sf_dir)).select(*KEY)
     return features.join_features(survivors, fixtures.statistics(spark, sf_dir))
@@ -332,6 +351,7 @@ QUERIES = {
     for f in (
         session_groups, session_order, first_packets, session_filter, class_report, header_fields,
         packet_timing, tcp_running_state, packet_text, session_text, flow_name_parse, feature_text,
+        statistics_roundtrip,
         feature_join, label_dictionary, task_mapping, instruction_text, dataset_rows, class_cap,
         split_assign, split_sizes, seeded_shuffle, dataset_roundtrip, pcap_roundtrip,
         argmax_predict, eval_metrics, per_class_metrics, confusion_matrix, best_epoch, vocab_build,
