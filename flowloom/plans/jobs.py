@@ -31,7 +31,7 @@ from flowloom.operators.sessions import (
 )
 from flowloom.operators.splitting import MAX_PER_CLASS, SEED, split_assign
 from flowloom.plans.ranks import slice_positions
-from flowloom.plans.staging import stage_table
+from flowloom.plans.staging import leaves_nothing, stage_table
 from flowloom.sources.captures import (
     decode_captures,
     good_packets,
@@ -63,6 +63,7 @@ def staged_sessions(
     return stage_table(assign_sessions(packets), "sessions")
 
 
+@leaves_nothing
 def split_captures(
     spark: SparkSession, input_path: str, output_path: str, class_from: str = "file"
 ) -> None:
@@ -119,6 +120,7 @@ def session_records(kept: DataFrame, statistics: DataFrame) -> DataFrame:
     return with_feature_text(joined, F.col("features")).drop("packets_text")
 
 
+@leaves_nothing
 def build_dataset(
     kept: DataFrame,
     statistics: DataFrame,
@@ -151,6 +153,7 @@ def build_dataset(
     write_splits(rows, output_path, "class", KEY, cap, seed, small, csv)
 
 
+@leaves_nothing
 def write_splits(
     rows: DataFrame,
     output_path: str,
@@ -169,6 +172,7 @@ def write_splits(
         write_split_files(read_dataset(rows.sparkSession, f"{output_path}/splits"), output_path)
 
 
+@leaves_nothing
 def resplit_dataset(
     rows: DataFrame, output_path: str, cap: int = MAX_PER_CLASS, seed: int = SEED, csv: bool = False
 ) -> None:

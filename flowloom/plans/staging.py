@@ -7,8 +7,11 @@ decides whether it is shipped to every executor.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,9 +34,41 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+# Folders handed out within :func:`temporary_tables`, innermost last.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, what was staged in it; frames that read it must be done by then."""
+    folders: list[str] = []
+    _SCOPES.append(folders)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(folders)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def leaves_nothing(job: Callable[..., None]) -> Callable[..., None]:
+    """A job that writes its results, after which nothing that it has staged is needed."""
+
+    @functools.wraps(job)
+    def run(*args, **named) -> None:
+        with temporary_tables(SparkSession.active()):
+            job(*args, **named)
+
+    return run
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/flowloom/{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_dir(spark)}/flowloom/{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(folder)
+    return f"{folder}/{name}"
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

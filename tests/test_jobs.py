@@ -258,6 +258,19 @@ def test_shared_folder(spark):
     assert one != two and one.startswith(staging.shared_dir(spark))
 
 
+def test_staged_tables_go_with_their_scope(spark):
+    import os
+
+    with staging.temporary_tables(spark):
+        kept = staging.stage_table(spark.range(3), "t")
+        with staging.temporary_tables(spark):
+            inner = staging.fresh_path(spark, "u")
+            spark.range(2).write.parquet(inner)
+        assert kept.count() == 3 and not os.path.exists(inner.removeprefix("file:"))
+        outer = kept.inputFiles()[0].removeprefix("file://")
+    assert not os.path.exists(outer)
+
+
 def test_join_beyond_the_broadcast_threshold(spark):
     sessions = spark.createDataFrame([("a", "k1", "x"), ("b", "k2", "y")], "class string, flow_key string, text string")
     labels = labelling.label_dictionary(sessions)
