@@ -30,11 +30,11 @@ from flowloom.llm.batches import slices
 from flowloom.llm.bucketed import bucketed
 
 # Texts of one chunk: so many characters, and so many rows.
-CHUNK_CHARS = 32_000_000
+CHUNK_CHARS = 16_000_000
 # A word's number packs its chunk and its place there; a chunk's, its task and its turn.
 PLACE_BITS, TURN_BITS = 26, 13
 # Encoded words that are held before they are packed by chunk.
-PACK_ROWS = 400_000
+PACK_ROWS = 150_000
 # Words up to this many bytes are merged by looking at all pairs, longer ones with a heap.
 SHORT_WORD = 96
 
