@@ -13,7 +13,9 @@ from flowloom.functions.bytefields import hex_at, ipv4_text, ipv6_text, uint_at
 
 # Link types, EtherTypes and protocol numbers.
 LINK_ETHERNET = 1
-LINK_RAW_IP = 101
+# Bytes ahead of the network header by link type, where there is no VLAN tag:
+# raw IP and its aliases, loopback with an address family, two forms of Linux cooked captures.
+LINK_BYTES = {12: 0, 101: 0, 228: 0, 229: 0, 0: 4, 108: 4, 113: 16, 276: 20}
 VLAN_TYPES = ("8100", "88A8")
 ETHERTYPE_IPV4 = "0800"
 ETHERTYPE_IPV6 = "86DD"
@@ -38,16 +40,16 @@ def with_endpoints(packets: DataFrame) -> DataFrame:
     tag1 = ethernet & hex_at(h, 12, 2).isin(*VLAN_TYPES)
     tag2 = tag1 & hex_at(h, 16, 2).isin(*VLAN_TYPES)
     # One byte of the network header decides; Ethernet names the same protocol before it.
-    network = F.when(link == LINK_RAW_IP, hex_at(h, 0, 1).substr(1, 1)).otherwise(
-        F.concat(hex_at(h, ip0 - 2, 2), hex_at(h, ip0, 1).substr(1, 1))
-    )
+    version = hex_at(h, ip0, 1).substr(1, 1)
+    network = F.when(ethernet, F.concat(hex_at(h, ip0 - 2, 2), version)).otherwise(version)
+    ahead = F.create_map(*[F.lit(x) for pair in LINK_BYTES.items() for x in pair])
     offset_bits = uint_at(h, ip0 + 6, 2).bitwiseAND(0x1FFF)
     ihl = (uint_at(h, ip0, 1).bitwiseAND(15) * 4).cast("int")
     carried = proto.isin(TCP, UDP) & (v6 | (offset_bits == 0))
     ended = (
         packets.withColumn("_h", F.hex(F.substring("data", 1, _LOOKAHEAD)))
         .withColumn("vlan_tags", F.when(tag2, 2).when(tag1, 1).otherwise(0))
-        .withColumn("ip0", F.when(ethernet, tags * 4 + 14).when(link == LINK_RAW_IP, 0))
+        .withColumn("ip0", F.when(ethernet, tags * 4 + 14).otherwise(F.try_element_at(ahead, link)))
         .withColumn(
             "ip_version",
             F.when(network.isin("4", ETHERTYPE_IPV4 + "4"), 4).when(

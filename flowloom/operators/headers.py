@@ -204,7 +204,9 @@ def decode_headers(kept: DataFrame) -> DataFrame:
 
     delta = F.coalesce("time_delta_us", F.lit(0))
     ds, ip_flags = uint_at(h, 1, 1), F.shiftright(uint_at(h, 6, 1), 5)
-    link = F.when(F.col("ip0") == 0, "raw").otherwise(
+    # Ethernet has its network header at 14 or more; a cooked capture's lies at 16 or 20, between tags.
+    ahead = F.when(F.col("ip0") == 0, "raw").when(F.col("ip0") == 4, "null")
+    link = ahead.when(F.col("ip0").isin(16, 20), "sll:ethertype").otherwise(
         F.concat(F.lit("eth:ethertype"), F.repeat(F.lit(":vlan:ethertype"), F.col("vlan_tags")))
     )
     values = {

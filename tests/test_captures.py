@@ -105,6 +105,10 @@ def test_link_and_network_layers(spark):
     assert [tuple(r) for r in got.select(*columns).collect()] == [want for _, want in cases]
     raw = with_endpoints(decoded(spark, [X.ipv4(A, B, segment)], link=101)).first()
     assert (raw["ip0"], raw["l4"], raw["src_ip"]) == (0, 20, A)
+    for link, ahead in ((12, 0), (228, 0), (0, 4), (108, 4), (113, 16), (276, 20)):
+        got = with_endpoints(decoded(spark, [bytes(ahead) + X.ipv4(A, B, segment)], link=link)).first()
+        assert (got["ip0"], got["l4"], got["src_ip"], got["dst_ip"]) == (ahead, ahead + 20, A, B)
+    assert with_endpoints(decoded(spark, [X.ipv4(A, B, segment)], link=9999)).first()["l4"] is None
 
 
 def test_packets_without_ports_are_left_out(spark):
