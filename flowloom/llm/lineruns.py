@@ -18,12 +18,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowloom.plans.staging import join_staged, stage_table
+from flowloom.plans.staging import stage_table
 
 MIN_WORDS = 50
 _WORD = r"[^\x09-\x0D\x20]+"
 
 
+def _met(facts: DataFrame, groups: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Rows with what their group, of which ``groups`` has one row, knows.
+
+    Always by sort and merge, so that the plan is the same for any size; the rows of a hot group
+    are split by adaptive execution, as the written ``groups`` are an exchange of their own.
+    """
+    return facts.join(stage_table(groups, "groups").hint("merge"), on, how)
+
+
 def _key(id_col: str, text_col: str) -> Column:
     """What names a row: its id and text. Repeated rows are one document."""
     parts = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(text_col, F.lit("")))
@@ -39,7 +48,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _ranked(groups: DataFrame, by: list[str], rank: str) -> DataFrame:
     """Ranks in the order of ``by``, not dense; the written table fixes them."""
-    return stage_table(groups.orderBy(*by).select(*by, F.monotonically_increasing_id().alias(rank)), "ranks")
+    return groups.orderBy(*by).select(*by, F.monotonically_increasing_id().alias(rank))
 
 
 def _double(level: DataFrame, size: int) -> DataFrame:
@@ -48,7 +57,7 @@ def _double(level: DataFrame, size: int) -> DataFrame:
     pairs = stage_table(level.join(ahead, ["key", "line"]).select("key", "line", "rank", "next"), "pairs")
     shared = pairs.groupBy("rank", "next").count().where(F.col("count") > 1)
     ranks = _ranked(shared, ["rank", "next"], "own")
-    return stage_table(join_staged(pairs, ranks, ["rank", "next"]).select("key", "line", F.col("own").alias("rank")), "level")
+    return stage_table(_met(pairs, ranks, ["rank", "next"]).select("key", "line", F.col("own").alias("rank")), "level")
 
 
 def _stretches(active: DataFrame, min_words: int) -> DataFrame:
@@ -86,7 +95,7 @@ def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # A row that is repeated in the table would repeat its own lines.
     often = lines.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     ids = _ranked(often, ["hash"], "rank")
-    active = join_staged(lines, ids, ["hash"]).select("doc", "key", "line", "words", "rank").dropDuplicates(["key", "line"])
+    active = _met(lines, ids, ["hash"]).select("doc", "key", "line", "words", "rank").dropDuplicates(["key", "line"])
     active = stage_table(active, "active")
     asked = stage_table(_stretches(active, min_words), "stretches")
     length = F.col("stop") - F.col("start") + 1
@@ -106,7 +115,7 @@ def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = stage_table(named.select("rank_a", "rank_b", length.alias("length"), "start", "stop", "key", place.alias("place")), "named")
     same = ["rank_a", "rank_b", "length"]
     firsts = named.groupBy(*same).agg(F.min("place").alias("earliest"), F.count("*").alias("n")).where(F.col("n") > 1).drop("n")
-    later = join_staged(named, firsts, same).where(F.col("place") > F.col("earliest"))
+    later = _met(named, firsts, same).where(F.col("place") > F.col("earliest"))
     gone = later.select("key", F.explode(F.sequence("start", "stop")).alias("line")).distinct()
     island = F.col("line") - F.row_number().over(Window.partitionBy("key").orderBy("line"))
     runs = gone.withColumn("island", island).groupBy("key", "island").agg(F.min("line").alias("start"), F.max("line").alias("stop"))
@@ -129,8 +138,8 @@ def deduplicated(
     others. Rows equal in id and text are one document and keep or lose the same lines.
     """
     key, runs, kept = (_free(n, docs.columns) for n in ("_key", "_runs", "_kept"))
-    found = stage_table(later_runs(docs, id_col, text_col, min_words), "runs").select(F.col("key").alias(key), F.col("runs").alias(runs))
-    whole = join_staged(docs.withColumn(key, _key(id_col, text_col)), found, [key], "left")
+    found = later_runs(docs, id_col, text_col, min_words).select(F.col("key").alias(key), F.col("runs").alias(runs))
+    whole = _met(docs.withColumn(key, _key(id_col, text_col)), found, [key], "left")
     lines = F.split(F.col(text_col), "\n")
     # Kept lines lie before, between and after the runs.
     begin = lambda n: F.when(n == 0, 0).otherwise(F.get(runs, n - 1)["stop"] + 1)
