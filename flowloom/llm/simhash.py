@@ -200,7 +200,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     Of repeated rows of that id one stays. Rows whose id is null have no name to keep them by and all stay.
     """
     found = classes(docs, id_col, text_col, shingle_words).where(F.col("doc_id") == F.col("component_id"))
-    kept = docs.join(stage_table(found.select(F.col("doc_id").alias(id_col)).distinct(), "kept"), id_col, "left_semi")
+    ids = stage_table(found.select(F.col("doc_id").alias(id_col)).distinct(), "kept")
+    kept = docs.join(ids.hint("merge"), id_col, "left_semi")
     # Ranks lie on the join's own partitioning; a column of docs may have any name, so the rank gets a free one.
     rank = "_rank"
     while rank in docs.columns:
