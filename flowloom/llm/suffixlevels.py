@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.llm.batches import slices
-from flowloom.plans.staging import stage_table
+from flowloom.llm.bucketed import bucketed
 
 LENGTH = 50
 GRAM = 24
 # Bytes of text in a chunk, and of text that is hashed at once.
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 8_000_000
 SEGMENT = 1 << 19
 # Windows of one piece at most; their marks are the bits of one number.
 PIECE = 64
@@ -432,18 +432,19 @@ def deduplicate(
     """
     spark = docs.sparkSession
     many = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = stage_table(_chunks(docs, id_col, text_col, many, chunk_bytes), "chunks")
+    # The written table fixes what a chunk holds; all that follows depends on it alone.
+    chunks = bucketed(_chunks(docs, id_col, text_col, many, chunk_bytes), "chunk")
     listed = chunks.select("chunk", F.explode("listed").alias("l")).select("chunk", "l.bucket", "l.groups", "l.many")
     shared = listed.groupBy("bucket").applyInArrow(_shared_groups, "of_chunk bigint, bucket bigint, size bigint, bits binary")
     texts = chunks.select("chunk", "ids", "sizes", "texts")
-    pieces = stage_table(
+    # Worked out once for the buckets and once for the chunks, which is cheaper than to keep them.
+    pieces = (
         texts.groupBy("chunk")
         .cogroup(shared.groupBy("of_chunk"))
         .applyInArrow(
             lambda chunk, replies: _pieces_of(chunk, replies, many),
             "chunk bigint, uses array<binary>, listed array<struct<bucket:bigint,bytes:binary,many:binary,doc:binary,place:binary>>",
-        ),
-        "pieces",
+        )
     )
     asked = pieces.select("chunk", F.explode("listed").alias("l")).select("chunk", "l.bucket", "l.bytes", "l.many", "l.doc", "l.place")
     decided = asked.groupBy("bucket").applyInArrow(_decide, "of_chunk bigint, cells array<binary>")
