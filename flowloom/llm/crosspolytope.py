@@ -123,11 +123,14 @@ def _best(queries: pa.Table, entries: pa.Table, keep: int) -> pa.Table:
         else:
             bound = np.full(len(near), -np.inf)
         for line, (scores, least) in enumerate(zip(near, bound, strict=True)):
-            at = np.flatnonzero(scores >= least)
-            at = at[np.lexsort((ids[at], -scores[at]))][:keep]
-            out[0].append(np.full(len(at), asked[start + line]))
-            out[1].append(ids[at])
-            out[2].append(scores[at])
+            # A product of matrices rounds by their shapes; what is returned must not, so the few are
+            # summed again. The slack keeps those whose last bits the product has put below the bound.
+            at = np.flatnonzero(scores >= least - 1e-9)
+            exact = (rows[at] * unit[start + line]).sum(axis=1)
+            order = np.lexsort((ids[at], -exact))[:keep]
+            out[0].append(np.full(len(order), asked[start + line]))
+            out[1].append(ids[at][order])
+            out[2].append(exact[order])
     return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
 
 
@@ -183,7 +186,9 @@ def nearest(
 
     def ranked(met: DataFrame) -> DataFrame:
         first = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-        near = met.distinct().withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= keep)
+        # An entry that several tables have found counts once.
+        once = met.groupBy("query_id", "id").agg(F.max("score").alias("score"))
+        near = once.withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= keep)
         members = near.join(entries.select("id", "ids"), "id").select("query_id", "score", F.explode("ids").alias("vec_id"))
         last = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
         others = members.where(F.col("vec_id") != F.col("query_id")).withColumn("rank", F.row_number().over(last))

@@ -65,9 +65,11 @@ def test_recall(spark):
     table = rows.collect()
     ids, vectors = np.array([r["vec_id"] for r in table]), np.array([r["embedding"] for r in table], float)
     vectors /= np.linalg.norm(vectors, axis=1)[:, None]
-    found = {}
+    found, total_rows = {}, 0
     for row in crosspolytope.nearest(rows, _every(50)).collect():
         found.setdefault(row["query_id"], set()).add(row["vec_id"])
+        total_rows += 1
+    assert total_rows == sum(len(ids) for ids in found.values()) == 5 * len(found)
     hit = total = 0
     for at in np.flatnonzero(ids % 50 == 0):
         near = vectors @ vectors[at]
