@@ -19,8 +19,9 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from flowloom.llm.batches import keep_or_rewrite, slices
+from flowloom.llm.batches import slices
 
 WINDOW = 10
 SHARD_WORDS = 200_000
@@ -283,6 +284,58 @@ def cut(text: str | None, runs: list[int]) -> str | None:
     return b"".join([*out, raw[last:]]).decode()
 
 
+def _runs_of(part: pa.RecordBatch, one: Automaton, text_col: str, runs_col: str) -> list[list[int]]:
+    """Hit runs of each row, merged with those that earlier passes have noted."""
+    runs = [one.scan(words_of(text))[0] for text in part.column(part.schema.names.index(text_col)).to_pylist()]
+    if runs_col in part.schema.names:
+        earlier = part.column(part.schema.names.index(runs_col)).to_pylist()
+        runs = [_merged([*old, *new]) for old, new in zip(earlier, runs, strict=True)]
+    return runs
+
+
+def _marked(docs: DataFrame, one: Automaton, text_col: str, runs_col: str) -> DataFrame:
+    """``docs`` with the runs of ``one`` in ``runs_col``, beside those that are there."""
+    sent = docs.sparkSession.sparkContext.broadcast(one)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            runs = pa.array(_runs_of(part, sent.value, text_col, runs_col), pa.list_(pa.int32()))
+            kept = [(name, column) for name, column in zip(part.schema.names, part.columns, strict=True) if name != runs_col]
+            columns = [column for _, column in kept]
+            yield pa.RecordBatch.from_arrays([*columns, runs], names=[*(name for name, _ in kept), runs_col])
+
+    plain = StructType([field for field in docs.schema if field.name != runs_col])
+    return docs.mapInArrow(run, plain.add(runs_col, ArrayType(IntegerType())))
+
+
+def _cut_rows(
+    docs: DataFrame, one: Automaton, max_coverage: float, text_col: str, length_col: str | None, runs_col: str, schema: StructType
+) -> DataFrame:
+    """The columns of ``schema``: rows under the limit, without the runs of ``one`` and those in ``runs_col``."""
+    sent = docs.sparkSession.sparkContext.broadcast(one)
+    names = schema.names
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            at = names.index(text_col)
+            texts = part.column(at).to_pylist()
+            runs = _runs_of(part, sent.value, text_col, runs_col)
+            arrays = [part.column(n) for n in range(len(names))]
+            if any(runs):
+                new = [cut(text, r) for text, r in zip(texts, runs, strict=True)]
+                arrays[at] = pa.array(new, part.schema.field(at).type)
+                if length_col in names:
+                    size_at = names.index(length_col)
+                    sizes = [None if text is None else len(text) for text in new]
+                    arrays[size_at] = pa.array(sizes, part.schema.field(size_at).type)
+            hit = [sum(r[1::2]) - sum(r[::2]) for r in runs]
+            keep = [not n or n < max_coverage * len(words_of(text)) for n, text in zip(hit, texts, strict=True)]
+            out = pa.RecordBatch.from_arrays(arrays, names=names)
+            yield out.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, schema)
+
+
 def clean(
     docs: DataFrame,
     items: DataFrame,
@@ -296,23 +349,18 @@ def clean(
 ) -> DataFrame:
     """``docs`` with hit runs cut out of the texts; documents hit in ``max_coverage`` of their words or more go.
 
-    All columns stay. Texts without hits, empty and null ones stay as they are. Each automaton
-    makes one pass; a later one sees what earlier ones have left. With several automata the
-    coverage limit holds for each.
+    All columns stay. Texts without hits, empty and null ones stay as they are. Every automaton
+    reads the original text; the runs of all are merged, then cut and held against the limit once.
     """
-    for one in automata(items, window, item_id_col, item_text_col, shard_words):
-        sent = docs.sparkSession.sparkContext.broadcast(one)
-
-        def make(sent=sent):
-            found = sent.value
-
-            def row(text: str | None) -> tuple[bool, str | None]:
-                words = words_of(text)
-                runs, _ = found.scan(words)
-                hit = sum(runs[1::2]) - sum(runs[::2])
-                return not hit or hit < max_coverage * len(words), cut(text, runs)
-
-            return row
-
-        docs = keep_or_rewrite(docs, text_col, make, length_col)
-    return docs
+    found = list(automata(items, window, item_id_col, item_text_col, shard_words))
+    if not found:
+        return docs
+    names = docs.columns
+    runs_col = "_runs"
+    while runs_col in names:
+        runs_col += "_"
+    # Each pass but the last adds its runs to the row; the last also cuts.
+    marked = docs
+    for one in found[:-1]:
+        marked = _marked(marked, one, text_col, runs_col)
+    return _cut_rows(marked, found[-1], max_coverage, text_col, length_col, runs_col, docs.schema)

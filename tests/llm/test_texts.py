@@ -78,6 +78,21 @@ def test_clean_cuts_and_drops(spark, docs_of):
     assert got[2]["text"] == f"{fine} ! {fine}" and got[2]["n_chars"] == len(got[2]["text"]) and got[3]["text"] == fine
 
 
+def test_clean_is_the_same_with_several_automata(spark, docs_of):
+    chain = prose(1, 60).split()
+    items = [(i, " ".join(chain[i : i + 10])) for i in range(0, 51, 5)]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    # Overlapping windows, cuts that bring words together, and documents on both sides of the limit.
+    rows = [(i, " ".join([prose(100 + i, 3 + i), *chain[i : i + 12 + i], prose(200 + i, 4)])) for i in range(24)]
+    rows += [(50, " ".join([*chain[:5], *chain[20:30], *chain[5:10], prose(7, 30)])), (51, None), (52, ""), (None, " ".join(chain))]
+    docs = docs_of(rows).selectExpr("*", "length(text) as n_chars")
+    one = decontaminate.clean(docs, items)
+    got = decontaminate.clean(docs, items, shard_words=25)
+    assert got.columns == docs.columns and got.schema == docs.schema
+    by = lambda df: sorted(map(str, df.collect()))
+    assert by(got) == by(one) and 4 < one.count() < len(rows)
+
+
 # -- byte-level BPE
 
 
