@@ -178,8 +178,9 @@ def nearest(
     rows = rows.where(F.col("id").isNotNull() & _valid(F.col("vector")))
     # Of equal vectors no more rows can come up than the neighbours and the query itself.
     keep = neighbours + 1
+    # Copies of a row go ahead of the ranks, where they would take other ids' places.
     turn = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
-    least = rows.withColumn("turn", turn).where(F.col("turn") <= 2 * keep)
+    least = rows.distinct().withColumn("turn", turn).where(F.col("turn") <= keep)
     entries = least.groupBy("vector").agg(F.min("id").alias("id"), F.slice(F.array_sort(F.collect_set("id")), 1, keep).alias("ids"))
     entries = stage_table(entries, "entries")
     queries = stage_table(rows.where(is_query).groupBy("id").agg(F.min("vector").alias("vector")), "queries")

@@ -52,6 +52,14 @@ def _every(n):
     return F.col("id") % n == 0
 
 
+def test_repeated_row_takes_no_other_place(spark):
+    same, other = [1.0, 2.0, 3.0], [3.0, -1.0, 0.5]
+    rows = [(1, same)] * 40 + [(i, same) for i in (2, 3, 4, 20, 21, 22, 23)] + [(i, other) for i in range(30, 40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = crosspolytope.nearest(df, _every(20)).where("query_id = 20").orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [1, 2, 3, 4, 21]
+
+
 def test_few_and_no_candidates(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (50, [-1.0, 0.1]), (3, [0.0, 1.0])], "vec_id long, embedding array<double>")
     got = crosspolytope.nearest(df, _every(50)).collect()
