@@ -128,8 +128,12 @@ def fit(
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made), part.column(2)], names=["_id", "_at", "_label"])
 
     chosen = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(picked("_id"))
+    # Rows of one id are one example, that of the least text digest, however often the id repeats.
+    least = F.min_by("_text", F.md5(F.coalesce("_text", F.lit(""))))
     examples = (
         chosen.join(known.where(picked("_id")), "_id")
+        .groupBy("_id")
+        .agg(least.alias("_text"), F.first("_label").alias("_label"))
         .select(F.col("_id").cast("string").alias("_id"), "_text", "_label")
         .mapInArrow(as_features, "_id string, _at binary, _label int")
     )

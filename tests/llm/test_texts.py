@@ -144,6 +144,14 @@ def test_toxicity(spark, docs_of):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
 
 
+def test_toxicity_learns_a_repeated_id_once(spark, docs_of):
+    rows = [(i, ("vile hateful " if i % 2 else "kind gentle ") + prose(i, 12)) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    own = toxicity.fit(docs_of(rows), labels)
+    again = toxicity.fit(docs_of(rows + rows[:3] * 300), labels)
+    assert (again.places, again.values, again.intercept) == (own.places, own.values, own.intercept)
+
+
 def test_toxicity_without_labels(spark, docs_of):
     docs = docs_of([(1, "a"), (2, None)])
     labels = spark.createDataFrame([], "doc_id long, toxic int")
