@@ -78,4 +78,97 @@ select t.doc_id, cast(len(l) as bigint) n_lines, coalesce(n_removed, 0) n_remove
 from t left join c on c.d = t.doc_id left join k on k.d = t.doc_id
 """
 
-ORACLES: dict[str, str] = {"op3_decontaminate": _DECONTAMINATE, "op7_warc": _WARC, "op8_suffix_levels": _SUFFIXES, "op10_line_runs": _LINE_RUNS}
+_HARD_NEGATIVES = """
+with r as (
+  select vec_id id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) v
+  from embeddings
+  where label is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+  select a.id anchor, b.id other, a.l = b.l same, cast(list_dot_product(a.v, b.v) as bigint) score
+  from r a join r b on a.id <> b.id and len(a.v) = len(b.v) where a.id % 100 = 0
+),
+p as (select * from s where same qualify row_number() over (partition by anchor order by score desc, other) <= 5),
+n as (
+  select p.anchor anchor_id, p.other positive_id, s.other negative_id, p.score positive_score, s.score negative_score,
+    row_number() over (partition by p.anchor, p.other order by s.score desc, s.other) rank
+  from p join s on p.anchor = s.anchor and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score
+)
+select anchor_id, positive_id, cast(rank as integer) rank, negative_id, positive_score, negative_score from n where rank <= 5
+"""
+
+_NGRAM_JOIN = f"""
+with recursive w as (select doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+'), []) w from documents),
+g as (
+  select distinct doc_id, array_to_string(w[p:p + 4], ' ') g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) p from w where len(w) > 0)
+),
+c as (select doc_id, count(*) n from g group by 1),
+o as (select a.doc_id a, b.doc_id b, count(*) shared from g a join g b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+e as (select a, b from o join c x on x.doc_id = a join c y on y.doc_id = b where 100 * shared >= 80 * (x.n + y.n - shared)),
+ends as (select a, b from e union all select b, a from e),
+reach as (select a doc, a root from ends union select ends.b, reach.root from reach join ends on reach.doc = ends.a),
+least as (select doc, min(root) root from reach group by 1)
+select w.doc_id, coalesce(n, 0) n_shingles, coalesce(root, w.doc_id) component_id
+from w left join c using (doc_id) left join least on doc = w.doc_id
+"""
+
+_SPELLINGS = r"""
+with recursive t(i, k, c) as (
+  select range, 0, cast(range as ubigint) from range(256)
+  union all select i, k + 1, case when c & 1 = 1 then xor(c >> 1, cast(3988292384 as ubigint)) else c >> 1 end from t where k < 8
+),
+crcs as (select list(c order by i) tab from t where k = 8),
+occ as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') run
+  from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) run from documents)
+),
+runs as (select doc_id, run, count(*) n, hex(encode(concat(doc_id, ':', run))) h from occ where length(run) >= 6 group by 1, 2),
+coded as (
+  select run, n, xor(list_reduce(
+    list_prepend(cast(4294967295 as ubigint), list_transform(range(length(h) // 2), lambda i: cast(concat('0x', substr(h, 2 * i + 1, 2)) as ubigint))),
+    lambda c, b: xor(c >> 8, tab[cast(xor(c, b) & 255 as integer) + 1])), cast(4294967295 as ubigint)) code
+  from runs, crcs
+),
+words as (
+  select word, cast(sum(n) as bigint) n from (
+    select case when code % 199 = 0 then concat(substr(run, 1, cast(code % length(run) as bigint)), substr(run, cast(code % length(run) as bigint) + 2))
+      else run end word, n from coded)
+  where length(word) >= 6 group by 1 having sum(n) >= 5
+),
+cut as (
+  select word, i, concat(substr(word, 1, i - 1), '*', substr(word, i + 1)) masked, concat(substr(word, 1, i - 1), substr(word, i + 1)) short
+  from (select word, unnest(range(1, length(word) + 1)) i from words)
+),
+met as (
+  select a.word, b.word other from cut a join cut b on a.masked = b.masked and a.word <> b.word
+  union select word, short from cut where short in (select word from words)
+  union select short, word from cut where short in (select word from words)
+),
+near as (
+  select met.word, other, b.n other_n, count(*) over (partition by met.word) n_near
+  from met join words b on b.word = other
+  qualify row_number() over (partition by met.word order by b.n desc, other) = 1
+),
+linked as (
+  select w.word, case when other_n >= 5 * n then other end form, n, coalesce(n_near, 0) n_near, case when other_n >= 5 * n then other_n end form_n
+  from words w left join near using (word)
+),
+chain(word, place, step) as (
+  select word, form, 1 from linked where form is not null
+  union all select chain.word, form, step + 1 from chain join linked on linked.word = chain.place where form is not null
+),
+roots as (select word, arg_max(place, step) root from chain group by 1)
+select word, form, coalesce(root, word) root, n, n_near, form_n from linked left join roots using (word)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_decontaminate": _DECONTAMINATE,
+    "op7_warc": _WARC,
+    "op8_suffix_levels": _SUFFIXES,
+    "op10_line_runs": _LINE_RUNS,
+    "op11_hard_negatives": _HARD_NEGATIVES,
+    "op12_ngram_join": _NGRAM_JOIN,
+    "op13_spellings": _SPELLINGS,
+}

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, crosspolytope, decontaminate, lineruns, pii, secretscan, simhash, suffixlevels, toxicity, warc
+from flowloom.llm import (
+    bpe,
+    crosspolytope,
+    decontaminate,
+    hardnegatives,
+    lineruns,
+    ngramjoin,
+    pii,
+    secretscan,
+    simhash,
+    spellings,
+    suffixlevels,
+    toxicity,
+    warc,
+)
 from flowloom.plans.staging import fresh_path
 
 
@@ -67,6 +81,21 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineruns.digest_columns(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hardnegatives.mine(rows, F.col("id") % 100 == 0)
+
+
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.classes(_table(spark, sf_dir, "documents"))
+
+
+def op13_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.variants(spellings.word_counts(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -78,4 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_levels": op8_suffix_levels,
     "op9_toxicity": op9_toxicity,
     "op10_line_runs": op10_line_runs,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_ngram_join": op12_ngram_join,
+    "op13_spellings": op13_spellings,
 }
