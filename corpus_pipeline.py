@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowloom.llm import bpe, decontaminate, lineruns, nearcopies, toxicity
+from flowloom.llm import bpe, decontaminate, lineruns, simhash, toxicity
 from flowloom.plans.staging import stage_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -28,8 +28,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each class of near copies: sets of five-word shingles, similarity 0.8 or more."""
-    return nearcopies.keep_one(docs)
+    """One document, that of the least id, of each class of near copies: three bits of a SimHash of three-word shingles."""
+    return simhash.keep_one(docs)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", reject_toxic),
     ("line_runs", drop_repeated_lines),
-    ("near_copies", drop_near_copies),
+    ("simhash", drop_near_copies),
     ("benchmark", cut_benchmark),
     ("bpe", to_tokens),
 ]
