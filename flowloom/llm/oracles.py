@@ -33,8 +33,8 @@ _WARC = """
 with p as (select page_id, coalesce(html, '') html, cast(strlen(coalesce(html, '')) as bigint) payload_bytes from pages),
 f as (select html, max(page_id) first_id from p where payload_bytes >= 1000 group by html)
 select page_id, payload_bytes, sha1(html) payload_digest,
-  case when first_id <> page_id then 'revisit' else 'response' end record_type,
-  case when first_id <> page_id then first_id end refers_to
+  case when first_id is not null and first_id is distinct from page_id then 'revisit' else 'response' end record_type,
+  case when first_id is not null and first_id is distinct from page_id then first_id end refers_to
 from p left join f using (html)
 """
 

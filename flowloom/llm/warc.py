@@ -59,42 +59,57 @@ def _in_chunks(payload: Column) -> Column:
 
 
 def deduplicated(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
-    """Pages (page_id, url, payload) with payload_bytes, payload_digest and refers_to.
+    """Pages (page_id, url, payload) with payload_bytes, payload_digest, occurrence, refers_to and refers_to_url.
 
-    Of equal payloads of ``revisit_from`` bytes or more the largest page_id is the response; the
-    others refer to it. Equal digests and sizes count as equal payloads.
+    Equal rows are numbered from 0 by ``occurrence``. Of equal payloads of ``revisit_from`` bytes or more rows of the
+    largest page_id are responses; the others refer to it, in the capture of its largest url. Equal digests and
+    sizes count as equal payloads.
     """
     sized = pages.withColumns({"payload_bytes": _bytes(F.col("payload")), "payload_digest": F.sha1("payload")})
-    large = sized.where(F.col("payload_bytes") >= revisit_from).select("page_id", "payload_bytes", "payload_digest")
-    # Groups are reduced ahead of the shuffle; only groups of several pages are joined back.
-    groups = large.groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("first_id"), F.count("*").alias("n"))
-    shared = groups.where(F.col("n") > 1).drop("n")
-    joined = join_staged(sized, shared, ["payload_digest", "payload_bytes"], "left")
+    # Payloads are not shuffled: what is shuffled are names of captures, reduced ahead of it.
+    own = ["page_id", "url", "payload_digest", "payload_bytes"]
+    captures = stage_table(sized.groupBy(*own).agg(F.count("*").alias("copies")), "captures")
+    large = captures.where(F.col("payload_bytes") >= revisit_from)
+    first = F.max(F.struct("page_id", "url"))
+    groups = large.groupBy("payload_digest", "payload_bytes").agg(first.alias("first"), F.count("*").alias("n"))
+    shared = groups.where((F.col("n") > 1) & F.col("first.page_id").isNotNull()).select(
+        "payload_digest", "payload_bytes", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url")
+    )
+    same_page = F.col("_page_id").eqNullSafe(F.col("page_id"))
+    repeated = captures.where(F.col("copies") > 1).select(F.col("page_id").alias("_page_id"), *own[1:], "copies")
+    repeated = stage_table(repeated, "repeated").withColumnsRenamed({c: f"_{c}" for c in own[1:]})
+    for name in own[1:]:
+        same_page &= F.col(f"_{name}") == F.col(name)
+    once = sized.join(repeated, same_page, "left_anti").withColumn("occurrence", F.lit(0).cast("long"))
+    # Repeated rows come together under their name, and go out as many times as they came in.
+    several = sized.join(repeated, same_page).groupBy(*own).agg(F.first("payload").alias("payload"), F.max("copies").alias("copies"))
+    several = several.withColumn("occurrence", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).drop("copies")
+    joined = join_staged(once.unionByName(several), shared, ["payload_digest", "payload_bytes"], "left")
     other = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    return joined.withColumn("refers_to", F.when(other, F.col("first_id"))).drop("first_id")
+    return joined.withColumns({"refers_to": F.when(other, F.col("first_id")), "refers_to_url": F.when(other, F.col("first_url"))})
 
 
 def records(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
     """(record): three WARC records for each row of pages (page_id, url, payload).
 
     A null page_id, url or payload is written as an empty text, and a null page_id reads back as
-    null. Pages of one id with different payloads are captures of their own; with
-    equal payloads they are the same capture, which reads back once.
+    null. Every row is a capture of its own, also where rows repeat.
     """
     filled = pages.select(
         F.col("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("payload", F.lit("")).alias("payload")
     )
     own = deduplicated(filled, revisit_from)
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    named = F.concat_ws(":", page, "payload_digest")
+    name = lambda page, occurrence, url: F.concat_ws(":", page, "payload_digest", occurrence, url)
+    named = name(page, F.col("occurrence").cast("string"), F.col("url"))
     capture, url, payload = _identifier("capture", named), F.regexp_replace("url", r"[\r\n]", ""), F.col("payload")
     digest = F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("payload_digest"))
     concurrent = F.concat(F.lit("WARC-Concurrent-To: "), capture)
     revisit = F.col("refers_to").isNotNull()
-    refers = F.concat(F.lit("WARC-Refers-To: "), _identifier("capture", F.concat_ws(":", F.col("refers_to").cast("string"), "payload_digest")))
+    refers = F.concat(F.lit("WARC-Refers-To: "), _identifier("capture", name(F.col("refers_to").cast("string"), F.lit("0"), F.col("refers_to_url"))))
     profile = F.when(revisit, F.lit(f"WARC-Profile: {_PROFILE}"))
     # The blank line ahead of a payload counts: it may begin as a record does.
-    split_up = F.instr(F.concat(F.lit(END), payload), SEPARATOR) > 0
+    split_up = payload.contains(SEPARATOR) | F.concat(F.lit(END), F.substring(payload, 1, len(SEPARATOR))).contains(SEPARATOR)
     length = F.when(split_up, F.lit("Transfer-Encoding: chunked")).otherwise(
         F.concat(F.lit("Content-Length: "), F.col("payload_bytes").cast("string"))
     )
@@ -134,11 +149,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     Repeated header fields are joined by a blank. A file is read in parallel ranges.
     """
-    pieces = spark.read.option("lineSep", SEPARATOR).text(path).select(F.col("value").cast("binary").alias("raw"))
-    text = F.decode("raw", "ISO-8859-1")  # one character for each byte, so places are byte places
-    whole = pieces.select("raw", F.regexp_replace(text, r"^WARC/1\.[01]\r\n", "").alias("text"))
-    head = F.substring_index("text", END, 1)
-    skipped = F.length(F.decode("raw", "ISO-8859-1")) - F.length("text") + F.length(head) + len(END)
+    pieces = spark.read.option("lineSep", SEPARATOR).text(path).where(F.octet_length("value") > 0)
+    # Only the header is text; the block is cut out by byte places.
+    first = F.substring_index("value", END, 1)
+    parted = pieces.select(F.col("value").cast("binary").alias("raw"), first.alias("first"))
+    head = F.regexp_replace("first", r"^WARC/1\.[01]\r\n", "")
+    skipped = F.octet_length("first") + len(END)
     lines = F.filter(F.split(head, "\r\n"), lambda line: F.instr(line, ":") > 0)
     pairs = F.transform(
         lines,
@@ -156,7 +172,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         ),
     )
     size = F.element_at("fields", "content-length").cast("int")
-    parsed = whole.where(F.length("raw") > 0).select("raw", fields.alias("fields"), skipped.alias("skipped"))
+    parsed = parted.select("raw", fields.alias("fields"), skipped.alias("skipped"))
     complete = F.octet_length("raw") - F.col("skipped") >= size
     broken = F.raise_error(F.concat(F.lit("cut short: "), F.element_at("fields", "warc-record-id"))).cast("binary")
     block = F.when(complete, F.expr("substring(raw, skipped + 1, int(fields['content-length']))")).otherwise(broken)
@@ -165,10 +181,10 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 def _payload(block: Column) -> Column:
     """The payload of an HTTP response as bytes; chunks are put together."""
-    text = F.decode(block, "ISO-8859-1")
-    head = F.substring_index(text, END, 1)
-    body = F.substring(text, F.length(head) + len(END) + 1, F.length(text))
+    head = F.substring_index(block.cast("string"), END, 1)
+    content = F.call_function("substring", block, F.octet_length(head) + len(END) + 1, F.octet_length(block))
     chunked = F.lower(head).contains("transfer-encoding: chunked")
+    body = F.decode(content, "ISO-8859-1")  # one character for each byte, so places are byte places
     # (rest, what is put together so far); a chunk is its size in hexadecimal, a line end, bytes, a line end
     size = lambda rest: F.coalesce(F.conv(F.substring_index(rest, "\r\n", 1), 16, 10).cast("int"), F.lit(0))
     start = lambda rest: F.instr(rest, "\r\n") + 2
@@ -183,7 +199,7 @@ def _payload(block: Column) -> Column:
         ),
         lambda state: state["done"],
     )
-    return F.encode(F.when(chunked, whole).otherwise(body), "ISO-8859-1")
+    return F.when(chunked, F.encode(whole, "ISO-8859-1")).otherwise(content)
 
 
 def transactions(found: DataFrame, with_payload: bool = True) -> DataFrame:
@@ -196,7 +212,8 @@ def transactions(found: DataFrame, with_payload: bool = True) -> DataFrame:
     """
     field = lambda name: F.element_at("fields", name)
     kind = field("warc-type")
-    content = _payload(F.col("block"))
+    found = found.withColumn("_content", F.when(kind == "response", _payload(F.col("block"))))
+    content = F.col("_content")
     header = F.decode(F.substring("block", 1, 4096), "ISO-8859-1")
     told = F.regexp_extract(header, r"(?i)\r\ncontent-length: *([0-9]+)", 1).cast("long")
     response = kind == "response"
