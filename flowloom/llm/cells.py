@@ -7,6 +7,8 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from flowloom.plans.staging import stage_table
 
@@ -29,6 +31,12 @@ def meet(
     def many(df: DataFrame, size: int, name: str) -> DataFrame:
         return df.groupBy(*place).agg(F.ceil(F.count("*") / size).cast("int").alias(name))
 
+    none = to_arrow_schema(StructType.fromDDL(schema)).empty_table()
+
+    def run_cell(e: pa.Table, q: pa.Table) -> pa.Table:
+        # Hashes may leave a cell without rows of one side.
+        return run(e, q) if e.num_rows and q.num_rows else none
+
     blocks = many(entries, sizes[0], "_es").join(many(queries, sizes[1], "_qs"), place)
     blocks = stage_table(blocks, "blocks")
     one_of = lambda n: F.pmod(F.xxhash64(turn), F.col(n)).cast("int")
@@ -42,4 +50,4 @@ def meet(
     right = dealt(queries, each_of("_es"), one_of("_qs"))
     named = [F.col(k).alias(f"_of_{k}") for k in key]
     right = right.select(*named, *[c for c in right.columns if c not in key]).groupBy(*[f"_of_{k}" for k in key])
-    return left.groupBy(*key).cogroup(right).applyInArrow(run, schema)
+    return left.groupBy(*key).cogroup(right).applyInArrow(run_cell, schema)

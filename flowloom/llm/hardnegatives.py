@@ -12,11 +12,11 @@ are dropped; the others are scored exactly. Nothing is missed, whatever the code
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,7 +88,7 @@ class Planes:
         self.planes = np.stack([_packed((steps >> p) & 1 == 1) for p in range(_PLANES)], axis=1)
 
     def intervals(self, query: int, codes: Codes, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The least and the largest score that ``rows`` can have with a query."""
+        """The least and the largest score that ``rows`` can have with a query; any, where numbers are too large to tell."""
         bits = codes.bits[rows]
         ones = np.bitwise_count(bits).sum(axis=2, dtype=np.int64)
         weight = np.zeros(ones.shape)
@@ -100,7 +100,10 @@ class Planes:
         across = np.sqrt(np.maximum(0.0, self.length[query] ** 2 - surely**2))
         rest, length = codes.rest[rows], codes.length[rows]
         reach = rest * across + (length + rest) * self.off[query] + _SLACK * (1 + length) * (1 + self.length[query])
-        return middle - reach, middle + reach
+        known = np.isfinite(middle) & np.isfinite(reach)
+        # Scores are longs, and end where longs end.
+        ends = np.clip(np.where(known, np.stack((middle - reach, middle + reach)), [[-np.inf], [np.inf]]), -_LONG, _LONG)
+        return ends[0], ends[1]
 
 
 def scores(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -126,7 +129,7 @@ def _codes(table: pa.Table) -> Codes:
 
 def _top(ids: np.ndarray, score: np.ndarray, keep: int) -> np.ndarray:
     """Places of the ``keep`` highest scores, ties to the smaller id."""
-    return np.lexsort((ids, -score.astype(object) if len(score) and score.min() == -_LONG - 1 else -score))[:keep]
+    return np.lexsort((ids, ~score))[:keep]
 
 
 def _rows(names: list[str], parts: list[tuple]) -> pa.Table:
@@ -134,6 +137,7 @@ def _rows(names: list[str], parts: list[tuple]) -> pa.Table:
     return pa.table({n: pa.array(np.concatenate([*c, np.array([], np.int64)]), pa.int64()) for n, c in zip(names, columns, strict=True)})
 
 
+@np.errstate(over="ignore", invalid="ignore")
 def positives_of_cell(entries: pa.Table, queries: pa.Table, keep: int) -> pa.Table:
     """(anchor_id, positive_id, positive_score): of each query the best rows of its label in the cell."""
     ids, labels, whole = entries.column("id").to_numpy(), entries.column("label").to_numpy(), _matrix(entries, "whole")
@@ -159,6 +163,7 @@ def within_reach(least: np.ndarray, most: np.ndarray, low: int, high: int, keep:
     return np.flatnonzero(room & (most >= np.partition(sure, -keep)[-keep])) if len(sure) >= keep else np.flatnonzero(room)
 
 
+@np.errstate(over="ignore", invalid="ignore")
 def negatives_of_cell(entries: pa.Table, queries: pa.Table, keep: int, band: tuple[int, int]) -> pa.Table:
     """(anchor_id, positive_id, positive_score, negative_id, negative_score): of each positive the best negatives in the cell."""
     ids, labels, whole = entries.column("id").to_numpy(), entries.column("label").to_numpy(), _matrix(entries, "whole")
@@ -193,15 +198,15 @@ def index(rows: DataFrame, scale: int = SCALE, levels: int = LEVELS) -> DataFram
                 with np.errstate(over="ignore"):
                     # Components beyond the range of doubles count as its ends.
                     whole = np.nan_to_num(np.floor(float(scale) * np.array([vectors[r] for r in own], np.float64)))
-                # Lengths of huge vectors would overflow; codes of a scaled copy are the same up to that factor.
-                unit = max(1.0, np.abs(whole).max() / 1e100)
-                codes = Codes(whole / unit, levels)
+                # Lengths of huge vectors would overflow; a scaled copy has the same code.
+                unit = np.maximum(1.0, np.abs(whole).max(axis=1) / 1e100)
+                codes = Codes(whole / unit[:, None], levels)
                 lists = lambda a, kind: pa.array(list(a.reshape(len(own), -1)), pa.list_(kind))  # noqa: B023, E731
                 taken = part.take(pa.array(own))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(own), size), pa.int32()), taken.column(0), taken.column(1), lists(whole, pa.float64()),
-                        lists(codes.bits.view(np.int64), pa.int64()), lists(codes.align * unit, pa.float64()),
+                        lists(codes.bits.view(np.int64), pa.int64()), lists(codes.align * unit[:, None], pa.float64()),
                         pa.array(codes.rest * unit), pa.array(codes.length * unit),
                     ],
                     names=["dim", "id", "label", "whole", "bits", "align", "rest", "length"],
