@@ -6,15 +6,19 @@ within 4/5 of n. Columns come in one order for all rows, and the head of a row,
 the head of every similar row (prefix filtering). The order puts columns that are common in a sample last; it decides
 what a run costs, never what it finds.
 
-The product is taken over the heads first. A column is a block of rows; crowded columns are cut into
-tiles of at most about ``TILE`` rows a side, in bands of sizes, of which only neighbours can be similar. Pairs below the bound are
-discarded in the tile, by a parity bitmap of each row whose differing bits are no more than the
-differing n-grams, and then by the overlap that their heads have gathered plus the most their tails can add. For what
-is left the product is completed with the whole rows, so every link is exact.
-
 A crowded column of copies would make a pair of any two of them. Therefore each column's rows first meet
 the least row alone. Rows that this has connected, directly or not, are one group already and need not meet again: a
 column that lies in one group is done, and in others only rows of different groups meet.
+
+There the product is taken over the heads. Columns of one least row are a block, since copies share most of them;
+the rows of a block make tiles of at most about ``TILE`` a side, in bands of sizes, of which only neighbours can be
+similar. Overlaps accumulate in a tile. Pairs below the bound are discarded, in the tile by a parity bitmap of each row
+whose differing bits are no more than the differing n-grams, and then by the overlap that their heads have gathered
+in all blocks plus the most their tails can add. For what is left the product is completed with the whole
+rows, so every link is exact.
+
+What few rows of a large table are wanted for is looked up by a bitmap of ``LOOKUP_BITS`` bits, which is sent to
+all executors: rows that it rules out are not shuffled. It only saves work, and less where more is wanted.
 """
 
 from __future__ import annotations
@@ -38,15 +42,13 @@ SIMILAR = (80, 100)
 TILE = 4096
 # Bits of a row's bitmap.
 BITMAP = 1024
+LOOKUP_BITS = 1 << 27
 # N-grams from which common ones are told, and how often one of them is common.
 SAMPLE_GRAMS = 1 << 21
 COMMON = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-# Words whose hashes a task keeps, and pairs that are looked at at once.
+# Words whose hashes a task keeps.
 _HELD_WORDS = 1 << 18
-_AT_ONCE = 1 << 16
-# Runs up to this size are paired together.
-_SMALL = 64
 
 
 class GramSets:
@@ -156,19 +158,47 @@ def _bitmaps(column: pa.Array) -> np.ndarray:
     return np.frombuffer(raw, np.uint64).reshape(-1, BITMAP // 64)
 
 
+def _bit(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(LOOKUP_BITS)) + 1
+
+
+def _lookup(keys: DataFrame) -> DataFrame:
+    """(bucket, bits) for the column ``key``: at most ``LOOKUP_BITS`` bits, in buckets of 4 KB."""
+    bit = _bit(F.col("key"))
+    marked = keys.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("place"))
+    return stage_table(marked.groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits")), "lookup")
+
+
+def _looked_up(df: DataFrame, key: Column, lookup: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key may be one of those of ``lookup``, and few others."""
+    bit = _bit(key)
+    # The table has a proven bound: 4096 buckets of 4 KB.
+    met = df.withColumn("_place", F.bitmap_bit_position(bit)).join(
+        F.broadcast(lookup.withColumnRenamed("bits", "_bits")), F.bitmap_bucket_number(bit) == F.col("bucket")
+    )
+    byte = F.conv(F.hex(F.call_function("substring", "_bits", (F.col("_place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    within = F.pow(F.lit(2), F.col("_place") % 8).cast("int")
+    return met.where(byte.bitwiseAND(within) != 0).select(*df.columns)
+
+
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, words_each: int) -> DataFrame:
     """(node, grams) of the ``wanted`` nodes, cut anew from the text of one document each."""
-    asked = stage_table(nodes.join(wanted.select("node").distinct(), "node", "left_semi").select("node", "at.id", "at.text_hash"), "asked")
-    found = F.xxhash64(docs["text"]) == asked["text_hash"]
-    texts = docs.join(asked, found & docs["id"].eqNullSafe(asked["id"])).select("node", "text").dropDuplicates(["node"])
+    asked = nodes.join(wanted.select("node").distinct(), "node", "left_semi").select("node", "at.id", "at.text_hash")
+    asked = stage_table(asked, "asked")
+    hashed = docs.select("id", F.xxhash64("text").alias("text_hash"), "text")
+    found = _looked_up(hashed, F.xxhash64("id", "text_hash"), _lookup(asked.select(F.xxhash64("id", "text_hash").alias("key"))))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = GramSets(words_each)
         for part in slices(batches):
-            raw = [sets.of(t).tobytes() for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(raw, pa.binary())], names=["node", "grams"])
+            raw = [sets.of(t).tobytes() for t in part.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(raw, pa.binary())], names=["_id", "text_hash", "grams"])
 
-    return texts.mapInArrow(run, "node bigint, grams binary")
+    kind = docs.schema["id"].dataType.simpleString()
+    cut = found.mapInArrow(run, f"_id {kind}, text_hash bigint, grams binary")
+    met = cut.join(asked, (cut["text_hash"] == asked["text_hash"]) & cut["_id"].eqNullSafe(asked["id"]))
+    # Repeated rows lie in one partition of the join.
+    return met.select(asked["text_hash"], "id", "node", "grams").dropDuplicates(["text_hash", "id", "node"]).select("node", "grams")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -188,9 +218,10 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             close = shared * whole >= part * (sizes.sum(axis=1) - shared)
             yield pa.RecordBatch.from_arrays([rows.column(c).filter(pa.array(close)) for c in (0, 1)], names=["a", "b"])
 
-    one = sets.select(F.col("node").alias("a"), F.col("grams").alias("one"))
+    # Few rows are the least of a column: their sets go to the pairs, which bring the other set along.
+    one = sets.select(F.col("node").alias("a"), F.col("grams").alias("one")).join(pairs.select("a").distinct(), "a", "left_semi")
     two = sets.select(F.col("node").alias("b"), F.col("grams").alias("two"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "one", "two").mapInArrow(run, "a bigint, b bigint")
 
 
 def _room(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -229,63 +260,67 @@ def _whole_runs(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator
         yield pa.Table.from_batches(held)
 
 
-def _places(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (i, j), i before j, within each run, some at a time."""
-    sizes = ends - starts
-    for size in np.unique(sizes[(sizes > 1) & (sizes <= _SMALL)]).tolist():
-        i, j = np.triu_indices(size, 1)
-        own = starts[sizes == size]
-        each = max(1, _AT_ONCE // len(i))
-        for at in range(0, len(own), each):
-            first = own[at : at + each, None]
-            yield (first + i).ravel(), (first + j).ravel()
-    for start, end in zip(starts[sizes > _SMALL].tolist(), ends[sizes > _SMALL].tolist(), strict=True):
-        for row in range(start, end - 1):
-            others = np.arange(row + 1, end)
-            yield np.full(len(others), row), others
-
-
 def _tile_pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of rows in a tile that may be similar: of different groups, and of its two blocks if it has two."""
-    names = ["gram", "low", "high"]
+    """(a, b, gathered): pairs of rows in a tile that may be similar, with the overlap of their columns in it.
+
+    Rows are of different groups, and of the tile's two blocks if it has two.
+    """
+    names = ["least", "low", "high"]
     for table in _whole_runs(batches, names):
         place = np.stack([table.column(c).to_numpy() for c in names])
-        ends = np.append(np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1, table.num_rows)
-        node, root, block, size = (table.column(c).to_numpy() for c in ("node", "root", "block", "size"))
-        bits, one_block = _bitmaps(table.column("bits")), place[1] == place[2]
-        for i, j in _places(np.append(0, ends[:-1]), ends):
-            met = (root[i] != root[j]) & (one_block[i] | (block[i] != block[j]))
-            i, j = i[met], j[met]
-            room = _may_be_similar((bits[i], bits[j]), (size[i], size[j]))
-            i, j = node[i[room]], node[j[room]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
+        cuts = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1
+        made = []
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), table.num_rows], strict=True):
+            own = table.slice(start, end - start)
+            node, root, block, size = (own.column(c).to_numpy() for c in ("node", "root", "block", "size"))
+            if end - start < 2 or (root == root[0]).all():
+                continue
+            bits, one_block = _bitmaps(own.column("bits")), place[1, start] == place[2, start]
+            lists = own.column("grams").combine_chunks()
+            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            _, column = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+            # Rows by column, so that a row meets only those it shares columns with.
+            holder = np.repeat(np.arange(len(node)), np.diff(ends, prepend=0))[np.argsort(column, kind="stable")]
+            bounds = np.concatenate(([0], np.cumsum(np.bincount(column))))
+            for row in range(len(node) - 1):
+                columns = column[ends[row - 1] if row else 0 : ends[row]]
+                met = [holder[bounds[c] : bounds[c + 1]] for c in columns.tolist()]
+                overlap = np.bincount(np.concatenate(met), minlength=len(node))
+                overlap[: row + 1] = 0
+                others = np.flatnonzero((overlap > 0) & (root != root[row]) & (one_block | (block != block[row])))
+                others = others[_may_be_similar((bits[others], bits[row]), (size[others], np.full(len(others), size[row])))]
+                made.append(np.stack([np.minimum(node[others], node[row]), np.maximum(node[others], node[row]), overlap[others]]))
+        pairs = np.concatenate(made, axis=1) if made else np.empty((3, 0), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs], names=["a", "b", "gathered"])
 
 
 def _tiles(rows: DataFrame, tile: int) -> DataFrame:
-    """``rows`` (gram, node, root, least_root, size, bits) with (low, high, block): once for each tile a row takes part in.
+    """``rows`` (least, least_root, node, root, size, bits, grams) with (low, high, block): once for each tile a row takes part in.
 
-    A crowded column is cut by size bands, by whether a row lies in the group of the column's least row, and by hash. Tiles
+    A crowded block is cut by size bands, by whether a row lies in the group of the least row, and by hash. Tiles
     of that group with itself, and of bands that are not neighbours, hold no pair.
     """
     part, whole = SIMILAR
     crowded = F.col("n") > tile
-    many = rows.groupBy("gram").agg(F.count("*").alias("n"))
+    many = rows.groupBy("least").agg(F.count("*").alias("n"))
     # Bands are floors of logarithms to the base 5/4: similar sizes lie in one band or in neighbours.
     band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(whole / part)) + 1e-9).cast("long")
     own = (F.col("root") == F.col("least_root")).cast("long")
-    placed = join_staged(rows, many, ["gram"]).withColumns(
+    placed = join_staged(rows, many, ["least"]).withColumns(
         {"band": F.when(crowded, band).otherwise(0), "own": F.when(crowded, own).otherwise(0)}
     )
-    blocks = stage_table(placed.groupBy("gram", "band", "own").agg(F.ceil(F.count("*") / tile).alias("parts")), "blocks")
+    blocks = stage_table(placed.groupBy("least", "band", "own").agg(F.ceil(F.count("*") / tile).alias("parts")), "blocks")
     number = lambda band, own, part: F.shiftleft(band * 2 + own, 32) + part
-    dealt = placed.join(blocks, ["gram", "band", "own"]).withColumn(
+    dealt = placed.join(blocks, ["least", "band", "own"]).withColumn(
         "block", number(F.col("band"), F.col("own"), F.pmod(F.xxhash64("node"), F.col("parts")))
     )
-    other = blocks.select("gram", F.col("band").alias("_band"), F.col("own").alias("_own"), F.col("parts").alias("_parts"))
+    other = blocks.select("least", F.col("band").alias("_band"), F.col("own").alias("_own"), F.col("parts").alias("_parts"))
     near = (F.abs(F.col("band") - F.col("_band")) <= 1) & ((F.col("own") == 0) | (F.col("_own") == 0))
-    met = dealt.join(other, "gram").where(near).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+    met = dealt.join(other, "least").where(near).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
     target = number(F.col("_band"), F.col("_own"), F.col("_part"))
-    return met.select("gram", F.least("block", target).alias("low"), F.greatest("block", target).alias("high"), "block", "node", "root", "size", "bits")
+    return met.select(
+        "least", F.least("block", target).alias("low"), F.greatest("block", target).alias("high"), "block", "node", "root", "size", "bits", "grams"
+    )
 
 
 def links(docs: DataFrame, nodes: DataFrame, words_each: int = WORDS, tile: int = TILE) -> DataFrame:
@@ -294,27 +329,31 @@ def links(docs: DataFrame, nodes: DataFrame, words_each: int = WORDS, tile: int
     ``nodes`` are (node, at, size, bits, head), where ``at`` tells id and text hash of one of ``docs`` (id, text).
     """
     heads = nodes.select("node", F.explode("head").alias("gram"))
-    crowded = heads.groupBy("gram").agg(F.count("*").alias("n"), F.min("node").alias("least")).where(F.col("n") > 1)
-    rows = stage_table(heads.join(stage_table(crowded, "crowded"), "gram"), "rows")
+    shared = stage_table(heads.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > 1), "shared")
+    rows = _looked_up(heads, F.col("gram"), _lookup(shared.select(F.col("gram").alias("key"))))
+    rows = stage_table(rows.join(shared, "gram"), "rows")
+    least = stage_table(rows.groupBy("gram").agg(F.min("node").alias("least")), "least")
+    others = rows.join(least, "gram").where(F.col("node") != F.col("least"))
     ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    others = rows.where(F.col("node") != F.col("least"))
     star = stage_table(_room(others.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), nodes), "star")
     sets = stage_table(_sets(docs, nodes, ends(star), words_each), "sets")
     edges = stage_table(_similar(star, sets), "star_edges")
     groups = stage_table(components(edges), "groups")
     # The least row has met all others of its column, and pairs of two rows are done.
     grouped = join_staged(others.where(F.col("n") > 2).select("gram", "node", "least"), groups, ["node"], "left")
-    least_root = groups.select(F.col("node").alias("least"), F.col("root").alias("least_root"))
     grouped = grouped.withColumn("root", F.coalesce("root", "node"))
-    spread = grouped.groupBy("gram", "least").agg(F.min("root").alias("one"), F.max("root").alias("two")).where("one < two")
-    spread = stage_table(spread.join(least_root, "least", "left").select("gram", F.coalesce("least_root", "least").alias("least_root")), "spread")
-    left = grouped.join(spread, "gram").join(nodes.select("node", "size", "bits"), "node")
-    left = stage_table(left.select("gram", "node", "root", "least_root", "size", "bits"), "left")
-    cell = ["gram", "low", "high"]
-    pairs = _tiles(left, tile).repartition(*cell).sortWithinPartitions(*cell).mapInArrow(_tile_pairs, "a bigint, b bigint")
+    spread = grouped.groupBy("gram").agg(F.min("root").alias("one"), F.max("root").alias("two")).where("one < two")
+    least_root = groups.select(F.col("node").alias("least"), F.col("root").alias("least_root"))
+    left = grouped.join(stage_table(spread.select("gram"), "spread"), "gram")
+    left = left.groupBy("least", "node", "root").agg(F.collect_list("gram").alias("grams"))
+    left = left.join(least_root, "least", "left").withColumn("least_root", F.coalesce("least_root", "least"))
+    left = stage_table(left.join(nodes.select("node", "size", "bits"), "node"), "left")
+    cell = ["least", "low", "high"]
+    tiles = _tiles(left, tile).repartition(*cell).sortWithinPartitions(*cell)
+    pairs = tiles.mapInArrow(_tile_pairs, "a bigint, b bigint, gathered bigint")
     # Rows of different groups meet in every column that both heads have, or have met as a column's least row
-    # and were found apart; so the count is the overlap of the heads, or the pair is none.
-    gathered = pairs.groupBy("a", "b").agg(F.count("*").alias("gathered"))
+    # and were found apart; so the sum is the overlap of the heads, or the pair is none.
+    gathered = pairs.groupBy("a", "b").agg(F.sum("gathered").alias("gathered"))
     size = lambda end: nodes.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"))
     tail = lambda end: F.col(f"size_{end}") - head_size(F.col(f"size_{end}"))
     enough = F.col("gathered") + F.greatest(tail("a"), tail("b")) >= _needed(F.col("size_a"), F.col("size_b"))
