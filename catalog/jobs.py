@@ -9,6 +9,7 @@ from catalog import fixtures
 from catalog.fixtures import PACKET_ORDER, table
 from flowloom.functions.numbertext import seconds_text
 from flowloom.operators import evaluation, features, labelling, render, splitting, tokens
+from flowloom.operators.endpoints import with_endpoints
 from flowloom.operators.headers import HEADER_COLUMNS, decode_headers
 from flowloom.operators.modelling import fit_select as fit_and_select
 from flowloom.operators.modelling import score_splits
@@ -22,11 +23,16 @@ from flowloom.operators.sessions import (
     session_stats,
     surviving_sessions,
 )
-from flowloom.plans.jobs import session_records
+from flowloom.plans.jobs import packets_of_session_files, session_index, session_records
 from flowloom.plans.ranks import slice_positions
 from flowloom.plans.staging import fresh_path, stage_table
 from flowloom.sources import statistics
-from flowloom.sources.captures import capture_contents, decode_captures, good_packets
+from flowloom.sources.captures import (
+    fetch_packets,
+    place_sessions,
+    write_class_captures,
+    write_session_files,
+)
 from flowloom.sources.datasets import (
     read_dataset,
     read_dataset_csv,
@@ -131,21 +137,22 @@ def feature_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def statistics_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics as GBK files with a header of their own for each class, in two column orders, read back."""
-    rows = fixtures.statistics(spark, sf_dir).withColumn("part", F.concat("class", F.lit(".pcap_Flow.csv")))
+    """Statistics as GBK files with a header of their own for each class, in two column orders, read back.
+
+    A column of notes holds line ends and quotes; features come back in the order of the class's file.
+    """
+    note = F.concat("Kind", F.lit('\n"'), "class", F.lit('"\r\nend'))
+    rows = fixtures.statistics(spark, sf_dir).withColumns({"Note": note, "part": F.concat("class", F.lit(".pcap_Flow.csv"))})
     path = fresh_path(spark, "statistics")
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # Spark writes this encoding only so
     names = [c for c in rows.columns if c not in ("class", "row_no", "part")]
-    for turned, order in ((0, names), (1, names[::-1])):
-        half = rows.where(F.pmod(F.crc32("class"), F.lit(2)) == turned)
+    for own, order in ((F.col("class") != "A", names), (F.col("class") == "A", names[::-1])):
         # One writer for each class, as a class is one file, in the order of its rows.
-        files = half.repartition("class").sortWithinPartitions("class", "row_no")
+        files = rows.where(own).repartition("class").sortWithinPartitions("class", "row_no")
         writer = files.select("part", *[F.col(f"`{c}`") for c in order]).write.partitionBy("part").mode("append")
-        writer.option("header", "true").option("encoding", statistics.ENCODING).csv(path)
+        writer.option("header", "true").option("escape", '"').option("encoding", statistics.ENCODING).csv(path)
     read = statistics.read_statistics_by_class(spark, f"{path}/*")
-    return features.feature_text(read).select(
-        "class", "flow_id", F.array_join(F.array_sort(F.split("features", ", ")), ", ").alias("features")
-    )
+    return features.feature_text(read).select("class", "flow_id", "features")
 
 
 def feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,20 +250,28 @@ def dataset_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pcap_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every packet into session captures and back through the decoder."""
-    placed = session_positions(_sessions(spark, sf_dir), PACKET_ORDER)
-    files = stage_table(capture_contents(placed), "captures").withColumn(
-        "capture", F.concat_ws("#", "flow_key", "part")
-    )
-    packets = good_packets(decode_captures(files))
-    return assign_sessions(packets).select(
-        *KEY, (F.col("capture_pos") + 1).alias("pos"), "ts_us",
-        F.col("caplen").cast("bigint").alias("caplen"), F.col("proto").cast("bigint").alias("proto"),
-        "src_ip", F.col("src_port").cast("bigint").alias("src_port"), "dst_ip",
+    """Every packet into captures of its class and back: indexed, placed in its session, fetched by place."""
+    path = fresh_path(spark, "captures")
+    write_class_captures(fixtures.frames(spark, sf_dir), path, PACKET_ORDER)
+    placed = session_positions(session_index(spark, path, "directory"))
+    return with_endpoints(fetch_packets(placed)).select(
+        *KEY, "pos", "ts_us", F.col("caplen").cast("bigint").alias("caplen"),
+        F.col("proto").cast("bigint").alias("proto"), "src_ip",
+        F.col("src_port").cast("bigint").alias("src_port"), "dst_ip",
         F.col("dst_port").cast("bigint").alias("dst_port"), "forward",
     )
 
 
+def session_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every session into a file of its own, and the first packets of the files that are large enough."""
+    path = fresh_path(spark, "flow")
+    write_session_files(place_sessions(fixtures.sessions(spark, sf_dir), PACKET_ORDER), path)
+    kept = packets_of_session_files(spark, path)
+    return _ints(kept, "pos", "caplen", "proto").select(
+        "class", "capture", "pos", "n_pkts", "ts_us", "caplen", "proto", "src_ip", "dst_ip", "forward"
+    )
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two proxies: the largest component of embeddings against their label, and document labels."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -354,6 +369,7 @@ QUERIES = {
         statistics_roundtrip,
         feature_join, label_dictionary, task_mapping, instruction_text, dataset_rows, class_cap,
         split_assign, split_sizes, seeded_shuffle, dataset_roundtrip, pcap_roundtrip,
+        session_files,
         argmax_predict, eval_metrics, per_class_metrics, confusion_matrix, best_epoch, vocab_build,
         encode_tokens, fit_select,
     )

@@ -22,8 +22,10 @@ EXCLUDED_COLUMNS = [
     "Label",
 ]
 FLOW_ID = "Flow ID"
-# Fixed value: <class>.pcap.<PROTO>_<ip>_<port>_<ip>_<port>.pcap, dashes for dots in addresses.
+# Fixed value: <class>.pcap.<PROTO>_<ip>_<port>_<ip>_<port>.pcap, dashes for dots (or colons) in addresses.
 FILE_NAME = r"^(.*)\.pcap\.([^._]+)_([^_]+)_([0-9]+)_([^_]+)_([0-9]+)\.pcap$"
+# A further part of a session's packets in a file of its own.
+LATER_PART = r"\.pcap\.part[0-9]+\.pcap$"
 # Fixed value: <ip>-<ip>-<port>-<port>-<protocol>.
 FLOW_ID_PATTERN = r"^([^-]+)-([^-]+)-([0-9]+)-([0-9]+)-([0-9]+)$"
 
@@ -33,6 +35,12 @@ def protocol_number(name: Column) -> Column:
     return F.when(name == "TCP", TCP).otherwise(UDP)
 
 
+def _address(dashed: Column) -> Column:
+    """The address of a file name: eight parts are IPv6, with colons, others have dots."""
+    colons = F.length(dashed) - F.length(F.replace(dashed, F.lit("-"))) == 7
+    return F.when(colons, F.translate(dashed, "-", ":")).otherwise(F.translate(dashed, "-", "."))
+
+
 def parse_flow_name(files: DataFrame, name: str = "file_name") -> DataFrame:
     """Split a session file name; adds ``class, proto, src_ip … dst_port, flow_key``.
 
@@ -45,9 +53,9 @@ def parse_flow_name(files: DataFrame, name: str = "file_name") -> DataFrame:
     return (
         files.withColumn("class", part(1))
         .withColumn("proto", protocol_number(part(2)))
-        .withColumn("src_ip", F.replace(part(3), F.lit("-"), F.lit(".")))
+        .withColumn("src_ip", _address(part(3)))
         .withColumn("src_port", part(4).try_cast("int"))
-        .withColumn("dst_ip", F.replace(part(5), F.lit("-"), F.lit(".")))
+        .withColumn("dst_ip", _address(part(5)))
         .withColumn("dst_port", part(6).try_cast("int"))
         .withColumn(
             "flow_key",
@@ -62,9 +70,8 @@ def file_key(name: Column) -> Column:
     def part(i: int) -> Column:
         return F.regexp_extract(name, FILE_NAME, i)
 
-    address = lambda i: F.replace(part(i), F.lit("-"), F.lit("."))
     return flow_key(
-        address(3), part(4).try_cast("int"), address(5), part(6).try_cast("int"), protocol_number(part(2))
+        _address(part(3)), part(4).try_cast("int"), _address(part(5)), part(6).try_cast("int"), protocol_number(part(2))
     )
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowloom.operators.endpoints import is_forward, with_endpoints
-from flowloom.operators.features import join_features
+from flowloom.operators.endpoints import flow_key, is_forward, with_endpoints
+from flowloom.operators.features import LATER_PART, join_features
 from flowloom.operators.headers import decode_headers
 from flowloom.operators.labelling import (
     DEFAULT_TASK,
@@ -25,20 +25,20 @@ from flowloom.operators.sessions import (
     KEY,
     MIN_CAPTURE_BYTES,
     MIN_PACKETS,
-    assign_sessions,
     kept_packets,
-    session_positions,
 )
 from flowloom.operators.splitting import MAX_PER_CLASS, SEED, split_assign
 from flowloom.plans.ranks import slice_positions
 from flowloom.plans.staging import leaves_nothing, stage_table
 from flowloom.sources.captures import (
-    decode_captures,
+    PART_BYTES,
+    fetch_packets,
+    first_packets_of_files,
     good_packets,
-    list_captures,
+    index_captures,
+    place_sessions,
     quarantine,
-    read_captures,
-    write_captures,
+    write_session_files,
 )
 from flowloom.sources.datasets import (
     read_dataset,
@@ -48,45 +48,69 @@ from flowloom.sources.datasets import (
     write_split_files,
 )
 
+_ENDS = ["proto", "src_ip", "src_port", "dst_ip", "dst_port"]
 
-def staged_sessions(
-    spark: SparkSession, input_path: str, class_from: str = "file"
+
+def session_index(
+    spark: SparkSession, input_path: str, class_from: str = "file", filesystem: str | None = None
 ) -> DataFrame:
-    """Packets of raw captures with their session, decoded once and staged.
+    """Packets of raw captures with their session and their place in the file, without their bytes.
 
-    The class is the base name of a capture; with ``class_from="directory"`` a folder
-    holds all captures of a class, such as rotated ones. What follows reads the table
-    twice: totals of all packets from a few narrow columns, and the bytes of the first
-    packets only.
+    The class is the base name of a capture; with ``class_from="directory"`` a folder holds all captures of a class,
+    such as rotated ones. Captures are read once, and the staged table is narrow: totals, positions and the choice of
+    packets run on it, and bytes are fetched for the packets that are chosen.
     """
-    packets = good_packets(read_captures(spark, input_path, class_from))
-    return stage_table(assign_sessions(packets), "sessions")
+
+    def shape(rows: DataFrame) -> DataFrame:
+        return with_endpoints(rows).select(*rows.columns, *_ENDS, "l4")
+
+    packets = good_packets(index_captures(spark, input_path, class_from, shape, filesystem=filesystem))
+    ends = [F.col(c) for c in ("src_ip", "src_port", "dst_ip", "dst_port")]
+    known = packets.where(F.col("l4").isNotNull())
+    return known.withColumn("flow_key", flow_key(*ends, F.col("proto"))).withColumn("forward", is_forward(*ends)).drop("l4", *_ENDS)
+
+
+def _with_bytes(index: DataFrame, filesystem: str | None) -> DataFrame:
+    """Indexed packets with their bytes and what is decoded from them."""
+    return with_endpoints(fetch_packets(index, filesystem))
 
 
 @leaves_nothing
 def split_captures(
-    spark: SparkSession, input_path: str, output_path: str, class_from: str = "file"
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    class_from: str = "file",
+    part_bytes: int = PART_BYTES,
+    filesystem: str | None = None,
 ) -> None:
-    """Cut raw captures into sessions stored as capture contents."""
-    write_captures(session_positions(staged_sessions(spark, input_path, class_from)), output_path)
+    """Cut raw captures into session files, ``<class>/<class>.pcap.<PROTO>_<ip>_<port>_<ip>_<port>.pcap``.
+
+    Packets are ordered on the index, so bytes move once, to the task that writes their file.
+    """
+    placed = place_sessions(session_index(spark, input_path, class_from, filesystem), CAPTURE_ORDER, part_bytes)
+    # The source's name gives way to that of the session file; the place in the source stays.
+    write_session_files(fetch_packets(placed, filesystem), output_path, filesystem)
 
 
 def packets_of_captures(
-    spark: SparkSession, input_path: str, class_from: str = "file"
+    spark: SparkSession, input_path: str, class_from: str = "file", filesystem: str | None = None
 ) -> DataFrame:
-    """Kept packets of raw captures."""
-    return kept_packets(staged_sessions(spark, input_path, class_from))
+    """Kept packets of raw captures: chosen on the index, and their bytes alone fetched."""
+    return _with_bytes(kept_packets(session_index(spark, input_path, class_from, filesystem)), filesystem)
 
 
-def packets_of_session_files(spark: SparkSession, flow_path: str) -> DataFrame:
+def packets_of_session_files(spark: SparkSession, flow_path: str, filesystem: str | None = None) -> DataFrame:
     """Kept packets of ``flow/<class>/*.pcap``, one session per file.
 
-    The size filter runs on the file listing, and decoding stops at the last packet
-    needed. The key of a session is its file's name: files of the same endpoints stay
-    apart, and so do files whose names tell no endpoints, which get no statistics.
+    The size filter runs on the file listing, and a file is read no further than the last packet needed, whatever its
+    size. The key of a session is its file's name: files of the same endpoints stay apart, and so
+    do files whose names tell no endpoints, which get no statistics. Later parts of a session are not read.
     """
-    files = list_captures(spark, flow_path).where(F.col("length") >= MIN_CAPTURE_BYTES)
-    packets = good_packets(decode_captures(files, max_packets=FIRST_PACKETS))
+    files = first_packets_of_files(
+        spark, flow_path, max_packets=FIRST_PACKETS, min_bytes=MIN_CAPTURE_BYTES, filesystem=filesystem
+    )
+    packets = good_packets(files).where(~F.col("capture").rlike(LATER_PART))
     keyed = packets.withColumn("flow_key", F.col("capture")).withColumn(
         "pos", (F.col("capture_pos") + 1).cast("int")
     )
@@ -97,16 +121,20 @@ def packets_of_session_files(spark: SparkSession, flow_path: str) -> DataFrame:
 
 
 def write_quarantine(
-    spark: SparkSession, input_path: str, output_path: str, class_from: str = "directory"
+    spark: SparkSession, input_path: str, output_path: str, class_from: str = "directory", filesystem: str | None = None
 ) -> DataFrame:
     """Write what the jobs leave out of the captures below ``input_path``, and return counts by class and reason.
 
     One row per unreadable or damaged capture, with the place where reading stopped, and
     one per packet that is no TCP or UDP packet of a known link type.
     """
-    packets = read_captures(spark, input_path, class_from)
+
+    def shape(rows: DataFrame) -> DataFrame:
+        return with_endpoints(rows).select(*rows.columns, "ip_version", "l4")
+
+    packets = index_captures(spark, input_path, class_from, shape, filesystem=filesystem)
     damaged = quarantine(packets).select("class", "capture", "capture_pos", F.col("error").alias("reason"))
-    unknown = with_endpoints(good_packets(packets)).where(F.col("l4").isNull())
+    unknown = good_packets(packets).where(F.col("l4").isNull())
     reason = F.when(F.col("ip_version").isNull(), "no IP packet of a known link type").otherwise("no TCP or UDP ports")
     left_out = damaged.unionByName(unknown.select("class", "capture", "capture_pos", reason.alias("reason")))
     left_out.write.mode("overwrite").parquet(output_path)

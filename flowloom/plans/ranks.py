@@ -17,9 +17,13 @@ from flowloom.plans.staging import stage_table
 CUT_LIMIT = 1000
 
 
-def slice_positions(df: DataFrame, group: list[str], order: list[str], pos: str = "pos") -> DataFrame:
+def slice_positions(
+    df: DataFrame, group: list[str], order: list[str], pos: str = "pos", running: dict[str, Column] | None = None
+) -> DataFrame:
     """1-based position within ``group`` ordered by ``order``.
 
+    ``running`` adds columns: the sum of a value over the earlier rows of the group.
+
     Rows are dealt out by ranges of (group, order), whose bounds Spark samples, so a
     group spreads over as many tasks as its rows take, whatever their order values
     are. The written table fixes the ranges. A row's position is its rank in its range
@@ -31,15 +35,20 @@ def slice_positions(df: DataFrame, group: list[str], order: list[str], pos: str
     earlier = (
         Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = (
-        dealt.groupBy(*key)
-        .agg(F.count("*").alias("_rows"))
-        .select(*[F.col(c).alias(f"_of_{c}") for c in key], F.sum("_rows").over(earlier).alias("_before"))
+    sums = {"_rows": F.lit(1), **(running or {})}
+    totals = dealt.groupBy(*key).agg(*[F.sum(value).alias(f"_all_{name}") for name, value in sums.items()])
+    offsets = totals.select(
+        *[F.col(c).alias(f"_of_{c}") for c in key], *[F.sum(f"_all_{name}").over(earlier).alias(f"_to_{name}") for name in sums]
+    )
+    within = Window.partitionBy(*key).orderBy(*order)
+    passed = within.rowsBetween(Window.unboundedPreceding, -1)
+    ranked = dealt.withColumn("_in__rows", F.row_number().over(within)).withColumns(
+        {f"_in_{name}": F.coalesce(F.sum(value).over(passed), F.lit(0)) for name, value in (running or {}).items()}
     )
-    ranked = dealt.withColumn("_in", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
     same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in key]
-    placed = F.coalesce("_before", F.lit(0)) + F.col("_in")
-    return ranked.join(offsets, same, "left").withColumn(pos, placed).select(*df.columns, pos)
+    carried = lambda name: F.coalesce(f"_to_{name}", F.lit(0)) + F.col(f"_in_{name}")
+    columns = {pos: carried("_rows"), **{name: carried(name) for name in running or {}}}
+    return ranked.join(offsets, same, "left").withColumns(columns).select(*df.columns, *columns)
 
 
 def max_before_slice(

@@ -1,312 +1,528 @@
-"""Capture files as packets, and packets as capture files.
+"""Capture files as packets, by a Spark data source, and packets as capture files.
 
-Classic capture format: a 24-byte file header, then per packet a 16-byte record
-header and the captured bytes. Finding the records of a file is sequential, so
-it is the one Python step; everything after it is column expressions.
+Classic capture format: a 24-byte file header, then per packet a 16-byte record header and the captured bytes.
+Files are listed once and cut into byte ranges, which tasks read by path; small files share a task. A range begins
+at the first place that looks like a record, and is right if that is where the range before it ended. What is
+read of all packets is an index, narrow rows with their place in the file; ranges are checked on it and read again
+from the right place where they began wrong, so it equals a sequential read. Bytes are
+fetched by place for the packets that are wanted.
+
+Paths are opened by Arrow's file systems (local, HDFS, S3, GCS) on every task. A store that they do not know is
+given as ``filesystem``: the import path ``module:function`` of a function from a path to an Arrow file system and inner path.
 """
 
 from __future__ import annotations
 
+import importlib
 import re
 import struct
-from collections.abc import Iterator
-from itertools import chain
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 from urllib.parse import quote
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    InputPartition,
+    LessThan,
+    LessThanOrEqual,
+    WriterCommitMessage,
+)
 
 from flowloom.operators.sessions import CAPTURE_HEADER_BYTES, KEY, RECORD_HEADER_BYTES
-from flowloom.plans.staging import stage_table
+from flowloom.plans.ranks import slice_positions
+from flowloom.plans.staging import join_staged, stage_table
 
-# File magics as (byte order, ticks per second), and the largest believable packet.
+# File magics as (byte order, ticks per second), and the snap length of a file that names none.
 MAGICS = {
     b"\xd4\xc3\xb2\xa1": ("<", 1_000_000),
     b"\xa1\xb2\xc3\xd4": (">", 1_000_000),
     b"\x4d\x3c\xb2\xa1": ("<", 1_000_000_000),
     b"\xa1\xb2\x3c\x4d": (">", 1_000_000_000),
 }
-MAX_PACKET_BYTES = 1 << 24
-
-PACKET_SCHEMA = (
-    "class string, capture string, capture_pos long, ts_us long, caplen int, origlen int,"
-    " linktype int, data binary, error string"
-)
-_RANGE_INPUT = ["class", "capture", "path", "length", "k", "lo", "hi", "start"]
-_RANGE_SCHEMA = (
-    "class string, capture string, path string, length long, k int, lo long, hi long, start long,"
-    " stop long, next long, n long"
-)
-_RANGE_ARROW = pa.schema(
-    [(c, pa.string()) for c in ("class", "capture", "path")]
-    + [("length", pa.int64()), ("k", pa.int32())]
-    + [(c, pa.int64()) for c in ("lo", "hi", "start", "stop", "next", "n")]
+SNAP_BYTES = 262_144
+
+FORMAT = "flowloom_capture"
+RANGE_BYTES = 64 << 20
+# Bytes of a packet that hold its link, network and transport ports.
+HEAD_BYTES = 256
+# A session file beyond this size goes on in a further part.
+PART_BYTES = 1 << 30
+# A packet row, or the one row that ends each range: ``is_end``, with the number of its packets as
+# ``pos`` and the place behind the last one as ``next``.
+RANGE_SCHEMA = (
+    "class string, capture string, path string, length long, range_no int, lo long, hi long, start long,"
+    " is_end boolean, next long, pos long, ts_us long, offset long, caplen int, origlen int, linktype int, data binary, error string"
 )
 _ARROW = pa.schema(
     [
-        ("class", pa.string()), ("capture", pa.string()), ("capture_pos", pa.int64()),
-        ("ts_us", pa.int64()), ("caplen", pa.int32()), ("origlen", pa.int32()),
+        ("class", pa.string()), ("capture", pa.string()), ("path", pa.string()), ("length", pa.int64()), ("range_no", pa.int32()),
+        ("lo", pa.int64()), ("hi", pa.int64()), ("start", pa.int64()), ("is_end", pa.bool_()), ("next", pa.int64()),
+        ("pos", pa.int64()), ("ts_us", pa.int64()), ("offset", pa.int64()), ("caplen", pa.int32()), ("origlen", pa.int32()),
         ("linktype", pa.int32()), ("data", pa.binary()), ("error", pa.string()),
     ]
-)
+)
+_RANGE = ["class", "capture", "path", "length", "range_no", "lo", "hi", "start"]
+_INT = (1 << 31) - 1
 _BATCH_ROWS = 4096
 _BATCH_BYTES = 16 << 20
 # Headers in a row that make a place look like the start of a record.
 _CHAIN = 8
-WHOLE_FILE_BYTES = 64 << 20
-CHUNK_BYTES = 64 << 20
+# Bytes read at once from a file, and from one of which only the first packets are wanted.
+_BLOCK = 4 << 20
+_SMALL_BLOCK = 64 << 10
+# What opening a file costs, in bytes.
+_OPEN_COST = 256 << 10
+# Wanted packets with no more bytes between them are fetched together.
+_NEAR = 64 << 10
+
+
+def _file_system(path: str, filesystem: str | None = None) -> tuple[pa.fs.FileSystem, str]:
+    """Arrow file system and inner path of a Hadoop-style path."""
+    if filesystem:
+        module, _, name = filesystem.partition(":")
+        return getattr(importlib.import_module(module), name)(path)
+    scheme, colon, rest = path.partition(":")
+    if scheme == "file" or not re.fullmatch(r"[A-Za-z][A-Za-z0-9+.-]*", scheme) or not colon:
+        return pa.fs.LocalFileSystem(), "/" + (rest if scheme == "file" and colon else path).lstrip("/")
+    uri = quote(re.sub(r"^s3[an]:", "s3:", path), safe=":/@")
+    return pa.fs.FileSystem.from_uri(uri)
 
 
-def list_captures(spark: SparkSession, path: str, class_from: str = "directory") -> DataFrame:
-    """``class, capture, path, length, content`` of every ``*.pcap`` below ``path``.
+class _Places:
+    """Bytes of a file by place, read in blocks."""
 
-    The class is the directory of a session file, or the base name of a raw
-    capture. Without ``content`` in use, files are listed and not read.
-    """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.pcap")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-    )
-    name = F.element_at(F.split("path", "/"), -1)
-    classes = {
-        "directory": F.element_at(F.split("path", "/"), -2),
-        "file": F.regexp_extract(name, r"^(.*)\.pcap$", 1),
-    }
-    return files.select(
-        classes[class_from].alias("class"), name.alias("capture"), "path", "length", "content"
-    )
+    def __init__(self, path: str, filesystem: str | None, block: int) -> None:
+        opener, inner = _file_system(path, filesystem)
+        self.stream, self.block, self.at, self.held = opener.open_input_file(inner), block, 0, b""
+
+    def take(self, at: int, size: int) -> bytes:
+        if not self.at <= at <= at + size <= self.at + len(self.held):
+            self.stream.seek(at)
+            self.at, self.held = at, self.stream.read(max(size, self.block))
+        return self.held[at - self.at : at - self.at + size]
+
+    def close(self) -> None:
+        self.stream.close()
 
 
-def _file_header(head: bytes) -> tuple[str, int, int]:
-    """Byte order, ticks per second and link type, or ValueError."""
+def _file_header(head: bytes) -> tuple[struct.Struct, int, int, int]:
+    """Record header, ticks per second, longest packet and link type, or ValueError."""
     if len(head) < CAPTURE_HEADER_BYTES or head[:4] not in MAGICS:
         raise ValueError("not a capture file")
     order, ticks = MAGICS[head[:4]]
-    return order, ticks, struct.unpack(order + "I", head[20:24])[0] & 0xFFFF
-
-
-def _records(buffer: bytes, start: int, stop: int, order: str, ticks: int) -> Iterator[tuple]:
-    """``(ts_us, caplen, origlen, data)`` of each whole record of ``buffer[start:stop]``."""
-    header = struct.Struct(order + "IIII")
-    at = start
-    while at + RECORD_HEADER_BYTES <= stop:
-        sec, fraction, caplen, origlen = header.unpack_from(buffer, at)
-        if caplen > MAX_PACKET_BYTES:
-            raise ValueError(f"record of {caplen} bytes at {at}")
-        begin = at + RECORD_HEADER_BYTES
-        at = begin + caplen
-        if at > stop:
-            return  # the last record was cut off while it was written
-        yield sec * 1_000_000 + fraction * 1_000_000 // ticks, caplen, origlen, buffer[begin:at]
-
-
-def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    kept, size = [], 0
-    for row in rows:
-        kept.append(row)
-        size += row[4] or 0
-        if len(kept) >= _BATCH_ROWS or size >= _BATCH_BYTES:
-            yield _to_batch(kept)
-            kept, size = [], 0
-    if kept:
-        yield _to_batch(kept)
+    snap, link = struct.unpack(order + "II", head[16:24])
+    return struct.Struct(order + "IIII"), ticks, min(max(snap, SNAP_BYTES), _INT), link & 0xFFFF
 
 
-def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
-    arrays = [pa.array(column, type=f.type) for column, f in zip(zip(*rows), _ARROW)]
-    return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+def _first_record(file: _Places, row: dict, header: struct.Struct, ticks: int, longest: int) -> int | None:
+    """The first place of a range from which some record headers in a row, or all up to the end, make sense."""
 
+    def plausible(at: int) -> bool:
+        for _ in range(_CHAIN):
+            head = file.take(at, RECORD_HEADER_BYTES)
+            if len(head) < RECORD_HEADER_BYTES:
+                return True
+            _, fraction, caplen, origlen = header.unpack(head)
+            if fraction >= ticks or caplen > min(origlen, longest):
+                return False
+            at += RECORD_HEADER_BYTES + caplen
+        return True
 
-def decode_captures(files: DataFrame, max_packets: int | None = None) -> DataFrame:
-    """Packets of files with ``class, capture, content``; see ``PACKET_SCHEMA``.
+    return next((at for at in range(row["lo"], row["hi"]) if plausible(at)), None)
 
-    A file that is not a capture gives one row with ``error`` and no packet;
-    packets ahead of a damaged record are kept. ``max_packets`` stops early.
-    """
 
-    def rows_of(cls: str, capture: str, content: bytes) -> Iterator[tuple]:
-        pos = 0
-        try:
-            order, ticks, link = _file_header(content)
-            for ts, caplen, origlen, data in _records(
-                content, CAPTURE_HEADER_BYTES, len(content), order, ticks
-            ):
-                if max_packets is not None and pos >= max_packets:
-                    return
-                yield cls, capture, pos, ts, caplen, origlen, link, data, None
-                pos += 1
-        except ValueError as problem:
-            yield cls, capture, pos, None, None, None, None, None, str(problem)
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [batch.column(i) for i in range(3)]
-            files = ([c[i].as_py() for c in columns] for i in range(batch.num_rows))
-            yield from _batches(chain.from_iterable(rows_of(*file) for file in files))
+def _read_range(row: dict, head_bytes: int | None, max_packets: int | None, filesystem: str | None) -> Iterator[tuple]:
+    """Rows of the records that begin in ``[lo, hi)``, then the row that ends the range.
 
-    return files.select("class", "capture", "content").mapInArrow(decode, PACKET_SCHEMA)
+    Without a known ``start`` the first plausible one is taken. Packets ahead of a damaged
+    record are kept; a last record that was cut off while it was written is left out.
+    """
+    own = tuple(row[c] for c in _RANGE[:-1])
+    start, after, n = row["start"], row["length"], 0
+    file = _Places(row["path"], filesystem, _BLOCK if max_packets is None else _SMALL_BLOCK)
+    try:
+        header, ticks, longest, link = _file_header(file.take(0, CAPTURE_HEADER_BYTES))
+        if start is None:
+            start = CAPTURE_HEADER_BYTES if row["range_no"] == 0 else _first_record(file, row, header, ticks, longest)
+        at = after = start
+        while at is not None and at < row["hi"] and (max_packets is None or n < max_packets):
+            head = file.take(at, RECORD_HEADER_BYTES)
+            after = row["length"]
+            if len(head) < RECORD_HEADER_BYTES:
+                break
+            sec, fraction, caplen, origlen = header.unpack(head)
+            if caplen > longest:
+                raise ValueError(f"record of {caplen} bytes at {at}")
+            if at + RECORD_HEADER_BYTES + caplen > row["length"]:
+                break
+            size = caplen if head_bytes is None else min(caplen, head_bytes)
+            data = file.take(at + RECORD_HEADER_BYTES, size)
+            yield *own, start, False, None, n, sec * 1_000_000 + fraction * 1_000_000 // ticks, at, caplen, min(origlen, _INT), link, data, None
+            n += 1
+            at += RECORD_HEADER_BYTES + caplen
+            after = at
+    except ValueError as problem:
+        # One range holds the file header and reports it; nothing beyond a damaged record can be trusted.
+        if start is not None or row["range_no"] == 0:
+            start, after = start or 0, row["length"]
+            yield *own, start, False, None, n, None, None, None, None, None, None, str(problem)
+    finally:
+        file.close()
+    yield *own, start, True, after if start is not None else None, n, None, None, None, None, None, None, None
+
+
+def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[-2] or b"")
+        if len(held) >= _BATCH_ROWS or size >= _BATCH_BYTES:
+            yield _to_batch(held)
+            held, size = [], 0
+    if held:
+        yield _to_batch(held)
 
 
-def _open(path: str) -> pa.NativeFile:
-    """Input stream of a Hadoop-style path."""
-    scheme, _, rest = path.partition(":")
-    if scheme == "file":
-        return pa.fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
-    uri = quote(re.sub(r"^s3[an]:", "s3:", path), safe=":/@")
-    filesystem, inner = pa.fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_file(inner)
+def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
+    arrays = [pa.array(column, type=f.type) for column, f in zip(zip(*rows, strict=True), _ARROW, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
 
 
-def _plausible(buffer: bytes, at: int, header: struct.Struct, ticks: int) -> bool:
-    """Do some record headers in a row, or all up to the end of the buffer, make sense?"""
-    for _ in range(_CHAIN):
-        if at + RECORD_HEADER_BYTES > len(buffer):
-            return True
-        _, fraction, caplen, origlen = header.unpack_from(buffer, at)
-        if fraction >= ticks or caplen > origlen or origlen > MAX_PACKET_BYTES:
-            return False
-        at += RECORD_HEADER_BYTES + caplen
-    return True
+def _whole(value: str | None) -> int | None:
+    return None if value is None else int(value)
 
 
-def _scan_range(row: dict) -> dict:
-    """Records of the byte range ``[lo, hi)``: first start, end of the last one, how many.
+class CaptureSource(DataSource):
+    """Spark data source ``flowloom_capture`` of ``*.pcap`` files below ``path``; see ``RANGE_SCHEMA``.
 
-    Without a known ``start`` the first plausible one is taken, which the caller checks.
+    Options: ``class_from`` (``directory`` or ``file``), ``range_bytes`` (0: a file is one range), ``head_bytes``
+    (of each packet; none: all), ``max_packets`` (of each file, with ``range_bytes`` 0), ``min_bytes`` (of a file),
+    ``parallelism``, ``filesystem`` and, where the session has filter pushdown switched on, ``pushdown``.
     """
-    found = {**row, "stop": None, "next": None, "n": 0}
-    with _open(row["path"]) as stream:
-        try:
-            order, ticks, _ = _file_header(stream.read(CAPTURE_HEADER_BYTES))
-        except ValueError:
-            # One range holds the file header, for the decoder to report; the rest is empty.
-            if row["k"] == 0:
-                found.update(start=0, stop=CAPTURE_HEADER_BYTES, next=row["length"])
-            return found
-        stream.seek(row["lo"])
-        buffer = stream.read(row["hi"] - row["lo"] + RECORD_HEADER_BYTES)
-    header = struct.Struct(order + "IIII")
-    at = CAPTURE_HEADER_BYTES if row["k"] == 0 else row["start"]
-    if at is None:
-        size = row["hi"] - row["lo"]
-        guesses = (o for o in range(size) if _plausible(buffer, o, header, ticks))
-        at = next(guesses, None)
-        if at is None:
-            return found
-        at += row["lo"]
-    found["start"] = at
-    while at < row["hi"] and at + RECORD_HEADER_BYTES <= row["length"]:
-        caplen = header.unpack_from(buffer, at - row["lo"])[2]
-        if caplen > MAX_PACKET_BYTES:
-            # Nothing beyond a damaged record can be trusted; the decoder reports it.
-            found.update(stop=at + RECORD_HEADER_BYTES, next=row["length"])
-            return found
-        at += RECORD_HEADER_BYTES + caplen
-        found["n"] += 1
-    end = row["length"] if at + RECORD_HEADER_BYTES > row["length"] else at
-    found.update(stop=min(end, row["length"]), next=end)
-    return found
-
-
-def _scan(ranges: DataFrame) -> DataFrame:
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [_scan_range(row) for row in batch.to_pylist()]
-            yield pa.RecordBatch.from_pylist(rows, schema=_RANGE_ARROW)
 
-    return ranges.select(*_RANGE_INPUT).repartition("path", "k").mapInArrow(scan, _RANGE_SCHEMA)
+    @classmethod
+    def name(cls) -> str:
+        return FORMAT
+
+    def schema(self) -> str:
+        return RANGE_SCHEMA
+
+    def reader(self, schema) -> DataSourceReader:
+        return (PushingReader if self.options.get("pushdown") == "true" else CaptureReader)(dict(self.options))
+
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return CaptureWriter(self.options["path"], self.options.get("filesystem"), overwrite)
+
+
+class CaptureReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]) -> None:
+        self.path, self.filesystem = options["path"], options.get("filesystem")
+        self.class_from = options.get("class_from", "directory")
+        self.range_bytes = int(options.get("range_bytes", RANGE_BYTES))
+        self.head_bytes, self.max_packets = _whole(options.get("head_bytes")), _whole(options.get("max_packets"))
+        self.min_bytes, self.parallelism = int(options.get("min_bytes", 0)), int(options.get("parallelism", 1))
+        self.classes: set[str] | None = None
+        if self.max_packets is not None and self.range_bytes:
+            raise ValueError("max_packets needs range_bytes 0")
+
+    def _files(self) -> Iterator[tuple[str, str, str, int]]:
+        """Class, name, path and size of the captures, without hidden files and folders."""
+        system, inner = _file_system(self.path, self.filesystem)
+        top = system.get_file_info(inner)
+        if top.type == pa.fs.FileType.NotFound:
+            raise FileNotFoundError(self.path)
+        below = [top] if top.is_file else system.get_file_info(pa.fs.FileSelector(inner, recursive=True))
+        root = inner.rstrip("/")
+        ahead = self.path.rstrip("/")
+        for info in below:
+            local = "" if top.is_file else info.path[len(root) :]
+            hidden = any(part.startswith((".", "_")) for part in local.split("/"))
+            if not info.is_file or hidden or not info.base_name.endswith(".pcap"):
+                continue
+            folder = info.path.rsplit("/", 2)[-2]
+            own = folder if self.class_from == "directory" else info.base_name[: -len(".pcap")]
+            if info.size >= self.min_bytes and (self.classes is None or own in self.classes):
+                yield own, info.base_name, ahead + local, info.size
+
+    def partitions(self) -> list[InputPartition]:
+        ranges, costs = [], []
+        for own, name, path, size in sorted(self._files(), key=lambda f: f[2]):
+            step = self.range_bytes or max(1, size)
+            for number, lo in enumerate(range(0, max(1, size), step)):
+                ranges.append((own, name, path, size, number, lo, min(size, lo + step)))
+                costs.append(_OPEN_COST + (min(size, lo + step) - lo if self.max_packets is None else 0))
+        bound = min(RANGE_BYTES, max(_OPEN_COST, sum(costs) // max(1, self.parallelism)))
+        parts, held, total = [], [], 0
+        for item, cost in zip(ranges, costs, strict=True):
+            if held and total + cost > bound:
+                parts.append(InputPartition(held))
+                held, total = [], 0
+            held.append(item)
+            total += cost
+        return [*parts, InputPartition(held)] if held or not parts else parts
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for item in partition.value:
+                row = dict(zip(_RANGE, (*item, None), strict=True))
+                yield from _read_range(row, self.head_bytes, self.max_packets, self.filesystem)
+
+        yield from _batches(rows())
+
+
+class PushingReader(CaptureReader):
+    """Lists only the files, and reads only the packets, that filters on class, length and position leave."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for wanted in filters:
+            kind, column = type(wanted), wanted.attribute if hasattr(wanted, "attribute") else ()
+            if column == ("class",) and kind in (EqualTo, In):
+                own = {wanted.value} if kind is EqualTo else set(wanted.value)
+                self.classes = own if self.classes is None else self.classes & own
+            elif column == ("length",) and kind in (GreaterThan, GreaterThanOrEqual):
+                self.min_bytes = max(self.min_bytes, wanted.value + (kind is GreaterThan))
+            elif column == ("pos",) and kind in (LessThan, LessThanOrEqual) and not self.range_bytes:
+                many = max(0, wanted.value + (kind is LessThanOrEqual))
+                self.max_packets = many if self.max_packets is None else min(many, self.max_packets)
+                yield wanted  # the row that ends a range has a position of its own
+            else:
+                yield wanted
+
+
+class _Written(WriterCommitMessage):
+    def __init__(self, paths: list[str]) -> None:
+        self.paths = paths
+
+
+# Little-endian file header, version 2.4, microseconds.
+def _new_header(link: int) -> bytes:
+    return struct.pack("<IHHIIII", 0xA1B2C3D4, 2, 4, 0, 0, SNAP_BYTES, link)
+
+
+class CaptureWriter(DataSourceArrowWriter):
+    """Writes rows (class, capture, ts_us, caplen, origlen, linktype, data) as ``<path>/<class>/<capture>``.
+
+    Rows of a file come one after the other, in one task. A file appears under its name when it is whole; the job's
+    commit adds ``_SUCCESS``, and a job that fails removes the files of the tasks that had finished.
+    """
 
+    def __init__(self, path: str, filesystem: str | None, overwrite: bool) -> None:
+        self.path, self.filesystem = path.rstrip("/"), filesystem
+        if overwrite:
+            system, inner = _file_system(self.path, filesystem)
+            system.delete_dir_contents(inner, missing_dir_ok=True)
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        system, root = _file_system(self.path, self.filesystem)
+        done: list[str] = []
+        folders: set[str] = set()
+        stream = None
+        name = draft = ""
+
+        def close() -> None:
+            stream.close()
+            if draft != name:
+                system.move(draft, name)
+            done.append(name)
 
-def chunk_captures(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Cut large captures at record boundaries: ``class, capture, path, start, stop, first_pos``.
+        try:
+            for batch in iterator:
+                columns = (batch.column(c).to_pylist() for c in ("class", "capture", "ts_us", "caplen", "origlen", "linktype", "data"))
+                for own, capture, ts_us, caplen, origlen, link, data in zip(*columns, strict=True):
+                    target = f"{root}/{own}/{capture}"
+                    if target != name:
+                        if stream is not None:
+                            close()
+                            stream = None
+                        name = target
+                        # Object stores show a file only when it is whole, and cannot move one.
+                        whole = system.type_name in ("s3", "gcs", "abfs")
+                        draft = name if whole else f"{root}/{own}/.{uuid.uuid4().hex}"
+                        if own not in folders:
+                            system.create_dir(f"{root}/{own}", recursive=True)
+                            folders.add(own)
+                        stream = system.open_output_stream(draft, buffer_size=1 << 20)
+                        stream.write(_new_header(link))
+                    sec, us = divmod(ts_us, 1_000_000)
+                    stream.write(struct.pack("<IIII", sec & 0xFFFFFFFF, us, caplen, origlen) + data)
+            if stream is not None:
+                close()
+                stream = None
+        finally:
+            if stream is not None:
+                stream.close()
+                if draft != name:
+                    system.delete_file(draft)
+        return _Written(done)
+
+    def commit(self, messages: list[_Written | None]) -> None:
+        system, root = _file_system(self.path, self.filesystem)
+        system.create_dir(root, recursive=True)
+        with system.open_output_stream(f"{root}/_SUCCESS"):
+            pass
+
+    def abort(self, messages: list[_Written | None]) -> None:
+        system, _ = _file_system(self.path, self.filesystem)
+        for message in messages:
+            for path in message.paths if message is not None else ():
+                system.delete_file(path)
+
+
+def capture_ranges(spark: SparkSession, path: str, class_from: str = "directory", **options: object) -> DataFrame:
+    """Rows of the data source; ``options`` that are None are left out."""
+    spark.dataSource.register(CaptureSource)
+    pushed = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    reader = spark.read.format(FORMAT).option("class_from", class_from).option("pushdown", pushed)
+    reader = reader.option("parallelism", str(spark.sparkContext.defaultParallelism))
+    for name, value in options.items():
+        if value is not None:
+            reader = reader.option(name, str(value))
+    return reader.load(path)
+
+
+def first_packets_of_files(
+    spark: SparkSession,
+    path: str,
+    class_from: str = "directory",
+    max_packets: int | None = None,
+    min_bytes: int = 0,
+    filesystem: str | None = None,
+) -> DataFrame:
+    """The first packets of every capture of ``min_bytes`` or more, with an ``error`` row per unreadable file.
 
-    All byte ranges of a file are scanned at once, each from the first place that
-    looks like a record. A range is right if it starts where the one before it
-    ended; the first starts behind the file header. Ranges that guessed wrong are
-    scanned again from the right place until none is left, so the cut is exact.
+    Files are read one after the other within a task, and no further than the last packet that is wanted.
     """
-    steps = F.sequence(F.lit(0), F.floor((F.col("length") - 1) / chunk_bytes).cast("int"))
-    ranges = (
-        files.select("class", "capture", "path", "length", F.explode(steps).alias("k"))
-        .withColumn("lo", F.col("k").cast("bigint") * chunk_bytes)
-        .withColumn("hi", F.least("length", F.col("lo") + chunk_bytes))
-        .withColumn("start", F.lit(None).cast("bigint"))
-    )
-    table = stage_table(_scan(ranges), "ranges")
-    before = Window.partitionBy("path").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    while True:
-        due = F.last("next", ignorenulls=True).over(before)
-        checked = table.withColumn("_due", due).withColumn(
-            "_wrong", (F.col("k") > 0) & ~F.col("start").eqNullSafe(F.col("_due"))
-        )
-        # A range that the record before it covers to its end holds no start of its own.
-        empty = F.col("_wrong") & (F.col("_due") >= F.col("hi"))
-        settled = checked.select(
-            *_RANGE_INPUT[:-1],
-            F.when(empty, F.col("_due")).otherwise(F.col("start")).alias("start"),
-            F.when(empty, F.col("_due")).otherwise(F.col("stop")).alias("stop"),
-            F.when(empty, F.lit(None)).otherwise(F.col("next")).alias("next"),
-            F.when(empty, 0).otherwise(F.col("n")).alias("n"),
-            # Where an earlier range has not found its place yet, this one has to wait for it.
-            (F.col("_wrong") & ~empty & (F.col("_due") >= F.col("lo"))).alias("_again"),
-            "_due",
-        )
-        again = settled.where("_again").withColumn("start", F.col("_due"))
-        if again.isEmpty():
-            break
-        kept = settled.where("not _again").select(*_RANGE_INPUT, "stop", "next", "n")
-        table = stage_table(kept.unionByName(_scan(again)), "ranges")
-    return settled.withColumn("first_pos", F.coalesce(F.sum("n").over(before), F.lit(0))).where(
-        F.col("stop") > F.col("start")
-    ).select("class", "capture", "path", "start", "stop", "first_pos")
-
+    rows = capture_ranges(spark, path, class_from, range_bytes=0, max_packets=max_packets, min_bytes=min_bytes, filesystem=filesystem)
+    rows = rows.where((F.col("length") >= min_bytes) & ~F.col("is_end"))
+    return rows.withColumnRenamed("pos", "capture_pos").drop("range_no", "lo", "hi", "start", "is_end", "next")
 
-def decode_chunks(chunks: DataFrame) -> DataFrame:
-    """Packets of the byte ranges of :func:`chunk_captures`; see ``PACKET_SCHEMA``."""
 
-    def rows_of(row: dict) -> Iterator[tuple]:
-        cls, capture, pos = row["class"], row["capture"], row["first_pos"]
-        try:
-            with _open(row["path"]) as stream:
-                order, ticks, link = _file_header(stream.read(CAPTURE_HEADER_BYTES))
-                stream.seek(row["start"])
-                content = stream.read(row["stop"] - row["start"])
-            for ts, caplen, origlen, data in _records(content, 0, len(content), order, ticks):
-                yield cls, capture, pos, ts, caplen, origlen, link, data, None
-                pos += 1
-        except ValueError as problem:
-            yield cls, capture, pos, None, None, None, None, None, str(problem)
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_again(ranges: DataFrame, head_bytes: int, filesystem: str | None) -> DataFrame:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _batches(chain.from_iterable(map(rows_of, batch.to_pylist())))
+            for row in batch.to_pylist():
+                yield from _batches(_read_range(row, head_bytes, None, filesystem))
+
+    return ranges.select(*_RANGE).repartition("path", "range_no").mapInArrow(read, RANGE_SCHEMA)
 
-    # Ranges of one file are hashed apart, so a giant capture is decoded by many tasks.
-    return chunks.repartition("path", "start").mapInArrow(decode, PACKET_SCHEMA)
 
+def _settled(ends: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the ends of ranges: those that are right, with their first position, and those to be read again.
 
-def read_captures(
+    A range is right if it starts where the one before it ended; the first starts behind the file header. One that
+    the record before it covers holds no start of its own. What follows a range that is still to be read waits.
+    """
+    before = Window.partitionBy("path").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    due = F.last("next", ignorenulls=True).over(before)
+    known = ends.withColumn("_due", due).withColumn("_wrong", (F.col("range_no") > 0) & ~F.col("start").eqNullSafe(F.col("_due")))
+    covered = F.col("_wrong") & (F.col("_due") >= F.col("hi"))
+    again = known.where(F.col("_wrong") & ~covered & (F.col("_due") >= F.col("lo"))).withColumn("start", F.col("_due"))
+    # Should the range before it turn out to end earlier, its start is no longer the right one.
+    counted = known.withColumns(
+        {
+            "start": F.when(covered, F.col("_due")).otherwise(F.col("start")),
+            "pos": F.when(covered, 0).otherwise(F.col("pos")),
+            "next": F.when(~covered, F.col("next")),
+            "attempt": F.when(covered, -1).otherwise(F.col("attempt")),
+        }
+    )
+    kept = counted.withColumn("first_pos", F.coalesce(F.sum("pos").over(before), F.lit(0)))
+    return kept.select(*_RANGE, "next", "pos", "attempt", "first_pos"), again.select(*_RANGE)
+
+
+def index_captures(
     spark: SparkSession,
     path: str,
     class_from: str = "directory",
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
-    chunk_bytes: int = CHUNK_BYTES,
+    shape: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    range_bytes: int = RANGE_BYTES,
+    head_bytes: int = HEAD_BYTES,
+    filesystem: str | None = None,
 ) -> DataFrame:
-    """All packets of all captures below ``path``, with an ``error`` row per unreadable file.
+    """All packets of all captures below ``path`` without their bytes, with an ``error`` row per unreadable file.
 
-    Files up to ``whole_file_bytes`` are read whole; larger ones, of any size,
-    are cut into ranges first, which many tasks decode.
+    ``class, capture, path, capture_pos, ts_us, offset, caplen, origlen, linktype, error`` and what ``shape``, which sees
+    the first ``head_bytes`` of each packet as ``data``, adds to them. The rows are staged. Only files of
+    several ranges need the check of their ranges, on one row for each.
+    """
+    read = capture_ranges(spark, path, class_from, range_bytes=range_bytes, head_bytes=head_bytes, filesystem=filesystem)
+    rows = stage_table(shape(read).drop("data").withColumn("attempt", F.lit(0)), "index")
+    several = F.col("length") > range_bytes
+    names = [*_RANGE, "next", "pos", "attempt"]
+    ends = stage_table(rows.where(F.col("is_end") & several).select(*names), "ends")
+    turn = 0
+    while True:
+        settled, again = _settled(ends)
+        settled, again = stage_table(settled, "settled"), stage_table(again, "again")
+        if again.isEmpty():
+            break
+        turn += 1
+        # Ranges that began in the wrong place are few; what was read of them is left aside by its attempt.
+        more = stage_table(shape(_read_again(again, head_bytes, filesystem)).drop("data").withColumn("attempt", F.lit(turn)), "index")
+        rows = rows.unionByName(more)
+        place = ["path", "range_no"]
+        kept = settled.drop("first_pos").join(again.select(*place), place, "left_anti")
+        ends = stage_table(kept.unionByName(more.where("is_end").select(*names)), "ends")
+    packets = rows.where(~F.col("is_end"))
+    right = settled.select("path", "range_no", "attempt", "first_pos")
+    large = join_staged(packets.where(several), right, ["path", "range_no", "attempt"])
+    both = packets.where(~several).withColumn("first_pos", F.lit(0)).unionByName(large)
+    placed = both.withColumn("capture_pos", F.col("first_pos") + F.col("pos"))
+    return placed.drop("length", "range_no", "lo", "hi", "start", "is_end", "next", "pos", "attempt", "first_pos")
+
+
+def fetch_packets(rows: DataFrame, filesystem: str | None = None, fetch_bytes: int = RANGE_BYTES) -> DataFrame:
+    """``rows`` of an index (path, offset, caplen and what else) with the bytes of their packets as ``data``.
+
+    Rows are dealt out by place, so a giant capture is fetched by many tasks, and packets that lie near each other
+    are read together.
     """
-    files = list_captures(spark, path, class_from)
-    small = decode_captures(files.where(F.col("length") <= whole_file_bytes))
-    large = files.where(F.col("length") > whole_file_bytes).drop("content")
-    if large.isEmpty():
-        return small
-    return small.unionByName(decode_chunks(chunk_captures(large, chunk_bytes)))
+    schema = rows.schema.add("data", "binary")
+    names = [f.name for f in schema]
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, opened = None, None
+        for batch in batches:
+            path, offset, size = batch.column("path").to_pylist(), batch.column("offset").to_numpy(), batch.column("caplen").to_numpy()
+            data, first, held = [], 0, 0
+            for at, name in enumerate(path):
+                if name != opened:
+                    if file is not None:
+                        file.close()
+                    file, opened = _Places(name, filesystem, _SMALL_BLOCK), name
+                begin = int(offset[at]) + RECORD_HEADER_BYTES
+                # The block grows where the next packets of the file are near.
+                last = int(np.searchsorted(offset[at:], begin + int(size[at]) + _NEAR)) if offset[at:].size > 1 and path[-1] == name else 0
+                file.block = _BLOCK if last > 1 else _SMALL_BLOCK
+                data.append(file.take(begin, int(size[at])))
+                held += len(data[-1])
+                if held >= _BATCH_BYTES or at + 1 == len(path):
+                    part = batch.slice(first, at + 1 - first)
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(data, pa.binary())], names=names)
+                    data, first, held = [], at + 1, 0
+        if file is not None:
+            file.close()
+
+    place = F.floor(F.col("offset") / fetch_bytes)
+    return rows.repartition("path", place).sortWithinPartitions("path", "offset").mapInArrow(fetch, schema)
+
+
+def read_captures(spark: SparkSession, path: str, class_from: str = "directory", filesystem: str | None = None, **options: int) -> DataFrame:
+    """All packets of all captures below ``path`` with their bytes; files that cannot be read are left to :func:`quarantine`."""
+    index = index_captures(spark, path, class_from, filesystem=filesystem, **options)
+    return fetch_packets(good_packets(index), filesystem)
 
 
 def good_packets(packets: DataFrame) -> DataFrame:
@@ -320,41 +536,44 @@ def quarantine(packets: DataFrame) -> DataFrame:
     )
 
 
-# Fixed value: little-endian file header, version 2.4, microseconds, snap length 262144.
-_HEADER_HEX = "d4c3b2a1020004000000000000000000000004"
+def _write(packets: DataFrame, path: str, filesystem: str | None, mode: str) -> None:
+    packets.sparkSession.dataSource.register(CaptureSource)
+    link = F.col("linktype") if "linktype" in packets.columns else F.lit(1)
+    rows = packets.select("class", "capture", "ts_us", "caplen", "origlen", link.cast("int").alias("linktype"), "data")
+    writer = rows.write.format(FORMAT).mode(mode)
+    (writer.option("filesystem", filesystem) if filesystem else writer).save(path)
+
+
+def write_class_captures(packets: DataFrame, path: str, order: list[str], filesystem: str | None = None, mode: str = "append") -> None:
+    """All packets of a class in ``order`` as ``<path>/<class>/part-<n>.pcap``: read by name, the files are in that order.
+
+    Rows are dealt out by ranges of (class, order), so neither a class nor its captures end up in one task.
+    """
+    ranges = packets.repartitionByRange("class", *order).withColumn("capture", F.format_string("part-%06d.pcap", F.spark_partition_id()))
+    _write(ranges.sortWithinPartitions("class", *order), path, filesystem, mode)
 
 
-def _little_endian(value, n: int):
-    digits = F.lpad(F.hex(value.cast("bigint")), 2 * n, "0")
-    return F.concat(*[F.substring(digits, 2 * i + 1, 2) for i in reversed(range(n))])
+def session_file_name() -> Column:
+    """``<class>.pcap.<PROTO>_<ip>_<port>_<ip>_<port>.pcap`` of a session key, lower end first, with dashes in addresses."""
+    a, b, port_a, port_b, proto = (F.element_at(F.split("flow_key", "-"), i) for i in range(1, 6))
+    dashed = lambda ip: F.translate(ip, ".:", "--")
+    ends = F.concat_ws("_", F.when(proto == "6", "TCP").otherwise("UDP"), dashed(a), port_a, dashed(b), port_b)
+    return F.concat(F.col("class"), F.lit(".pcap."), ends, F.lit(".pcap"))
 
 
-def capture_contents(packets: DataFrame, part_packets: int = 1000) -> DataFrame:
-    """``class, flow_key, part, content``: each session as capture files of bounded size.
+def place_sessions(index: DataFrame, order: list[str], part_bytes: int = PART_BYTES) -> DataFrame:
+    """``index`` with ``pos`` in its session and the session's file as ``capture``.
 
-    Needs ``pos`` within the session. A part holds at most ``part_packets``
-    packets, so neither a class nor a long session ends up in one cell.
+    A session beyond ``part_bytes`` goes on in files ``….pcap.part<n>.pcap``. Runs on rows without bytes.
     """
-    link = F.col("linktype") if "linktype" in packets.columns else F.lit(1)
-    us = F.pmod("ts_us", F.lit(1_000_000))
-    record = F.concat(
-        _little_endian((F.col("ts_us") - us) / 1_000_000, 4),
-        _little_endian(us, 4),
-        _little_endian(F.col("caplen"), 4),
-        _little_endian(F.col("origlen"), 4),
-        F.hex("data"),
-    )
-    cut = packets.select(
-        *KEY, "pos", F.floor((F.col("pos") - 1) / part_packets).cast("int").alias("part"),
-        link.alias("linktype"), record.alias("record"),
-    )
-    body = F.array_join(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "record"))), lambda r: r["record"]), ""
-    )
-    header = F.concat(F.lit(_HEADER_HEX), F.lit("00"), _little_endian(F.max("linktype"), 4))
-    return cut.groupBy(*KEY, "part").agg(F.unhex(F.concat(header, body)).alias("content"))
+    size = (F.col("caplen") + RECORD_HEADER_BYTES).cast("long")
+    placed = slice_positions(index, KEY, order, running={"_bytes": size})
+    part = F.floor(F.col("_bytes") / part_bytes)
+    name = F.when(part == 0, session_file_name()).otherwise(F.concat(session_file_name(), F.lit(".part"), part, F.lit(".pcap")))
+    return placed.withColumn("capture", name).drop("_bytes")
 
 
-def write_captures(packets: DataFrame, path: str, part_packets: int = 1000) -> None:
-    """Store sessions as capture contents, one row per session part, grouped by class folder."""
-    capture_contents(packets, part_packets).write.partitionBy("class").parquet(path)
+def write_session_files(packets: DataFrame, path: str, filesystem: str | None = None, mode: str = "append") -> None:
+    """Packets with ``capture`` and ``pos`` (:func:`place_sessions`) as ``<path>/<class>/<capture>``."""
+    dealt = packets.repartition("class", "capture").sortWithinPartitions("class", "capture", "pos")
+    _write(dealt, path, filesystem, mode)

@@ -4,14 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowloom.operators.endpoints import with_endpoints
+from flowloom.operators.features import parse_flow_name
 from flowloom.operators.headers import decode_headers
 from flowloom.operators.render import packet_text, session_text
-from flowloom.operators.sessions import (
-    assign_sessions,
-    first_packets,
-    session_positions,
-    session_stats,
-)
+from flowloom.operators.sessions import assign_sessions, first_packets
+from flowloom.plans import jobs
 from flowloom.sources import captures
 from tests import frames as X
 
@@ -32,7 +29,7 @@ def rows(df):
 def test_byte_orders_and_resolutions(spark, tmp_path, order, nanos):
     packets = [(1_700_000_000_123_456 + i, tcp_frame(payload=b"x" * i)) for i in range(3)]
     X.write(tmp_path / "app.pcap", X.capture(packets, order, nanos))
-    got = rows(captures.good_packets(captures.read_captures(spark, str(tmp_path), "file")))
+    got = rows(captures.read_captures(spark, str(tmp_path), "file"))
     assert [(r["class"], r["capture_pos"], r["ts_us"], bytes(r["data"])) for r in got] == [
         ("app", i, ts, frame) for i, (ts, frame) in enumerate(packets)
     ]
@@ -43,18 +40,19 @@ def test_cut_file_bad_file_and_early_stop(spark, tmp_path):
     X.write(tmp_path / "a.pcap", X.capture(packets, cut=5))
     X.write(tmp_path / "b.pcap", b"\x0a\x0d\x0d\x0a" + b"\0" * 40)
     X.write(tmp_path / "c.pcap", X.capture(packets) + b"\xff" * 16)
-    everything = captures.read_captures(spark, str(tmp_path), "file")
-    counts = captures.good_packets(everything).groupBy("class").count().collect()
+    X.write(tmp_path / "_temporary" / "d.pcap", X.capture(packets))
+    X.write(tmp_path / "e.pcap", b"")
+    index = captures.index_captures(spark, str(tmp_path), "file")
+    counts = captures.good_packets(index).groupBy("class").count().collect()
     assert {r["class"]: r["count"] for r in counts} == {"a": 3, "c": 4}
-    bad = {(r["class"], r["capture_pos"]) for r in captures.quarantine(everything).collect()}
-    assert bad == {("b", 0), ("c", 4)}
-    files = captures.list_captures(spark, str(tmp_path), "file")
-    two = captures.good_packets(captures.decode_captures(files, max_packets=2))
+    bad = {(r["class"], r["capture_pos"]) for r in captures.quarantine(index).collect()}
+    assert bad == {("b", 0), ("c", 4), ("e", 0)}
+    two = captures.good_packets(captures.first_packets_of_files(spark, str(tmp_path), "file", max_packets=2))
     assert {r["class"]: r["count"] for r in two.groupBy("class").count().collect()} == {"a": 2, "c": 2}
 
 
-@pytest.mark.parametrize("chunk_bytes", [90, 700, 1 << 20])
-def test_large_captures_are_cut_at_records(spark, tmp_path, chunk_bytes):
+def test_large_captures_are_cut_at_records(spark, tmp_path):
+    range_bytes = 900
     packets = [(i, tcp_frame(payload=bytes([i]) * (i * 7 % 50))) for i in range(40)]
     X.write(tmp_path / "a.pcap", X.capture(packets))
     X.write(tmp_path / "b.pcap", X.capture(packets, ">", cut=3))
@@ -62,18 +60,73 @@ def test_large_captures_are_cut_at_records(spark, tmp_path, chunk_bytes):
     X.write(tmp_path / "d.pcap", b"\x0a\x0d\x0d\x0a" + b"\0" * 40)
     # Packets that carry captures themselves look like records in the wrong places.
     inner = X.capture([(i, b"q" * 9) for i in range(30)])
-    X.write(tmp_path / "e.pcap", X.capture([(i, tcp_frame(payload=inner)) for i in range(9)]))
+    X.write(tmp_path / "e.pcap", X.capture([(i, tcp_frame(payload=inner)) for i in range(3)]))
     X.write(tmp_path / "f.pcap", X.capture([(i, b"\0" * (i * 31 % 200)) for i in range(60)], nanos=True))
     X.write(tmp_path / "g.pcap", X.capture([]))
     X.write(tmp_path / "h +%20.pcap", X.capture(packets[:3]))
-    whole = captures.read_captures(spark, str(tmp_path), "file")
-    cut = captures.read_captures(
-        spark, str(tmp_path), "file", whole_file_bytes=0, chunk_bytes=chunk_bytes
-    )
     plain = lambda df: [
-        (r["class"], r["capture_pos"], r["ts_us"], r["data"], r["error"] is None) for r in rows(df)
+        (r["class"], r["capture_pos"], r["ts_us"], r.get("data"), r.get("offset"), r.get("error")) for r in rows(df)
     ]
-    assert plain(whole) == plain(cut)
+    whole = captures.first_packets_of_files(spark, str(tmp_path), "file")
+    index = captures.index_captures(spark, str(tmp_path), "file", range_bytes=range_bytes)
+    assert "data" not in index.columns
+    assert plain(index) == plain(whole.drop("data"))
+    cut = captures.read_captures(spark, str(tmp_path), "file", range_bytes=range_bytes, head_bytes=5)
+    assert plain(cut) == plain(captures.good_packets(whole))
+
+
+def test_first_packets_of_a_huge_file(spark, tmp_path):
+    """A sparse file of 3 GiB, and a limit of Spark's own reader of files that plays no part."""
+    packets = [(i, tcp_frame(payload=b"x" * i)) for i in range(9)]
+    X.write(tmp_path / "web" / "big.pcap", X.capture(packets))
+    X.write(tmp_path / "web" / "small.pcap", X.capture(packets[:2]))
+    with open(tmp_path / "web" / "big.pcap", "r+b") as big:
+        big.truncate(3 << 30)
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "1000")
+    try:
+        got = rows(captures.good_packets(captures.first_packets_of_files(spark, str(tmp_path), max_packets=5, min_bytes=400)))
+    finally:
+        spark.conf.unset(limit)
+    assert [(r["capture"], r["capture_pos"], bytes(r["data"])) for r in got] == [("big.pcap", i, f) for i, (_, f) in enumerate(packets[:5])]
+    reader = captures.CaptureReader({"path": str(tmp_path), "range_bytes": str(1 << 30)})
+    ranges = [item for part in reader.partitions() for item in part.value]
+    assert [(item[1], item[4], item[6] - item[5]) for item in ranges[:3]] == [("big.pcap", n, 1 << 30) for n in range(3)]
+    assert len(ranges) == 4
+
+
+def test_filters_reach_the_reader(spark, tmp_path):
+    for name, many in (("a", 3), ("b", 30), ("c", 30)):
+        X.write(tmp_path / name / "s.pcap", X.capture([(i, tcp_frame()) for i in range(many)]))
+    reader = captures.PushingReader({"path": str(tmp_path), "range_bytes": "0"})
+    rest = list(
+        reader.pushFilters(
+            [captures.GreaterThanOrEqual(("length",), 1000), captures.In(("class",), ("b", "a")), captures.LessThan(("pos",), 4)]
+        )
+    )
+    assert [type(f).__name__ for f in rest] == ["LessThan"]
+    items = [item for part in reader.partitions() for item in part.value]
+    assert [item[0] for item in items] == ["b"] and reader.max_packets == 4
+    switch = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(switch)
+    try:
+        for pushed in ("true", "false"):
+            spark.conf.set(switch, pushed)
+            files = captures.first_packets_of_files(spark, str(tmp_path))
+            asked = files.where("class in ('b', 'c') and capture_pos < 2 and length > 500").select("class", "capture_pos")
+            assert sorted(map(tuple, asked.collect())) == [("b", 0), ("b", 1), ("c", 0), ("c", 1)]
+    finally:
+        spark.conf.set(switch, before)
+
+
+def test_small_files_share_tasks(tmp_path):
+    for i in range(40):
+        X.write(tmp_path / "a" / f"{i}.pcap", X.capture([(0, b"x")]))
+    of = lambda cores: captures.CaptureReader({"path": str(tmp_path), "parallelism": str(cores)}).partitions()
+    assert [len(of(n)) for n in (1, 8)] == [1, 8]
+    assert sum(len(p.value) for p in of(8)) == 40
+    with pytest.raises(FileNotFoundError):
+        captures.CaptureReader({"path": str(tmp_path / "none")}).partitions()
 
 
 def decoded(spark, frames, link=1):
@@ -179,16 +232,43 @@ def test_payload_text_is_cut(spark):
 
 
 def test_sessions_survive_a_round_trip(spark, tmp_path):
-    frames = [
-        tcp_frame(*((A, B, 5000, 443) if i % 3 else (B, A, 443, 5000)), payload=bytes([i]))
+    """Raw captures to session files, in parts of bounded size, and back."""
+    packets = [
+        (i // 4, tcp_frame(*((A, B, 5000, 443) if i % 3 else (B, A, 443, 5000)), payload=bytes([i])))
         for i in range(25)
     ]
-    sessions = assign_sessions(decoded(spark, frames))
-    placed = session_positions(sessions)
-    assert sorted(r["pos"] for r in placed.collect()) == list(range(1, 26))
-    contents = captures.capture_contents(placed, part_packets=10)
-    assert contents.count() == 3
-    files = contents.withColumn("capture", F.format_string("%04d", "part"))
-    back = rows(captures.good_packets(captures.decode_captures(files)))
-    assert [bytes(r["data"]) for r in back] == frames
-    assert session_stats(sessions).first()["size_bytes"] == 24 + sum(16 + len(f) for f in frames)
+    v6 = bytes(range(16)), bytes(range(16, 32))
+    packets += [(99, X.ethernet(X.ipv6(*v6, X.tcp_segment(5000, 443)), 0x86DD)), (100, tcp_frame(sport=7))]
+    X.write(tmp_path / "raw" / "a.b.pcap", X.capture(packets, ">"))
+    one = 16 + len(packets[0][1])
+    jobs.split_captures(spark, str(tmp_path / "raw"), str(tmp_path / "flow"), part_bytes=10 * one)
+    names = {p.name: p for p in (tmp_path / "flow" / "a.b").iterdir()}
+    long = "a.b.pcap.TCP_10-0-0-1_5000_10-0-0-2_443.pcap"
+    six = "a.b.pcap.TCP_0001-0203-0405-0607-0809-0a0b-0c0d-0e0f_5000_1011-1213-1415-1617-1819-1a1b-1c1d-1e1f_443.pcap"
+    assert {n for n in names if not n.startswith(".")} == {long, f"{long}.part1.pcap", f"{long}.part2.pcap", six, "a.b.pcap.TCP_10-0-0-1_7_10-0-0-2_443.pcap"}
+    assert (tmp_path / "flow" / "_SUCCESS").exists()
+    assert names[long].stat().st_size == 24 + 10 * one
+    back = rows(captures.read_captures(spark, str(tmp_path / "flow")))
+    own = [r for r in back if r["capture"].startswith(long)]
+    assert [(r["ts_us"], bytes(r["data"])) for r in own] == packets[:25]
+    parsed = parse_flow_name(spark.createDataFrame([(six,), (long,)], "file_name string")).orderBy("src_ip").collect()
+    assert [r["flow_key"].split("-")[0] for r in parsed] == ["0001:0203:0405:0607:0809:0a0b:0c0d:0e0f", A]
+    kept = jobs.packets_of_session_files(spark, str(tmp_path / "flow"))
+    assert kept.count() == 0  # no part reaches 2 KiB
+
+
+def test_a_writer_that_fails_leaves_no_files(spark, tmp_path):
+    index = decoded(spark, [tcp_frame(), tcp_frame()]).withColumn("pos", F.col("capture_pos"))
+    broken = index.withColumn("capture", F.when(F.col("pos") == 0, "a").otherwise(F.raise_error(F.lit("stop"))))
+    with pytest.raises(Exception, match="stop"):
+        captures.write_session_files(broken, str(tmp_path / "flow"))
+    assert [p for p in (tmp_path / "flow").rglob("*") if p.is_file()] == []
+
+
+def test_class_captures_are_in_order(spark, tmp_path):
+    frames = [tcp_frame(payload=bytes([i])) for i in range(60)]
+    packets = decoded(spark, frames).withColumn("class", F.concat(F.lit("c"), F.col("capture_pos") % 2))
+    for mode in ("append", "overwrite"):
+        captures.write_class_captures(packets.repartition(5), str(tmp_path / "out"), ["ts_us"], mode=mode)
+    back = rows(captures.read_captures(spark, str(tmp_path / "out")))
+    assert [(r["class"], bytes(r["data"])) for r in back] == [(f"c{k}", f) for k in (0, 1) for f in frames[k::2]]

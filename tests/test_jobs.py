@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
+import pandas
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +91,39 @@ def test_statistics_by_class(spark, tmp_path):
     assert first["b", "i1"] == got["b", "i1"]
 
 
+def odd_cell(pick):
+    if pick.random() < 0.3:
+        return '"' + "".join(pick.choice(["a", '""', "\n", "\r\n", "\r", ",", "甲", " "]) for _ in range(pick.randrange(6))) + '"'
+    return pick.choice(['5" x', 'a"b"', "乙", "7", "12"])
+
+
+@pytest.mark.parametrize("block_bytes", ["128m", "400b"])
+def test_quoted_line_ends_read_as_python_reads_them(spark, tmp_path, block_bytes):
+    pick = random.Random(1)
+    for name, end in (("a", "\r\n"), ("b", "\n")):
+        lines = ["Flow ID,A,B", *[f"i{i},{odd_cell(pick)},{odd_cell(pick)}" for i in range(120)], "", ""]
+        X.write(tmp_path / f"{name}.pcap_Flow.csv", end.join(lines).encode("gbk"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block_bytes)
+    try:
+        got = statistics.read_statistics_by_class(spark, str(tmp_path)).orderBy("row_no").collect()
+        typed = statistics.read_statistics(spark, str(tmp_path), "`Flow ID` string, A string, B string").orderBy("row_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert spark.conf.get("spark.sql.legacy.javaCharsets") == "false"
+    for name in ("a", "b"):
+        read = pandas.read_csv(tmp_path / f"{name}.pcap_Flow.csv", encoding="gbk", dtype=str, keep_default_na=False)
+        want = [[v or "nan" for v in row] for row in read.values.tolist()]
+        assert [list(r["texts"]) for r in got if r["class"] == name] == want
+        assert [[v or "nan" for v in r[2:]] for r in typed if r["class"] == name] == want
+
+
+def test_a_quote_that_is_not_closed_is_an_error(spark, tmp_path):
+    X.write(tmp_path / "c.pcap_Flow.csv", b'Flow ID,A\n1,"open\n2,3\n')
+    with pytest.raises(Exception, match="a quote is not closed"):
+        statistics.read_statistics_by_class(spark, str(tmp_path)).collect()
+
+
 def test_one_session_for_each_file(spark, tmp_path):
     packets = [(i * 10, frame(1, payload=900)) for i in range(5)]
     names = ["sess0.pcap", "sess1.pcap", "w.pcap.TCP_10-0-0-1_1_10-0-0-2_2.pcap", "w.pcap.TCP_10-0-0-2_2_10-0-0-1_1.pcap"]
@@ -110,7 +145,7 @@ def test_row_numbers_follow_the_file_over_many_blocks(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
     try:
         rows = statistics.read_statistics(spark, str(tmp_path), SCHEMA)
-        assert rows.rdd.getNumPartitions() > 5
+        assert rows.select("row_no.block").distinct().count() > 5
         assert [r[0] for r in rows.select("class").distinct().collect()] == ["c +1"]
         ordered = [r[0] for r in rows.orderBy("row_no").select("Tot Pkts").collect()]
     finally:
@@ -122,9 +157,7 @@ def test_row_numbers_follow_the_file_over_many_blocks(spark, tmp_path):
 def test_dataset_build(spark, capture_dir, tmp_path, from_files):
     key_of = {}
     if from_files:
-        raw = captures.good_packets(
-            captures.read_captures(spark, str(capture_dir / "raw"), "file")
-        )
+        raw = captures.read_captures(spark, str(capture_dir / "raw"), "file")
         by_session = {}
         for r in assign_sessions(raw).orderBy("ts_us", "capture_pos").collect():
             by_session.setdefault((r["class"], r["flow_key"]), []).append(r)
@@ -169,14 +202,21 @@ def test_dataset_build(spark, capture_dir, tmp_path, from_files):
 
 
 def test_captures_are_cut_into_sessions(spark, capture_dir, tmp_path):
-    jobs.split_captures(spark, str(capture_dir / "raw"), str(tmp_path / "sessions"))
-    stored = spark.read.parquet(str(tmp_path / "sessions"))
-    assert stored.where("class = 'web'").count() == 13
-    files = stored.withColumn("capture", F.col("flow_key"))
-    packets = captures.good_packets(captures.decode_captures(files))
+    out = tmp_path / "sessions"
+    jobs.split_captures(spark, str(capture_dir / "raw"), str(out))
+    sizes = {p.name: p.stat().st_size for p in (out / "web").iterdir() if not p.name.startswith(".")}
+    assert len(sizes) == 13
+    packets = captures.read_captures(spark, str(out))
     assert packets.where("class = 'web'").count() == 74
-    sizes = {r["flow_key"]: r["size_bytes"] for r in session_stats(assign_sessions(packets)).where("class = 'web'").collect()}
-    assert sizes == {r["flow_key"]: len(r["content"]) for r in stored.where("class = 'web'").collect()}
+    keyed = assign_sessions(packets).withColumn("flow_key", F.col("capture"))
+    assert sizes == {r["flow_key"]: r["size_bytes"] for r in session_stats(keyed).where("class = 'web'").collect()}
+    kept = jobs.packets_of_session_files(spark, str(out))
+    assert kept.select("class", "flow_key").distinct().groupBy("class").count().count() == 2
+
+
+def test_index_holds_no_bytes(spark, capture_dir):
+    index = jobs.session_index(spark, str(capture_dir / "raw"))
+    assert "data" not in index.columns and {"path", "offset", "caplen", "flow_key"} <= set(index.columns)
 
 
 def test_dataset_files_keep_texts(spark, tmp_path):

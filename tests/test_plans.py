@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from catalog.jobs import QUERIES
 from flowloom.operators.sessions import MIN_CAPTURE_BYTES
-from flowloom.sources.captures import list_captures
+from flowloom.sources.captures import CaptureReader
 from tests import frames as X
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -54,9 +53,8 @@ def test_encoding_shuffles_rows_once(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
 
 
-def test_size_filter_runs_on_the_file_listing(spark, tmp_path):
+def test_size_filter_runs_on_the_file_listing(tmp_path):
     X.write(tmp_path / "web" / "a.pcap", X.capture([]))
-    files = list_captures(spark, str(tmp_path))
-    plan = plan_of(files.where(F.col("length") >= MIN_CAPTURE_BYTES))
-    assert f"GreaterThanOrEqual(length,{MIN_CAPTURE_BYTES})" in plan
-    assert "content" not in plan_of(files.select("path", "length")).split("ReadSchema")[1]
+    X.write(tmp_path / "web" / "b.pcap", X.capture([(0, b"x" * 3000)]))
+    reader = CaptureReader({"path": str(tmp_path), "range_bytes": "0", "min_bytes": str(MIN_CAPTURE_BYTES)})
+    assert [item[1] for part in reader.partitions() for item in part.value] == ["b.pcap"]
