@@ -22,15 +22,45 @@ ETHERTYPE_IPV6 = "86DD"
 TCP = 6
 UDP = 17
 
+# IPv6 headers ahead of the transport header: hop-by-hop, routing, destination options, mobility (all
+# counted in units of eight bytes beyond the first), authentication (units of four, beyond two) and fragment.
+IPV6_OPTIONS = (0, 43, 60, 135)
+IPV6_AUTHENTICATION = 51
+IPV6_FRAGMENT = 44
+IPV6_CHAIN = (*IPV6_OPTIONS, IPV6_AUTHENTICATION, IPV6_FRAGMENT)
+
 # Two VLAN tags, the longest IPv4 header and the ports fit in this many bytes.
 _LOOKAHEAD = 22 + 60 + 4
+# IPv6 headers that are followed at most, and the bytes they are looked for in.
+_CHAIN_STEPS = 6
+_CHAIN_BYTES = 190
+# Ports that lie beyond these first bytes of a packet are not looked for.
+HEAD_BYTES = 256
+_LATER_FRAGMENT = -1
+
+
+def _next_header(packets: DataFrame) -> DataFrame:
+    """``proto`` and its place ``_at`` in ``_x``, one IPv6 header further on, if it is one that others follow."""
+    x, at, proto = F.col("_x"), F.col("_at"), F.col("proto")
+    units = uint_at(x, at + 1, 1)
+    size = F.when(proto == IPV6_FRAGMENT, 8).when(proto == IPV6_AUTHENTICATION, (units + 2) * 4).otherwise((units + 1) * 8)
+    # The upper 13 bits tell where a fragment lies; only the first one has ports.
+    later = (proto == IPV6_FRAGMENT) & (uint_at(x, at + 2, 2) >= 8)
+    follows = x.isNotNull() & proto.isin(*IPV6_CHAIN)
+    return packets.withColumns(
+        {
+            "proto": F.when(follows, F.when(later, _LATER_FRAGMENT).otherwise(uint_at(x, at, 1))).otherwise(proto).cast("int"),
+            "_at": F.when(follows, at + size).otherwise(at).cast("int"),
+        }
+    )
 
 
 def with_endpoints(packets: DataFrame) -> DataFrame:
     """Add ``vlan_tags, ip_version, ip0, l4, proto, src_ip, src_port, dst_ip, dst_port``.
 
-    ``ip0`` and ``l4`` are byte offsets of the network and transport headers.
-    ``l4`` and the ports are null for anything but unfragmented TCP and UDP.
+    ``ip0`` and ``l4`` are byte offsets of the network and transport headers. IPv6 headers between
+    the two are followed from one to the next; ``proto`` is what the last one names.
+    ``l4`` and the ports are null for anything but TCP and UDP, and for later fragments.
     """
     h, ip0, tags = F.col("_h"), F.col("ip0"), F.col("vlan_tags")
     proto, l4 = F.col("proto"), F.col("l4")
@@ -58,9 +88,16 @@ def with_endpoints(packets: DataFrame) -> DataFrame:
         )
         .withColumn("proto", uint_at(h, F.when(v4, ip0 + 9).when(v6, ip0 + 6), 1).cast("int"))
         .withColumn("_src", F.when(v4, ip0 + 12).when(v6, ip0 + 8))
-        .withColumn("l4", F.when(carried, ip0 + F.when(v6, 40).otherwise(ihl)))
+        .withColumn("_x", F.when(v6 & proto.isin(*IPV6_CHAIN), F.hex(F.substring("data", ip0 + 41, F.lit(_CHAIN_BYTES)))))
+        .withColumn("_at", F.lit(0))
+    )
+    for _ in range(_CHAIN_STEPS):
+        ended = _next_header(ended)
+    ended = (
+        ended.withColumn("l4", F.when(carried, ip0 + F.when(v6, F.col("_at") + 40).otherwise(ihl)))
         # A packet cut off before its ports has no transport header for us.
-        .withColumn("l4", F.when(F.octet_length("data") >= l4 + 4, l4))
+        .withColumn("l4", F.when(F.least(F.octet_length("data"), F.lit(HEAD_BYTES)) >= l4 + 4, l4))
+        .withColumn("_p", F.hex(F.substring("data", l4 + 1, F.lit(4))))
     )
     src = F.col("_src")
     decoded = F.struct(
@@ -70,9 +107,9 @@ def with_endpoints(packets: DataFrame) -> DataFrame:
         "l4",
         "proto",
         F.when(v4, ipv4_text(h, src)).when(v6, ipv6_text(h, src)).alias("src_ip"),
-        uint_at(h, l4, 2).cast("int").alias("src_port"),
+        uint_at(F.col("_p"), 0, 2).cast("int").alias("src_port"),
         F.when(v4, ipv4_text(h, src + 4)).when(v6, ipv6_text(h, src + 16)).alias("dst_ip"),
-        uint_at(h, l4 + 2, 2).cast("int").alias("dst_port"),
+        uint_at(F.col("_p"), 2, 2).cast("int").alias("dst_port"),
     )
     # Filters on the decoded columns stay above the generator. Pushed below it, they would
     # spell out the whole decoding once more for every mention of a column.

@@ -81,6 +81,7 @@ FLAG_UNSET = "·"
 
 # IPv4 and TCP headers are at most 60 bytes each.
 _HEADERS = 120
+_IPV6_HEADER = 40
 _OPTION_STEPS = 40
 
 
@@ -133,9 +134,13 @@ def _with_layers(kept: DataFrame) -> DataFrame:
     h, t, o = F.col("_h"), F.col("_t"), F.col("_o")
     tcp, udp, v4 = F.col("proto") == TCP, F.col("proto") == UDP, F.col("ip_version") == 4
     by_pos = Window.partitionBy(*KEY).orderBy("pos")
+    bytes_at = lambda at, n: F.substring("data", at + 1, F.lit(n))
+    v6, network = F.col("ip_version") == 6, F.col("l4") - F.col("ip0")
+    # Headers between the fixed IPv6 header and the transport header are left out.
+    six = F.concat(bytes_at(F.col("ip0"), _IPV6_HEADER), bytes_at(F.col("l4"), _HEADERS - _IPV6_HEADER))
     cut = (
-        kept.withColumn("_h", F.hex(F.substring("data", F.col("ip0") + 1, F.lit(_HEADERS))))
-        .withColumn("_o", F.col("l4") - F.col("ip0"))
+        kept.withColumn("_h", F.hex(F.when(v6, six).otherwise(bytes_at(F.col("ip0"), _HEADERS))))
+        .withColumn("_o", F.when(v6, _IPV6_HEADER).otherwise(network))
         # Transport fields stay null unless the whole fixed header was captured.
         .withColumn("_t", F.when(F.length(h) >= (o + F.when(tcp, 20).otherwise(8)) * 2, h))
         .withColumns(
@@ -148,10 +153,10 @@ def _with_layers(kept: DataFrame) -> DataFrame:
     # A length of zero marks segmentation offload: the rest of the frame is meant.
     named = cut.withColumn(
         "_ip_len",
-        F.when(v4, uint_at(h, 2, 2)).when(F.col("ip_version") == 6, uint_at(h, 4, 2) + 40),
+        F.when(v4, uint_at(h, 2, 2)).when(v6, uint_at(h, 4, 2) + _IPV6_HEADER),
     ).withColumn("_thl", F.when(tcp, F.shiftright(uint_at(t, o + 12, 1), 4) * 4))
     rest = F.col("origlen") - F.col("l4")
-    l4_len = F.when(F.col("_ip_len") > o, F.col("_ip_len") - o).otherwise(rest)
+    l4_len = F.when(F.col("_ip_len") > network, F.col("_ip_len") - network).otherwise(rest)
     measured = (
         named.withColumn("tcp_len", F.when(tcp, F.greatest(l4_len - F.col("_thl"), F.lit(0))))
         .withColumn("_udp_len", F.when(udp, uint_at(t, o + 4, 2)))

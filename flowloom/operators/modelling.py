@@ -79,10 +79,5 @@ def report(model: PipelineModel, dataset: DataFrame, key: list[str]) -> tuple[Da
     return eval_metrics(scored, ["split"]), confusion_matrix(scored, ["split"])
 
 
-def report_test(model: PipelineModel, dataset: DataFrame, key: list[str]) -> DataFrame:
-    """Metrics of ``model`` on the ``test`` split."""
-    return eval_metrics(predict(model, dataset.where(F.col("split") == "test"), key))
-
-
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)

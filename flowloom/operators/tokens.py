@@ -8,7 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowloom.plans.staging import join_staged
+from flowloom.plans.ranks import slice_positions
+from flowloom.plans.staging import join_staged, stage_table
 
 # Fixed values of the encoder.
 MAX_TOKENS = 512
@@ -24,17 +25,38 @@ def split_tokens(text: Column, limit: int = -1) -> Column:
     return F.filter(F.split(text, SEPARATOR, limit), lambda t: t != "")
 
 
+def _least_count(counts: DataFrame, size: int) -> tuple[int, int]:
+    """The count from which on ``size`` tokens are reached, and how many tokens have a larger one.
+
+    Counts of counts tell: first by the bits of a count, of which there are 63 at most, then by the
+    counts of that many bits alone. No more than ``size`` numbers come to the driver.
+    """
+    bits = F.length(F.bin("n"))
+    above = 0
+    for row in counts.groupBy(bits.alias("bits")).agg(F.count("*").alias("tokens")).orderBy(F.desc("bits")).collect():
+        if above + row["tokens"] < size:
+            above += row["tokens"]
+            continue
+        same = counts.where(bits == row["bits"]).groupBy("n").agg(F.count("*").alias("tokens"))
+        for each in same.orderBy(F.desc("n")).limit(size).collect():
+            if above + each["tokens"] >= size:
+                return each["n"], above
+            above += each["tokens"]
+    return 0, above
+
+
 def vocab_build(rows: DataFrame, text: str, size: int = VOCABULARY_SIZE) -> DataFrame:
     """``token, n, id``: the ``size`` most frequent tokens of whole texts, ids from 2.
 
-    Counts combine before the shuffle; only the chosen tokens are numbered.
+    Counts combine before the shuffle and are staged. Tokens above the least count that is taken are chosen by a filter;
+    of those that have it the first come, ranked in ranges. Only the chosen tokens meet in one task, to be numbered.
     """
-    counts = (
-        rows.select(F.explode(split_tokens(F.col(text))).alias("token"))
-        .groupBy("token")
-        .agg(F.count("*").alias("n"))
+    counts = stage_table(
+        rows.select(F.explode(split_tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count("*").alias("n")), "counts"
     )
-    top = counts.orderBy(F.desc("n"), "token").limit(size)
+    least, above = _least_count(counts, size)
+    tied = slice_positions(counts.where(F.col("n") == least), ["n"], ["token"], "_rank").where(F.col("_rank") <= size - above)
+    top = counts.where(F.col("n") > least).unionByName(tied.drop("_rank"))
     number = F.row_number().over(Window.orderBy(F.desc("n"), "token"))
     return top.withColumn("id", (number + (FIRST_ID - 1)).cast("int"))
 

@@ -17,7 +17,7 @@ from flowloom.operators.labelling import (
     label_dictionary,
     template_of,
 )
-from flowloom.operators.modelling import fit_select, report_test, save_model
+from flowloom.operators.modelling import fit_select, report, save_model
 from flowloom.operators.render import packet_text, session_text, with_feature_text
 from flowloom.operators.sessions import (
     CAPTURE_ORDER,
@@ -195,7 +195,7 @@ def write_splits(
     """Assign splits on ``by`` and ``key`` alone, then fetch the chosen rows."""
     chosen = split_assign(rows.select(*dict.fromkeys([by, *key])), by, key, cap, seed, small)
     picked = rows.join(stage_table(chosen, "splits"), list(dict.fromkeys([by, *key])))
-    write_dataset(picked, f"{output_path}/splits")
+    write_dataset(picked, f"{output_path}/splits", list(dict.fromkeys([by, *key])))
     if csv:
         write_split_files(read_dataset(rows.sparkSession, f"{output_path}/splits"), output_path)
 
@@ -225,9 +225,9 @@ def resplit_dataset(
 
 def train_and_evaluate(
     dataset: DataFrame, key: list[str], model_path: str | None = None
-) -> DataFrame:
-    """Fit on ``train``, choose on ``val``, return the metrics on ``test``."""
+) -> tuple[DataFrame, DataFrame]:
+    """Fit on ``train``, choose on ``val``; metrics and confusion matrix by split, of ``val`` and ``test``."""
     model, _, _ = fit_select(dataset, key)
     if model_path is not None:
         save_model(model, model_path)
-    return report_test(model, dataset, key)
+    return report(model, dataset, key)

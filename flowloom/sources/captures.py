@@ -40,6 +40,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from flowloom.operators.endpoints import HEAD_BYTES
 from flowloom.operators.sessions import CAPTURE_HEADER_BYTES, KEY, RECORD_HEADER_BYTES
 from flowloom.plans.ranks import slice_positions
 from flowloom.plans.staging import join_staged, stage_table
@@ -55,8 +56,6 @@ SNAP_BYTES = 262_144
 
 FORMAT = "flowloom_capture"
 RANGE_BYTES = 64 << 20
-# Bytes of a packet that hold its link, network and transport ports.
-HEAD_BYTES = 256
 # A session file beyond this size goes on in a further part.
 PART_BYTES = 1 << 30
 # A packet row, or the one row that ends each range: ``is_end``, with the number of its packets as

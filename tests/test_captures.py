@@ -164,6 +164,31 @@ def test_link_and_network_layers(spark):
     assert with_endpoints(decoded(spark, [X.ipv4(A, B, segment)], link=9999)).first()["l4"] is None
 
 
+def test_ipv6_headers_ahead_of_the_ports(spark):
+    v6 = bytes(range(16)), bytes(range(16, 32))
+    segment = X.tcp_segment(5000, 443, payload=b"payload")
+    hop = lambda follows, units=0: bytes([follows, units]) + bytes(6 + 8 * units)
+    fragment = lambda follows, offset, more=1: bytes([follows, 0]) + (offset << 3 | more).to_bytes(2, "big") + bytes(4)
+    auth = bytes([6, 4]) + bytes(22)
+    chains = [
+        (0, hop(6), 62),
+        (0, hop(43) + hop(60, 2) + hop(6, 1), 102),
+        (44, fragment(6, 0), 62),
+        (44, fragment(6, 7), None),
+        (60, hop(51) + auth, 86),
+        (0, hop(59), None),
+        (0, b"".join(hop(60) for _ in range(9)) + hop(6), None),
+        (0, hop(6, 30), None),
+    ]
+    frames = [X.ethernet(X.ipv6(*v6, chain + segment, first), 0x86DD) for first, chain, _ in chains]
+    got = with_endpoints(decoded(spark, frames)).orderBy("capture_pos").collect()
+    assert [r["l4"] for r in got] == [want for _, _, want in chains]
+    assert all((r["src_port"], r["dst_port"], r["proto"]) == (5000, 443, 6) for r in got if r["l4"])
+    kept = first_packets(assign_sessions(decoded(spark, frames)))
+    fields = decode_headers(kept).orderBy("capture_pos").collect()
+    assert [(r["tcp_len"], r["tcp_payload"], r["tcp_srcport"]) for r in fields] == [(7, b"payload".hex(), 5000)] * 4
+
+
 def test_packets_without_ports_are_left_out(spark):
     frames = [
         X.ethernet(X.ipv4(A, B, b"\x08\x00\x00\x00", 1)),  # ICMP

@@ -236,6 +236,21 @@ def test_reading_split_files_of_other_tools(spark, tmp_path):
     assert [tuple(r) for r in got] == [('a, "b"', 1, "web", s) for s in datasets.SPLIT_NAMES]
 
 
+def test_resplit_files_are_in_label_order(spark, tmp_path):
+    rows = [(f"t{i}", i % 7, f"c{i % 7}") for i in range(420)]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        jobs.resplit_dataset(spark.createDataFrame(rows, datasets.DATASET_SCHEMA), str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    for split, n in (("train", 336), ("val", 42), ("test", 42)):
+        files = sorted((tmp_path / "out" / "splits" / f"split={split}").glob("*.parquet"))
+        labels = [label for f in files for label in pandas.read_parquet(f)["labels"]]
+        assert labels == sorted(labels) and len(labels) == n
+    assert len(files) > 1
+
+
 def test_resplit_with_equal_rows(spark, tmp_path):
     rows = [("same", 0, "a")] * 700 + [(f"t{i}", 1, "b") for i in range(20)] + [("u", 2, "c")] * 3
     rows += [("v", None, "d")]
@@ -262,8 +277,9 @@ def test_training(spark, tmp_path):
     ]
     df = spark.createDataFrame(rows, "id string, inputs string, labels int, split string")
     path = str(tmp_path / "model")
-    metrics = jobs.train_and_evaluate(df, ["id"], path).first()
-    assert metrics["f1"] == 1.0 and metrics["n"] == 8
+    metrics, confusion = jobs.train_and_evaluate(df, ["id"], path)
+    assert {r["split"]: (r["f1"], r["n"]) for r in metrics.collect()} == {"val": (1.0, 8), "test": (1.0, 8)}
+    assert {r["split"] for r in confusion.collect()} == {"val", "test"}
     from pyspark.ml import PipelineModel
 
     again = predict(PipelineModel.load(path), df.where("split = 'test'"), ["id"])
