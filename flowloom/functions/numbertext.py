@@ -11,12 +11,42 @@ from pyspark.sql import types as T
 _SHORT_TEXT = 16
 
 
+# Whole values up to here are exact decimals of two parts; beyond it the formatter's digits are taken.
+_EXACT_BELOW = float(1 << 93)
+_PART = 1 << 40
+
+
+def _large_text(x: Column) -> Column:
+    """Shortest text of a whole value from 1e16 to ``_EXACT_BELOW``: its exact digits, rounded to 15, 16 or 17 of them."""
+    size = F.abs(x)
+    upper = F.floor(size / _PART).cast("bigint")
+    lower = (size - upper.cast("double") * _PART).cast("bigint")
+    exact = upper.cast("decimal(19,0)") * F.lit(_PART).cast("decimal(13,0)") + lower.cast("decimal(19,0)")
+    digits = exact.cast("string")
+    many = F.length(digits)
+
+    def rounded(n: int, always_up: bool = False) -> Column:
+        """The nearest whole number of ``n`` digits, halves to the even one, or the next above, and the zeros it lacks."""
+        head, rest = F.substring(digits, 1, n).cast("bigint"), F.substring(digits, F.lit(n + 1), many)
+        half = F.rpad(F.lit("5"), many - n, F.lit("0"))
+        up = F.lit(True) if always_up else (rest > half) | ((rest == half) & (head % 2 == 1))
+        return F.concat(F.when(up, head + 1).otherwise(head).cast("string"), F.lit("e"), (many - n).cast("string"))
+
+    # Above a power of two values lie further apart than below it: there the number above may do where the nearest does not.
+    texts = [rounded(15), rounded(15, True), rounded(16), rounded(16, True)]
+    found = F.coalesce(*[F.when(t.cast("double") == size, t) for t in texts], rounded(17))
+    whole, zeros = F.substring_index(found, "e", 1), F.substring_index(found, "e", -1).cast("int")
+    mantissa = F.regexp_replace(F.concat(F.substring(whole, 1, 1), F.lit("."), F.substring(whole, 2, 20)), r"\.?0*$", "")
+    exponent = (F.length(whole) - 1 + zeros).cast("string")
+    return F.concat(F.when(x < 0, "-").otherwise(""), mantissa, F.lit("e+"), exponent)
+
+
 def float_text(x: Column) -> Column:
     """Shortest decimal text: ``10000000.0``, ``1e-05``, ``nan``, ``-inf``.
 
     The JVM may spell a value with more digits than needed, so longer texts are
     replaced by the first of 15, 16 or 17 digits that reads back as the value. From
-    1e16 on, the last digit may rarely differ by one from the closest such text.
+    ``_EXACT_BELOW`` on, the last digit may rarely differ by one from the closest such text.
     """
     x = x.cast("double")
     raw = x.cast("string")
@@ -40,6 +70,7 @@ def float_text(x: Column) -> Column:
             (size == 0) | ((size >= 1e-3) & (size < 1e7) & (F.length(raw) <= _SHORT_TEXT)), raw
         )
         .when((size >= 1e-4) & (size < 1e16), plain)
+        .when((size >= 1e16) & (size < _EXACT_BELOW), _large_text(x))
         .otherwise(F.regexp_replace(shortest, r"\.?0*e", "e"))
     )
 

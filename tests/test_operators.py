@@ -41,6 +41,9 @@ def test_float_text_reads_like_python(spark):
     large = [rng.uniform(1, 10) * 10**p for p in range(16, 300)]
     texts = spark.createDataFrame([(v,) for v in large], "v double").select("v", float_text(F.col("v")))
     assert all(float(text) == v for v, text in texts.collect())
+    whole = [rng.choice((-1, 1)) * 10 ** rng.uniform(16, 27.9) for _ in range(5000)] + [2.0**k for k in range(54, 93)]
+    texts = spark.createDataFrame([(v,) for v in whole], "v double").select("v", float_text(F.col("v")))
+    assert [(v, text) for v, text in texts.collect() if text != repr(v)] == []
 
 
 def test_seconds_text(spark):
