@@ -51,23 +51,51 @@ from flowloom.sources.datasets import (
 _ENDS = ["proto", "src_ip", "src_port", "dst_ip", "dst_port"]
 
 
-def session_index(
+def packet_index(
     spark: SparkSession, input_path: str, class_from: str = "file", filesystem: str | None = None
 ) -> DataFrame:
-    """Packets of raw captures with their session and their place in the file, without their bytes.
+    """Packets of raw captures with their endpoints and their place in the file, and a row per unreadable file.
 
     The class is the base name of a capture; with ``class_from="directory"`` a folder holds all captures of a class,
-    such as rotated ones. Captures are read once, and the staged table is narrow: totals, positions and the choice of
-    packets run on it, and bytes are fetched for the packets that are chosen.
+    such as rotated ones. Captures are read once, and the staged table is narrow: totals, positions, the choice of
+    packets and the count of what is left out run on it, and bytes are fetched for the packets that are chosen.
     """
 
     def shape(rows: DataFrame) -> DataFrame:
-        return with_endpoints(rows).select(*rows.columns, *_ENDS, "l4")
+        return with_endpoints(rows).select(*rows.columns, "ip_version", *_ENDS, "l4")
+
+    return index_captures(spark, input_path, class_from, shape, filesystem=filesystem)
 
-    packets = good_packets(index_captures(spark, input_path, class_from, shape, filesystem=filesystem))
+
+def sessions_of_index(index: DataFrame) -> DataFrame:
+    """The packets of a :func:`packet_index` that have ports, with their session."""
     ends = [F.col(c) for c in ("src_ip", "src_port", "dst_ip", "dst_port")]
-    known = packets.where(F.col("l4").isNotNull())
-    return known.withColumn("flow_key", flow_key(*ends, F.col("proto"))).withColumn("forward", is_forward(*ends)).drop("l4", *_ENDS)
+    known = good_packets(index).where(F.col("l4").isNotNull())
+    keyed = known.withColumn("flow_key", flow_key(*ends, F.col("proto"))).withColumn("forward", is_forward(*ends))
+    return keyed.drop("ip_version", "l4", *_ENDS)
+
+
+def session_index(
+    spark: SparkSession, input_path: str, class_from: str = "file", filesystem: str | None = None
+) -> DataFrame:
+    """Packets of raw captures with their session and their place in the file, without their bytes."""
+    return sessions_of_index(packet_index(spark, input_path, class_from, filesystem))
+
+
+def left_out(index: DataFrame) -> DataFrame:
+    """``class, capture, capture_pos, reason`` of what a :func:`packet_index` has that no session takes.
+
+    One row per unreadable or damaged capture, with the place where reading stopped, and
+    one per packet that is no TCP or UDP packet of a known link type.
+    """
+    damaged = quarantine(index).select("class", "capture", "capture_pos", F.col("error").alias("reason"))
+    unknown = good_packets(index).where(F.col("l4").isNull())
+    reason = F.when(F.col("ip_version").isNull(), "no IP packet of a known link type").otherwise("no TCP or UDP ports")
+    return damaged.unionByName(unknown.select("class", "capture", "capture_pos", reason.alias("reason")))
+
+
+def _count_reasons(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("class", "reason").agg(F.count("*").alias("n"))
 
 
 def _with_bytes(index: DataFrame, filesystem: str | None) -> DataFrame:
@@ -86,11 +114,14 @@ def split_captures(
 ) -> None:
     """Cut raw captures into session files, ``<class>/<class>.pcap.<PROTO>_<ip>_<port>_<ip>_<port>.pcap``.
 
-    Packets are ordered on the index, so bytes move once, to the task that writes their file.
+    Packets are ordered on the index, so bytes move once, to the task that writes their file. Counts by class and
+    reason of what was left out come from the same index, and go to ``_left_out`` beside the files.
     """
-    placed = place_sessions(session_index(spark, input_path, class_from, filesystem), CAPTURE_ORDER, part_bytes)
+    index = packet_index(spark, input_path, class_from, filesystem)
+    placed = place_sessions(sessions_of_index(index), CAPTURE_ORDER, part_bytes)
     # The source's name gives way to that of the session file; the place in the source stays.
     write_session_files(fetch_packets(placed, filesystem), output_path, filesystem)
+    _count_reasons(left_out(index)).write.mode("overwrite").parquet(f"{output_path}/_left_out")
 
 
 def packets_of_captures(
@@ -123,22 +154,9 @@ def packets_of_session_files(spark: SparkSession, flow_path: str, filesystem: st
 def write_quarantine(
     spark: SparkSession, input_path: str, output_path: str, class_from: str = "directory", filesystem: str | None = None
 ) -> DataFrame:
-    """Write what the jobs leave out of the captures below ``input_path``, and return counts by class and reason.
-
-    One row per unreadable or damaged capture, with the place where reading stopped, and
-    one per packet that is no TCP or UDP packet of a known link type.
-    """
-
-    def shape(rows: DataFrame) -> DataFrame:
-        return with_endpoints(rows).select(*rows.columns, "ip_version", "l4")
-
-    packets = index_captures(spark, input_path, class_from, shape, filesystem=filesystem)
-    damaged = quarantine(packets).select("class", "capture", "capture_pos", F.col("error").alias("reason"))
-    unknown = good_packets(packets).where(F.col("l4").isNull())
-    reason = F.when(F.col("ip_version").isNull(), "no IP packet of a known link type").otherwise("no TCP or UDP ports")
-    left_out = damaged.unionByName(unknown.select("class", "capture", "capture_pos", reason.alias("reason")))
-    left_out.write.mode("overwrite").parquet(output_path)
-    return spark.read.parquet(output_path).groupBy("class", "reason").agg(F.count("*").alias("n"))
+    """Write what the jobs leave out of the captures below ``input_path`` (:func:`left_out`), and return counts by class and reason."""
+    left_out(packet_index(spark, input_path, class_from, filesystem)).write.mode("overwrite").parquet(output_path)
+    return _count_reasons(spark.read.parquet(output_path))
 
 
 def session_records(kept: DataFrame, statistics: DataFrame) -> DataFrame:

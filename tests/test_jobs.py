@@ -203,6 +203,8 @@ def test_dataset_build(spark, capture_dir, tmp_path, from_files):
 
 def test_captures_are_cut_into_sessions(spark, capture_dir, tmp_path):
     out = tmp_path / "sessions"
+    X.write(capture_dir / "raw" / "bad.pcap", b"no capture")
+    X.write(capture_dir / "raw" / "arp.pcap", X.capture([(0, X.ethernet(b"\x00\x01" * 14, 0x0806))] * 3))
     jobs.split_captures(spark, str(capture_dir / "raw"), str(out))
     sizes = {p.name: p.stat().st_size for p in (out / "web").iterdir() if not p.name.startswith(".")}
     assert len(sizes) == 13
@@ -210,6 +212,8 @@ def test_captures_are_cut_into_sessions(spark, capture_dir, tmp_path):
     assert packets.where("class = 'web'").count() == 74
     keyed = assign_sessions(packets).withColumn("flow_key", F.col("capture"))
     assert sizes == {r["flow_key"]: r["size_bytes"] for r in session_stats(keyed).where("class = 'web'").collect()}
+    left = {r["class"]: (r["reason"], r["n"]) for r in spark.read.parquet(str(out / "_left_out")).collect()}
+    assert left == {"bad": ("not a capture file", 1), "arp": ("no IP packet of a known link type", 3)}
     kept = jobs.packets_of_session_files(spark, str(out))
     assert kept.select("class", "flow_key").distinct().groupBy("class").count().count() == 2
 
