@@ -43,6 +43,8 @@ TILE = 4096
 # Bits of a row's bitmap.
 BITMAP = 1024
 LOOKUP_BITS = 1 << 27
+# Partners that are compared with one copy of a text.
+MEMBERS = 512
 # N-grams from which common ones are told, and how often one of them is common.
 SAMPLE_GRAMS = 1 << 21
 COMMON = 8
@@ -77,6 +79,10 @@ class GramSets:
         return np.unique(grams.view(np.int64))
 
 
+def _name(grams: np.ndarray) -> bytes:
+    return blake2b(grams.tobytes(), digest_size=16).digest()
+
+
 def head_size(size: Column | int) -> Column | int:
     """How many first columns a row meets similar ones by."""
     part, whole = SIMILAR
@@ -124,7 +130,7 @@ def incidence(docs: DataFrame, words_each: int = WORDS, sample_grams: int = SAMP
                 heads.append(order[: head_size(len(own)) if len(own) else 0].tolist())
             columns = [
                 *part.columns[:2],
-                pa.array([blake2b(m.tobytes(), digest_size=16).digest() for m in made], pa.binary()),
+                pa.array([_name(m) for m in made], pa.binary()),
                 pa.array([len(m) for m in made], pa.int64()),
                 pa.array([bitmap(m) for m in made], pa.binary()),
                 pa.array(heads, pa.list_(pa.int64())),
@@ -181,47 +187,48 @@ def _looked_up(df: DataFrame, key: Column, lookup: DataFrame) -> DataFrame:
     return met.where(byte.bitwiseAND(within) != 0).select(*df.columns)
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, words_each: int) -> DataFrame:
-    """(node, grams) of the ``wanted`` nodes, cut anew from the text of one document each."""
-    asked = nodes.join(wanted.select("node").distinct(), "node", "left_semi").select("node", "at.id", "at.text_hash")
-    asked = stage_table(asked, "asked")
-    hashed = docs.select("id", F.xxhash64("text").alias("text_hash"), "text")
-    found = _looked_up(hashed, F.xxhash64("id", "text_hash"), _lookup(asked.select(F.xxhash64("id", "text_hash").alias("key"))))
+def _similar(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words_each: int) -> DataFrame:
+    """Of ``pairs`` (a, b) of ``nodes`` those whose whole rows overlap enough; rows are cut anew from one text of each node.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = GramSets(words_each)
-        for part in slices(batches):
-            raw = [sets.of(t).tobytes() for t in part.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(raw, pa.binary())], names=["_id", "text_hash", "grams"])
-
-    kind = docs.schema["id"].dataType.simpleString()
-    cut = found.mapInArrow(run, f"_id {kind}, text_hash bigint, grams binary")
-    met = cut.join(asked, (cut["text_hash"] == asked["text_hash"]) & cut["_id"].eqNullSafe(asked["id"]))
-    # Repeated rows lie in one partition of the join.
-    return met.select(asked["text_hash"], "id", "node", "grams").dropDuplicates(["text_hash", "id", "node"]).select("node", "grams")
-
-
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of ``pairs`` (a, b) those whose whole rows overlap enough."""
+    The texts of up to ``MEMBERS`` partners b come to a copy of the text of a, so texts, which are smaller than
+    their rows, are all that moves, and no task holds all partners of a.
+    """
     part, whole = SIMILAR
+    parts = F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts")
+    dealt = stage_table(pairs.join(pairs.groupBy("a").agg(parts), "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts")), "dealt")
+    leaders = dealt.select("a", "part", F.lit(0).alias("role"), F.col("a").alias("node")).distinct()
+    members = dealt.select("a", "part", F.lit(1).alias("role"), F.col("b").alias("node"))
+    key = F.xxhash64("id", "text_hash")
+    known = nodes.select("node", "name", "at.id", "at.text_hash").select("node", "name", key.alias("key"))
+    wanted = stage_table(leaders.unionByName(members).join(known, "node"), "wanted")
+    hashed = docs.select(F.xxhash64("id", F.xxhash64("text")).alias("key"), "text")
+    found = _looked_up(hashed, F.col("key"), _lookup(wanted.select("key"))).join(wanted, "key")
+    # Repeated rows lie in one partition of the join.
+    once = found.dropDuplicates(["key", "a", "part", "role", "node"]).select("a", "part", "role", "node", "name", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches, 1024):
-            left, right = (rows.column(c).to_pylist() for c in (2, 3))
-            # Pairs in turn are rows of one matrix, so the overlaps of all come from one sort.
-            sizes = np.array([(len(x) // 8, len(y) // 8) for x, y in zip(left, right, strict=True)], np.int64).reshape(-1, 2)
-            pair = np.repeat(np.arange(len(left)), sizes.sum(axis=1))
-            grams = np.frombuffer(b"".join(x + y for x, y in zip(left, right, strict=True)), np.int64)
-            order = np.lexsort((grams, pair))
-            grams, pair = grams[order], pair[order]
-            shared = np.bincount(pair[1:][(grams[1:] == grams[:-1]) & (pair[1:] == pair[:-1])], minlength=len(left))
-            close = shared * whole >= part * (sizes.sum(axis=1) - shared)
-            yield pa.RecordBatch.from_arrays([rows.column(c).filter(pa.array(close)) for c in (0, 1)], names=["a", "b"])
-
-    # Few rows are the least of a column: their sets go to the pairs, which bring the other set along.
-    one = sets.select(F.col("node").alias("a"), F.col("grams").alias("one")).join(pairs.select("a").distinct(), "a", "left_semi")
-    two = sets.select(F.col("node").alias("b"), F.col("grams").alias("two"))
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "one", "two").mapInArrow(run, "a bigint, b bigint")
+        sets = GramSets(words_each)
+        for table in _whole_runs(batches, ["a", "part"]):
+            place = np.stack([table.column(c).to_numpy() for c in ("a", "part")])
+            cuts = [0, *(np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1).tolist(), table.num_rows]
+            out = []
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                first = None
+                for role, node, name, text in zip(*(table.column(c).slice(start, end - start).to_pylist() for c in ("role", "node", "name", "text")), strict=True):
+                    own = sets.of(text)
+                    if _name(own) != name:
+                        continue  # another text under the same key
+                    if role == 0:
+                        first = own
+                    elif first is not None:
+                        shared = len(np.intersect1d(first, own, assume_unique=True))
+                        if shared * whole >= part * (len(first) + len(own) - shared):
+                            out.append((int(place[0, start]), node))
+            both = np.array(out, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+    cell = ["a", "part"]
+    return once.repartition(*cell).sortWithinPartitions(*cell, "role").mapInArrow(run, "a bigint, b bigint")
 
 
 def _room(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -334,10 +341,8 @@ def links(docs: DataFrame, nodes: DataFrame, words_each: int = WORDS, tile: int
     rows = stage_table(rows.join(shared, "gram"), "rows")
     least = stage_table(rows.groupBy("gram").agg(F.min("node").alias("least")), "least")
     others = rows.join(least, "gram").where(F.col("node") != F.col("least"))
-    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node"))
     star = stage_table(_room(others.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), nodes), "star")
-    sets = stage_table(_sets(docs, nodes, ends(star), words_each), "sets")
-    edges = stage_table(_similar(star, sets), "star_edges")
+    edges = stage_table(_similar(docs, nodes, star, words_each), "star_edges")
     groups = stage_table(components(edges), "groups")
     # The least row has met all others of its column, and pairs of two rows are done.
     grouped = join_staged(others.where(F.col("n") > 2).select("gram", "node", "least"), groups, ["node"], "left")
@@ -358,8 +363,7 @@ def links(docs: DataFrame, nodes: DataFrame, words_each: int = WORDS, tile: int
     tail = lambda end: F.col(f"size_{end}") - head_size(F.col(f"size_{end}"))
     enough = F.col("gathered") + F.greatest(tail("a"), tail("b")) >= _needed(F.col("size_a"), F.col("size_b"))
     due = stage_table(gathered.join(size("a"), "a").join(size("b"), "b").where(enough).select("a", "b"), "due")
-    more = stage_table(_sets(docs, nodes, ends(due), words_each), "more_sets")
-    return edges.unionByName(stage_table(_similar(due, more), "tile_edges"))
+    return edges.unionByName(stage_table(_similar(docs, nodes, due, words_each), "tile_edges"))
 
 
 def classes(

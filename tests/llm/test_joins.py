@@ -70,8 +70,9 @@ def odd_texts():
 
 
 @pytest.mark.parametrize(("tile", "sample"), [(4096, 1 << 21), (3, 200)])
-def test_similar_sets(spark, docs_of, tile, sample):
+def test_similar_sets(spark, docs_of, monkeypatch, tile, sample):
     rows = odd_texts()
+    monkeypatch.setattr(ngramjoin, "MEMBERS", tile)
     got = ngramjoin.classes(docs_of(rows), tile=tile, sample_grams=sample).collect()
     assert sorted((tuple(r) for r in got), key=str) == classes_by_loops(rows)
 
@@ -82,7 +83,7 @@ def test_crowd_of_copies_makes_few_pairs(spark, docs_of):
     nodes_seen = []
     original = ngramjoin._similar
     try:
-        ngramjoin._similar = lambda pairs, sets: nodes_seen.append(pairs.count()) or original(pairs, sets)
+        ngramjoin._similar = lambda docs, nodes, pairs, size: nodes_seen.append(pairs.count()) or original(docs, nodes, pairs, size)
         got = ngramjoin.classes(docs_of(rows)).collect()
     finally:
         ngramjoin._similar = original
