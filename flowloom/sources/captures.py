@@ -563,16 +563,36 @@ def session_file_name() -> Column:
 def place_sessions(index: DataFrame, order: list[str], part_bytes: int = PART_BYTES) -> DataFrame:
     """``index`` with ``pos`` in its session and the session's file as ``capture``.
 
-    A session beyond ``part_bytes`` goes on in files ``….pcap.part<n>.pcap``. Runs on rows without bytes.
+    A session beyond ``part_bytes`` goes on in files ``….pcap.part<n>.pcap``. Runs on rows without bytes, or, of rows
+    that hold their bytes as ``data``, ranks in ranges only the sessions of several parts: others are not moved.
     """
     size = (F.col("caplen") + RECORD_HEADER_BYTES).cast("long")
+    if "data" not in index.columns:
+        return _in_parts(index, order, size, part_bytes)
+    totals = index.groupBy(*KEY).agg(F.sum(size).alias("_total"))
+    large = stage_table(totals.where(F.col("_total") > part_bytes).select(*KEY), "large")
+    pos = F.row_number().over(Window.partitionBy(*KEY).orderBy(*order))
+    if large.isEmpty():
+        return index.withColumn("pos", pos).withColumn("capture", session_file_name())
+    same = F.col("flow_key").eqNullSafe(F.col("_key")) & F.col("class").eqNullSafe(F.col("_class"))
+    named = large.select(F.col("class").alias("_class"), F.col("flow_key").alias("_key"))
+    short = index.join(named, same, "left_anti").withColumn("pos", pos).withColumn("capture", session_file_name())
+    return short.unionByName(_in_parts(index.join(named, same, "left_semi"), order, size, part_bytes))
+
+
+def _in_parts(index: DataFrame, order: list[str], size: Column, part_bytes: int) -> DataFrame:
     placed = slice_positions(index, KEY, order, running={"_bytes": size})
     part = F.floor(F.col("_bytes") / part_bytes)
     name = F.when(part == 0, session_file_name()).otherwise(F.concat(session_file_name(), F.lit(".part"), part, F.lit(".pcap")))
     return placed.withColumn("capture", name).drop("_bytes")
 
 
-def write_session_files(packets: DataFrame, path: str, filesystem: str | None = None, mode: str = "append") -> None:
-    """Packets with ``capture`` and ``pos`` (:func:`place_sessions`) as ``<path>/<class>/<capture>``."""
-    dealt = packets.repartition("class", "capture").sortWithinPartitions("class", "capture", "pos")
+def write_session_files(
+    packets: DataFrame, path: str, filesystem: str | None = None, mode: str = "append", order: list[str] | None = None
+) -> None:
+    """Packets with ``capture`` and ``pos`` (:func:`place_sessions`) as ``<path>/<class>/<capture>``.
+
+    With ``order``, what ``pos`` was ranked by, no rank has to be made: bytes move once, to the task that writes their file.
+    """
+    dealt = packets.repartition("class", "capture").sortWithinPartitions("class", "capture", *(order or ["pos"]))
     _write(dealt, path, filesystem, mode)
