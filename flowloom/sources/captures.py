@@ -22,6 +22,7 @@ from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -126,20 +127,26 @@ def _file_header(head: bytes) -> tuple[struct.Struct, int, int, int]:
 
 
 def _first_record(file: _Places, row: dict, header: struct.Struct, ticks: int, longest: int) -> int | None:
-    """The first place of a range from which some record headers in a row, or all up to the end, make sense."""
+    """The first place of a range from which some record headers in a row, or all up to the end, make sense.
 
-    def plausible(at: int) -> bool:
+    Zeros, with which short frames are padded, read as headers of empty records, and a header that is read from the
+    wrong place leads beyond the end. Such records count only where no others are found in the room of two long packets.
+    """
+
+    def plausible(at: int, least: int) -> bool:
         for _ in range(_CHAIN):
             head = file.take(at, RECORD_HEADER_BYTES)
             if len(head) < RECORD_HEADER_BYTES:
-                return True
+                return not least or at == row["length"]
             _, fraction, caplen, origlen = header.unpack(head)
-            if fraction >= ticks or caplen > min(origlen, longest):
+            if fraction >= ticks or not least <= caplen <= min(origlen, longest):
                 return False
             at += RECORD_HEADER_BYTES + caplen
         return True
 
-    return next((at for at in range(row["lo"], row["hi"]) if plausible(at)), None)
+    near = min(row["hi"], row["lo"] + 2 * (RECORD_HEADER_BYTES + min(longest, SNAP_BYTES)))
+    found = (at for upto, least in ((near, 1), (row["hi"], 0)) for at in range(row["lo"], upto) if plausible(at, least))
+    return next(found, None)
 
 
 def _read_range(row: dict, head_bytes: int | None, max_packets: int | None, filesystem: str | None) -> Iterator[tuple]:
@@ -310,6 +317,34 @@ def _new_header(link: int) -> bytes:
     return struct.pack("<IHHIIII", 0xA1B2C3D4, 2, 4, 0, 0, SNAP_BYTES, link)
 
 
+def _records(batch: pa.RecordBatch) -> tuple[pa.Buffer, list[int]]:
+    """The packets of a batch as records one after the other, and the places where they begin and the last one ends."""
+    if any(batch.column(c).null_count for c in ("ts_us", "caplen", "origlen", "data")):
+        raise TypeError("a packet without its time, lengths or bytes")
+    n = batch.num_rows
+    ts_us, *sizes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("ts_us", "caplen", "origlen"))
+    if n and min(size.min() for size in sizes) < 0:
+        raise ValueError("a packet of negative length")
+    sec, us = np.divmod(ts_us, 1_000_000)
+    heads = np.stack([sec & 0xFFFFFFFF, us, *sizes], axis=1).astype("<u4")
+    at = pa.py_buffer(np.arange(n + 1, dtype=np.int32) * RECORD_HEADER_BYTES)
+    headers = pa.Array.from_buffers(pa.binary(), n, [None, at, pa.py_buffer(heads)])
+    whole = pc.binary_join_element_wise(headers, batch.column("data").cast(pa.binary()), pa.scalar(b"", pa.binary()))
+    bounds = np.frombuffer(whole.buffers()[1], np.int32, n + 1, whole.offset * 4)
+    return whole.buffers()[2] or pa.py_buffer(b""), bounds.tolist()
+
+
+def _runs(columns: list[pa.Array]) -> Iterator[tuple[int, int]]:
+    """Begin and end of the stretches of rows whose columns stay the same."""
+    n = len(columns[0])
+    changed = np.zeros(max(0, n - 1), bool)
+    for column in columns:
+        if n > 1:
+            changed |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    edges = [0, *(np.flatnonzero(changed) + 1).tolist(), n] if n else []
+    yield from zip(edges, edges[1:])
+
+
 class CaptureWriter(DataSourceArrowWriter):
     """Writes rows (class, capture, ts_us, caplen, origlen, linktype, data) as ``<path>/<class>/<capture>``.
 
@@ -338,8 +373,10 @@ class CaptureWriter(DataSourceArrowWriter):
 
         try:
             for batch in iterator:
-                columns = (batch.column(c).to_pylist() for c in ("class", "capture", "ts_us", "caplen", "origlen", "linktype", "data"))
-                for own, capture, ts_us, caplen, origlen, link, data in zip(*columns, strict=True):
+                records, bounds = _records(batch)
+                names = [batch.column(c).fill_null("None") for c in ("class", "capture")]
+                for first, last in _runs(names):
+                    own, capture = (c[first].as_py() for c in names)
                     target = f"{root}/{own}/{capture}"
                     if target != name:
                         if stream is not None:
@@ -353,9 +390,8 @@ class CaptureWriter(DataSourceArrowWriter):
                             system.create_dir(f"{root}/{own}", recursive=True)
                             folders.add(own)
                         stream = system.open_output_stream(draft, buffer_size=1 << 20)
-                        stream.write(_new_header(link))
-                    sec, us = divmod(ts_us, 1_000_000)
-                    stream.write(struct.pack("<IIII", sec & 0xFFFFFFFF, us, caplen, origlen) + data)
+                        stream.write(_new_header(batch.column("linktype")[first].as_py()))
+                    stream.write(records.slice(bounds[first], bounds[last] - bounds[first]))
             if stream is not None:
                 close()
                 stream = None
@@ -414,7 +450,8 @@ def _read_again(ranges: DataFrame, head_bytes: int, filesystem: str | None) -> D
             for row in batch.to_pylist():
                 yield from _batches(_read_range(row, head_bytes, None, filesystem))
 
-    return ranges.select(*_RANGE).repartition("path", "range_no").mapInArrow(read, RANGE_SCHEMA)
+    # A number of parts of our own: few short rows would be read by one task, and each is a range to read.
+    return ranges.select(*_RANGE).repartition(max(1, ranges.count()), "path", "range_no").mapInArrow(read, RANGE_SCHEMA)
 
 
 def _settled(ends: DataFrame) -> tuple[DataFrame, DataFrame]:

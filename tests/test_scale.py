@@ -37,6 +37,29 @@ def padded_frame(i):
     return X.ethernet(X.ipv4("10.0.0.1", "10.0.0.2", X.udp_datagram(5000, 53, b"%d" % i), 17), pad_to=400)
 
 
+def test_padding_is_no_start_of_a_range(spark, tmp_path, monkeypatch):
+    packets = [(1_700_000_000_000_000 + i, padded_frame(i)) for i in range(200)]
+    X.write(tmp_path / "a.pcap", X.capture(packets))
+    again = []
+    read = captures._read_again
+    monkeypatch.setattr(captures, "_read_again", lambda ranges, *rest: again.append(ranges.count()) or read(ranges, *rest))
+    got = captures.read_captures(spark, str(tmp_path), "file", range_bytes=3000).orderBy("capture_pos").collect()
+    assert [(r["ts_us"], bytes(r["data"])) for r in got] == packets and again == []
+
+
+def test_ranges_of_empty_records_are_found(spark, tmp_path):
+    X.write(tmp_path / "a.pcap", X.capture([(1_700_000_000_000_000 + i, b"") for i in range(300)]))
+    got = captures.index_captures(spark, str(tmp_path), "file", range_bytes=1000)
+    assert [r["ts_us"] - 1_700_000_000_000_000 for r in got.orderBy("capture_pos").collect()] == list(range(300))
+
+
+def test_ranges_that_are_read_again_are_read_by_several_tasks(spark):
+    fields = "class string, capture string, path string, length long, range_no int, lo long, hi long, start long"
+    ranges = spark.createDataFrame([("a", "a", "a", 9, i, 0, 9, 0) for i in range(40)], fields)
+    parts = captures._read_again(ranges, 0, None).rdd.getNumPartitions()
+    assert parts == 40
+
+
 def test_sessions_of_one_file_are_not_ranked_in_ranges(spark, tables, tmp_path, monkeypatch):
     packets = assign_sessions(fixtures.build_frames(spark, tables))
     shown = ["class", "flow_key", "capture", "pos", "pkt_key"]
