@@ -7,6 +7,7 @@ checked against the row.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,8 +62,18 @@ ACK = "ts_us // 60000000 * 200 - l_partkey % 5 * 288000"
 
 
 def _hex(pattern: str, *values: str) -> Column:
-    """Hex digits of SQL integers by a format such as ``%02X%04X``."""
-    return F.format_string(pattern, *[F.expr(v).cast("bigint") for v in values])
+    """Hex digits of SQL integers by a format such as ``%02X%04X``; null where one of them is null."""
+    parts, rest = [], iter(values)
+    for text, width in re.findall(r"([^%]+)|%0(\d)X", pattern):
+        digits = F.lit(text) if text else F.hex(F.expr(next(rest)).cast("bigint"))
+        # Wider numbers keep all their digits.
+        parts.append(digits if text else F.lpad(digits, F.greatest(F.length(digits), F.lit(int(width))), F.lit("0")))
+    return F.concat(*parts)
+
+
+def _apart(rows: DataFrame) -> DataFrame:
+    """The same rows, with their columns ready: what is made of them later is code of its own, short enough for the JVM to compile."""
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
 
 
 def packet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,8 +128,12 @@ def build_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Frames are zero-padded to ``caplen`` as Ethernet pads short frames.
     """
-    rows = packet_rows(spark, sf_dir).withColumn("hdr", F.expr("case when syn = 1 then 24 else 20 end"))
-    addresses = [f"split({c}, '[.]')[{i}]" for c in ("src_ip", "dst_ip") for i in range(4)]
+    values = packet_rows(spark, sf_dir).withColumn("hdr", F.expr("case when syn = 1 then 24 else 20 end"))
+    rows = _apart(values.select(
+        "class", "pkt_key", "ts_us", "caplen", "l_orderkey", "proto", "hdr", "payload", "vlan", "tos", "df", "ttl", "src_ip",
+        "dst_ip", "src_port", "dst_port", "seq", "ack", "cwr", "urg", "ackf", "psh", "rst", "syn", "fin", "win", "shift",
+    ))
+    addresses = [f"substring_index(substring_index({c}, '.', {i + 1}), '.', -1)" for c in ("src_ip", "dst_ip") for i in range(4)]
     l4_bytes = f"(case when proto = {TCP} then hdr else 8 end + length(payload) div 2)"
     ethernet = F.when(F.col("vlan") == 1, "020000000002020000000001810000050800").otherwise(
         "0200000000020200000000010800"
@@ -136,17 +151,22 @@ def build_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("syn") == 1, _hex("010303%02X", "shift")).otherwise(""),
     )
     udp = _hex("%04X%04X%04X0000", "src_port", "dst_port", l4_bytes)
-    frame = F.concat(
-        ethernet, ip, F.when(F.col("proto") == TCP, tcp).when(F.col("proto") == UDP, udp), "payload"
-    )
-    return rows.select(
+    passed = ["class", "pkt_key", "ts_us", "caplen"]
+    networked = _apart(rows.withColumn("_ip", F.concat(ethernet, ip)))
+    transport = F.when(F.col("proto") == TCP, tcp).when(F.col("proto") == UDP, udp)
+    framed = _apart(networked.select(*passed, F.concat("_ip", transport, "payload").alias("frame")))
+    frame, digits = F.col("frame"), F.col("caplen") * 2
+    # A repeated zero is copied in blocks, rpad copies digit by digit.
+    zeros = F.expr("repeat('0', caplen * 2 - length(frame))")
+    padded = F.when(F.length(frame) > digits, F.substring(frame, F.lit(1), digits)).otherwise(F.concat(frame, zeros))
+    return framed.select(
         "class",
         F.concat("class", F.lit(".pcap")).alias("capture"),
         "pkt_key",
         "ts_us",
         "caplen",
         F.col("caplen").alias("origlen"),
-        F.unhex(F.rpad(frame, F.col("caplen") * 2, F.lit("0"))).alias("data"),
+        F.unhex(padded).alias("data"),
     )
 
 

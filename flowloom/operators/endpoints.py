@@ -39,20 +39,26 @@ HEAD_BYTES = 256
 _LATER_FRAGMENT = -1
 
 
-def _next_header(packets: DataFrame) -> DataFrame:
-    """``proto`` and its place ``_at`` in ``_x``, one IPv6 header further on, if it is one that others follow."""
-    x, at, proto = F.col("_x"), F.col("_at"), F.col("proto")
-    units = uint_at(x, at + 1, 1)
-    size = F.when(proto == IPV6_FRAGMENT, 8).when(proto == IPV6_AUTHENTICATION, (units + 2) * 4).otherwise((units + 1) * 8)
-    # The upper 13 bits tell where a fragment lies; only the first one has ports.
-    later = (proto == IPV6_FRAGMENT) & (uint_at(x, at + 2, 2) >= 8)
-    follows = x.isNotNull() & proto.isin(*IPV6_CHAIN)
-    return packets.withColumns(
-        {
-            "proto": F.when(follows, F.when(later, _LATER_FRAGMENT).otherwise(uint_at(x, at, 1))).otherwise(proto).cast("int"),
-            "_at": F.when(follows, at + size).otherwise(at).cast("int"),
-        }
-    )
+def _behind_headers(proto: Column, x: Column) -> Column:
+    """``proto`` and place ``at`` behind the IPv6 headers in the hex digits ``x``, the first of which ``proto`` names.
+
+    A fold, so that what few packets have takes little room in the code that runs for all.
+    """
+    state = "struct<proto:int,at:int>"
+
+    def step(acc: Column, _: Column) -> Column:
+        known, at = acc["proto"], acc["at"]
+        units = uint_at(x, at + 1, 1)
+        size = F.when(known == IPV6_FRAGMENT, 8).when(known == IPV6_AUTHENTICATION, (units + 2) * 4).otherwise((units + 1) * 8)
+        # The upper 13 bits tell where a fragment lies; only the first one has ports.
+        later = (known == IPV6_FRAGMENT) & (uint_at(x, at + 2, 2) >= 8)
+        onward = F.struct(
+            F.when(later, _LATER_FRAGMENT).otherwise(uint_at(x, at, 1)).cast("int").alias("proto"), (at + size).cast("int").alias("at")
+        )
+        return F.when(known.isin(*IPV6_CHAIN), onward.cast(state)).otherwise(acc)
+
+    begin = F.struct(proto.alias("proto"), F.lit(0).alias("at")).cast(state)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_CHAIN_STEPS)), begin, step)
 
 
 def with_endpoints(packets: DataFrame) -> DataFrame:
@@ -89,12 +95,9 @@ def with_endpoints(packets: DataFrame) -> DataFrame:
         .withColumn("proto", uint_at(h, F.when(v4, ip0 + 9).when(v6, ip0 + 6), 1).cast("int"))
         .withColumn("_src", F.when(v4, ip0 + 12).when(v6, ip0 + 8))
         .withColumn("_x", F.when(v6 & proto.isin(*IPV6_CHAIN), F.hex(F.substring("data", ip0 + 41, F.lit(_CHAIN_BYTES)))))
-        .withColumn("_at", F.lit(0))
-    )
-    for _ in range(_CHAIN_STEPS):
-        ended = _next_header(ended)
-    ended = (
-        ended.withColumn("l4", F.when(carried, ip0 + F.when(v6, F.col("_at") + 40).otherwise(ihl)))
+        .withColumn("_behind", F.when(F.col("_x").isNotNull(), _behind_headers(proto, F.col("_x"))))
+        .withColumn("proto", F.when(F.col("_x").isNotNull(), F.col("_behind.proto")).otherwise(proto))
+        .withColumn("l4", F.when(carried, ip0 + F.when(v6, F.coalesce("_behind.at", F.lit(0)) + 40).otherwise(ihl)))
         # A packet cut off before its ports has no transport header for us.
         .withColumn("l4", F.when(F.least(F.octet_length("data"), F.lit(HEAD_BYTES)) >= l4 + 4, l4))
         .withColumn("_p", F.hex(F.substring("data", l4 + 1, F.lit(4))))

@@ -37,6 +37,17 @@ def padded_frame(i):
     return X.ethernet(X.ipv4("10.0.0.1", "10.0.0.2", X.udp_datagram(5000, 53, b"%d" % i), 17), pad_to=400)
 
 
+def test_decoding_is_short_enough_to_be_compiled(spark, tables):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        frames = fixtures.build_frames(spark, tables)
+        assert max(code_sizes(frames)) < COMPILED_BYTES
+        read = spark.createDataFrame([], frames.schema)
+        assert max(code_sizes(assign_sessions(read).groupBy(*KEY).count())) < COMPILED_BYTES
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_padding_is_no_start_of_a_range(spark, tmp_path, monkeypatch):
     packets = [(1_700_000_000_000_000 + i, padded_frame(i)) for i in range(200)]
     X.write(tmp_path / "a.pcap", X.capture(packets))
