@@ -66,7 +66,9 @@ def session_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = session_positions(_sessions(spark, sf_dir), PACKET_ORDER)
+    # Ranges are sampled, so rows are read twice: decoded once, and without their bytes.
+    narrow = stage_table(_sessions(spark, sf_dir).select(*KEY, *PACKET_ORDER), "order")
+    ordered = session_positions(narrow, PACKET_ORDER)
     return ordered.select(*KEY, "pkt_key", F.col("pos").cast("bigint").alias("pos"))
 
 

@@ -40,6 +40,8 @@ def slice_positions(
     offsets = totals.select(
         *[F.col(c).alias(f"_of_{c}") for c in key], *[F.sum(f"_all_{name}").over(earlier).alias(f"_to_{name}") for name in sums]
     )
+    # Only where a group goes on from an earlier range, which is one group a range at most.
+    carry = stage_table(offsets.where(F.col("_to__rows").isNotNull()), "offsets")
     within = Window.partitionBy(*key).orderBy(*order)
     passed = within.rowsBetween(Window.unboundedPreceding, -1)
     ranked = dealt.withColumn("_in__rows", F.row_number().over(within)).withColumns(
@@ -48,7 +50,7 @@ def slice_positions(
     same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in key]
     carried = lambda name: F.coalesce(f"_to_{name}", F.lit(0)) + F.col(f"_in_{name}")
     columns = {pos: carried("_rows"), **{name: carried(name) for name in running or {}}}
-    return ranked.join(offsets, same, "left").withColumns(columns).select(*df.columns, *columns)
+    return ranked.join(carry, same, "left").withColumns(columns).select(*df.columns, *columns)
 
 
 def max_before_slice(

@@ -86,3 +86,11 @@ def test_sessions_of_one_file_are_not_ranked_in_ranges(spark, tables, tmp_path,
     back = captures.first_packets_of_files(spark, f"{tmp_path}/flow").groupBy("capture").agg(F.sort_array(F.collect_list(F.struct("capture_pos", "ts_us"))).alias("got"))
     due = placed.groupBy("capture").agg(F.sort_array(F.collect_list(F.struct(F.col("pos").cast("long") - 1, "ts_us"))).alias("due"))
     assert due.count() == back.count() == due.join(back, "capture").where("cast(got as string) = cast(due as string)").count()
+
+
+def test_positions_are_ranked_without_bytes(spark, tables, monkeypatch):
+    seen = []
+    rank = jobs.session_positions
+    monkeypatch.setattr(jobs, "session_positions", lambda rows, order: seen.append(rows.columns) or rank(rows, order))
+    assert jobs.session_order(spark, tables).count() == 400
+    assert seen == [["class", "flow_key", "ts_us", "pkt_key"]]
