@@ -120,7 +120,13 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same packets with their session, staged as the dataset job stages them."""
-    return staged(spark, sf_dir, "sessions", lambda s, d: assign_sessions(frames(s, d)))
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Frames are not written for this alone; where another query has written them, they are read.
+        known = (spark.sparkContext.applicationId, sf_dir, "frames") in _STAGED
+        return assign_sessions((frames if known else build_frames)(spark, sf_dir))
+
+    return staged(spark, sf_dir, "sessions", build)
 
 
 def build_frames(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,3 +94,9 @@ def test_positions_are_ranked_without_bytes(spark, tables, monkeypatch):
     monkeypatch.setattr(jobs, "session_positions", lambda rows, order: seen.append(rows.columns) or rank(rows, order))
     assert jobs.session_order(spark, tables).count() == 400
     assert seen == [["class", "flow_key", "ts_us", "pkt_key"]]
+
+
+def test_sessions_alone_leave_no_table_of_frames(spark, tables):
+    assert jobs.feature_join(spark, tables).columns == [*KEY, "features"]
+    key = spark.sparkContext.applicationId, tables
+    assert (*key, "sessions") in fixtures._STAGED and (*key, "frames") not in fixtures._STAGED
