@@ -608,7 +608,7 @@ def place_sessions(index: DataFrame, order: list[str], part_bytes: int = PART_BY
         return _in_parts(index, order, size, part_bytes)
     totals = index.groupBy(*KEY).agg(F.sum(size).alias("_total"))
     large = stage_table(totals.where(F.col("_total") > part_bytes).select(*KEY), "large")
-    pos = F.row_number().over(Window.partitionBy(*KEY).orderBy(*order))
+    pos = F.row_number().over(Window.partitionBy(*KEY).orderBy(*order)).cast("long")
     if large.isEmpty():
         return index.withColumn("pos", pos).withColumn("capture", session_file_name())
     same = F.col("flow_key").eqNullSafe(F.col("_key")) & F.col("class").eqNullSafe(F.col("_class"))
