@@ -109,7 +109,7 @@ def staged(
     """A derived table, written once per application and read by every query that needs it."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGED:
-        _STAGED[key] = stage_table(build(spark, sf_dir), name)
+        _STAGED[key] = stage_table(build(spark, sf_dir), name, "zstd")
     return _STAGED[key]
 
 

@@ -254,7 +254,7 @@ def dataset_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pcap_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every packet into captures of its class and back: indexed, placed in its session, fetched by place."""
     path = fresh_path(spark, "captures")
-    write_class_captures(fixtures.frames(spark, sf_dir), path, PACKET_ORDER)
+    write_class_captures(fixtures.frames(spark, sf_dir), path, PACKET_ORDER, compression="zstd")
     placed = session_positions(session_index(spark, path, "directory"))
     return with_endpoints(fetch_packets(placed)).select(
         *KEY, "pos", "ts_us", F.col("caplen").cast("bigint").alias("caplen"),

@@ -7,6 +7,10 @@ read of all packets is an index, narrow rows with their place in the file; range
 from the right place where they began wrong, so it equals a sequential read. Bytes are
 fetched by place for the packets that are wanted.
 
+Captures can be written compressed, as ``*.pcap.zst`` in the seekable zstd format: frames that are compressed each on
+their own and a table of them at the end. Any zstd reader makes the classic file of it, and places count in that file, so
+all that is said of ranges and places holds for both.
+
 Paths are opened by Arrow's file systems (local, HDFS, S3, GCS) on every task. A store that they do not know is
 given as ``filesystem``: the import path ``module:function`` of a function from a path to an Arrow file system and inner path.
 """
@@ -18,6 +22,7 @@ import re
 import struct
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import quote
 
 import numpy as np
@@ -44,7 +49,7 @@ from pyspark.sql.datasource import (
 from flowloom.operators.endpoints import HEAD_BYTES
 from flowloom.operators.sessions import CAPTURE_HEADER_BYTES, KEY, RECORD_HEADER_BYTES
 from flowloom.plans.ranks import slice_positions
-from flowloom.plans.staging import join_staged, stage_table
+from flowloom.plans.staging import dropped_shuffles, join_staged, stage_table
 
 # File magics as (byte order, ticks per second), and the snap length of a file that names none.
 MAGICS = {
@@ -86,6 +91,15 @@ _SMALL_BLOCK = 64 << 10
 _OPEN_COST = 256 << 10
 # Wanted packets with no more bytes between them are fetched together.
 _NEAR = 64 << 10
+# Endings of plain and compressed captures.
+PLAIN, COMPRESSED = ".pcap", ".pcap.zst"
+# Bytes of a capture that are compressed together.
+FRAME_BYTES = 256 << 10
+# Fixed values of the seekable zstd format: the mark of a frame that other readers skip, and of the end of its table.
+_SKIPPED, _TABLE_END = 0x184D2A5E, 0x8F92EAB1
+_FOOTER = struct.Struct("<IBI")
+# Files that are asked at once for their length.
+_ASKED = 32
 
 
 def _file_system(path: str, filesystem: str | None = None) -> tuple[pa.fs.FileSystem, str]:
@@ -109,10 +123,91 @@ class _Places:
 
     def take(self, at: int, size: int) -> bytes:
         if not self.at <= at <= at + size <= self.at + len(self.held):
-            self.stream.seek(at)
-            self.at, self.held = at, self.stream.read(max(size, self.block))
+            self.at, self.held = self._read(at, max(size, self.block))
         return self.held[at - self.at : at - self.at + size]
 
+    def _read(self, at: int, size: int) -> tuple[int, bytes]:
+        self.stream.seek(at)
+        return at, self.stream.read(size)
+
+    def close(self) -> None:
+        self.stream.close()
+
+
+class _FramePlaces(_Places):
+    """The same for a compressed file; places and ``length`` are those of the bytes before they were compressed."""
+
+    def __init__(self, path: str, filesystem: str | None, block: int) -> None:
+        super().__init__(path, filesystem, block)
+        try:
+            self._read_table()
+        except ValueError:
+            self.close()
+            raise
+
+    def _read_table(self) -> None:
+        end = self.stream.size()
+        tail = super()._read(max(0, end - _SMALL_BLOCK), _SMALL_BLOCK)[1]
+        if len(tail) < _FOOTER.size or (footer := _FOOTER.unpack(tail[-_FOOTER.size :]))[2] != _TABLE_END:
+            raise ValueError("not a file in the seekable zstd format")
+        many, entry = footer[0], 12 if footer[1] & 0x80 else 8
+        size = many * entry + _FOOTER.size
+        if len(tail) < size + 8 <= end:
+            tail = super()._read(end - size - 8, size + 8)[1]
+        if len(tail) < size + 8 or struct.unpack_from("<II", tail, len(tail) - size - 8) != (_SKIPPED, size):
+            raise ValueError("damaged table of a compressed file")
+        table = np.frombuffer(tail, "<u4", many * entry // 4, len(tail) - size).reshape(many, entry // 4)
+        self.places, self.begins = (np.concatenate([[0], np.cumsum(table[:, k], dtype=np.int64)]) for k in (0, 1))
+        self.length = int(self.begins[-1])
+        if self.places[-1] != end - size - 8:
+            raise ValueError("damaged table of a compressed file")
+
+    def _read(self, at: int, size: int) -> tuple[int, bytes]:
+        """Whole frames that hold the bytes."""
+        if at >= self.length:
+            return at, b""
+        first, last = int(np.searchsorted(self.begins, at, "right")) - 1, int(np.searchsorted(self.begins, at + size))
+        last = min(last, len(self.begins) - 1)
+        places, begins = self.places[first : last + 1].tolist(), self.begins[first : last + 1].tolist()
+        packed, codec = memoryview(super()._read(places[0], places[-1] - places[0])[1]), pa.Codec("zstd")
+        try:
+            frames = [
+                codec.decompress(packed[lo - places[0] : hi - places[0]], end - begin, asbytes=True)
+                for lo, hi, begin, end in zip(places, places[1:], begins, begins[1:])
+            ]
+        except OSError as problem:
+            raise ValueError(f"damaged frame in the bytes from {begins[0]} to {begins[-1]}") from problem
+        return begins[0], b"".join(frames)
+
+
+def _open(path: str, filesystem: str | None, block: int) -> _Places:
+    return (_FramePlaces if path.endswith(COMPRESSED) else _Places)(path, filesystem, block)
+
+
+class _FrameWriter:
+    """Compresses what is written to a stream, frame by frame, and ends it with the table of frames."""
+
+    def __init__(self, stream: pa.NativeFile) -> None:
+        self.stream, self.codec, self.held, self.table = stream, pa.Codec("zstd"), bytearray(), bytearray()
+
+    def write(self, data: pa.Buffer | bytes) -> None:
+        self.held += memoryview(data)
+        whole = len(self.held) // FRAME_BYTES * FRAME_BYTES
+        self._frames(whole)
+        del self.held[:whole]
+
+    def _frames(self, upto: int) -> None:
+        for at in range(0, upto, FRAME_BYTES):
+            frame = bytes(self.held[at : min(at + FRAME_BYTES, upto)])
+            packed = self.codec.compress(frame, asbytes=True)
+            self.stream.write(packed)
+            self.table += struct.pack("<II", len(packed), len(frame))
+
+    def finish(self) -> None:
+        self._frames(len(self.held))
+        footer = _FOOTER.pack(len(self.table) // 8, 0, _TABLE_END)
+        self.stream.write(struct.pack("<II", _SKIPPED, len(self.table) + len(footer)) + self.table + footer)
+
     def close(self) -> None:
         self.stream.close()
 
@@ -149,16 +244,25 @@ def _first_record(file: _Places, row: dict, header: struct.Struct, ticks: int, l
     return next(found, None)
 
 
-def _read_range(row: dict, head_bytes: int | None, max_packets: int | None, filesystem: str | None) -> Iterator[tuple]:
+def _read_range(
+    row: dict, head_bytes: int | None, max_packets: int | None, filesystem: str | None, min_bytes: int = 0
+) -> Iterator[tuple]:
     """Rows of the records that begin in ``[lo, hi)``, then the row that ends the range.
 
     Without a known ``start`` the first plausible one is taken. Packets ahead of a damaged
-    record are kept; a last record that was cut off while it was written is left out.
+    record are kept; a last record that was cut off while it was written is left out. Without a known ``hi`` the whole
+    file is read, if its length is ``min_bytes`` or more.
     """
-    own = tuple(row[c] for c in _RANGE[:-1])
     start, after, n = row["start"], row["length"], 0
-    file = _Places(row["path"], filesystem, _BLOCK if max_packets is None else _SMALL_BLOCK)
+    own = tuple(row[c] for c in _RANGE[:-1])
+    file = None
     try:
+        file = _open(row["path"], filesystem, _BLOCK if max_packets is None else _SMALL_BLOCK)
+        if row["hi"] is None:
+            if file.length < min_bytes:
+                return
+            row = row | {"length": file.length, "hi": file.length}
+            own = tuple(row[c] for c in _RANGE[:-1])
         header, ticks, longest, link = _file_header(file.take(0, CAPTURE_HEADER_BYTES))
         if start is None:
             start = CAPTURE_HEADER_BYTES if row["range_no"] == 0 else _first_record(file, row, header, ticks, longest)
@@ -185,7 +289,8 @@ def _read_range(row: dict, head_bytes: int | None, max_packets: int | None, file
             start, after = start or 0, row["length"]
             yield *own, start, False, None, n, None, None, None, None, None, None, str(problem)
     finally:
-        file.close()
+        if file is not None:
+            file.close()
     yield *own, start, True, after if start is not None else None, n, None, None, None, None, None, None, None
 
 
@@ -211,11 +316,12 @@ def _whole(value: str | None) -> int | None:
 
 
 class CaptureSource(DataSource):
-    """Spark data source ``flowloom_capture`` of ``*.pcap`` files below ``path``; see ``RANGE_SCHEMA``.
+    """Spark data source ``flowloom_capture`` of ``*.pcap`` and ``*.pcap.zst`` files below ``path``; see ``RANGE_SCHEMA``.
 
     Options: ``class_from`` (``directory`` or ``file``), ``range_bytes`` (0: a file is one range), ``head_bytes``
     (of each packet; none: all), ``max_packets`` (of each file, with ``range_bytes`` 0), ``min_bytes`` (of a file),
     ``parallelism``, ``filesystem`` and, where the session has filter pushdown switched on, ``pushdown``.
+    Lengths, of files as well, are those of the plain capture. Option for writing: ``compression`` (``none`` or ``zstd``).
     """
 
     @classmethod
@@ -229,7 +335,7 @@ class CaptureSource(DataSource):
         return (PushingReader if self.options.get("pushdown") == "true" else CaptureReader)(dict(self.options))
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return CaptureWriter(self.options["path"], self.options.get("filesystem"), overwrite)
+        return CaptureWriter(self.options["path"], self.options.get("filesystem"), overwrite, self.options.get("compression", "none"))
 
 
 class CaptureReader(DataSourceReader):
@@ -244,7 +350,10 @@ class CaptureReader(DataSourceReader):
             raise ValueError("max_packets needs range_bytes 0")
 
     def _files(self) -> Iterator[tuple[str, str, str, int]]:
-        """Class, name, path and size of the captures, without hidden files and folders."""
+        """Class, name, path and size of the captures, without hidden files and folders.
+
+        A compressed capture has the name of the plain one, unless that lies beside it. Its length is found when it is opened.
+        """
         system, inner = _file_system(self.path, self.filesystem)
         top = system.get_file_info(inner)
         if top.type == pa.fs.FileType.NotFound:
@@ -252,19 +361,45 @@ class CaptureReader(DataSourceReader):
         below = [top] if top.is_file else system.get_file_info(pa.fs.FileSelector(inner, recursive=True))
         root = inner.rstrip("/")
         ahead = self.path.rstrip("/")
+        plain = {info.path for info in below if info.is_file and info.base_name.endswith(PLAIN)}
         for info in below:
             local = "" if top.is_file else info.path[len(root) :]
             hidden = any(part.startswith((".", "_")) for part in local.split("/"))
-            if not info.is_file or hidden or not info.base_name.endswith(".pcap"):
+            if not info.is_file or hidden or not info.base_name.endswith((PLAIN, COMPRESSED)):
                 continue
+            packed = info.base_name.endswith(COMPRESSED)
+            bare = info.base_name[: -len(COMPRESSED if packed else PLAIN)]
             folder = info.path.rsplit("/", 2)[-2]
-            own = folder if self.class_from == "directory" else info.base_name[: -len(".pcap")]
-            if info.size >= self.min_bytes and (self.classes is None or own in self.classes):
-                yield own, info.base_name, ahead + local, info.size
+            own = folder if self.class_from == "directory" else bare
+            name = info.base_name if packed and info.path[: -len(COMPRESSED)] + PLAIN in plain else bare + PLAIN
+            if (packed or info.size >= self.min_bytes) and (self.classes is None or own in self.classes):
+                yield own, name, ahead + local, info.size
+
+    def _length(self, path: str, size: int) -> int:
+        """Of a capture; a compressed one that cannot be read is left to the task that opens it, which reports it."""
+        if not path.endswith(COMPRESSED):
+            return size
+        try:
+            file = _open(path, self.filesystem, _SMALL_BLOCK)
+        except ValueError:
+            return size
+        file.close()
+        return file.length
 
     def partitions(self) -> list[InputPartition]:
         ranges, costs = [], []
-        for own, name, path, size in sorted(self._files(), key=lambda f: f[2]):
+        files = sorted(self._files(), key=lambda f: f[2])
+        if self.max_packets is not None:
+            # Of compressed files no more than the beginning is read; the tasks that open them find their lengths.
+            late = [f for f in files if f[2].endswith(COMPRESSED)]
+            files = [f for f in files if not f[2].endswith(COMPRESSED)]
+            ranges += [(*f, 0, 0, None) for f in late]
+            costs += [_OPEN_COST] * len(late)
+        else:
+            with ThreadPoolExecutor(_ASKED) as pool:
+                sizes = pool.map(lambda f: self._length(*f[2:]), files)
+                files = [(*f[:3], size) for f, size in zip(files, sizes, strict=True) if size >= self.min_bytes]
+        for own, name, path, size in files:
             step = self.range_bytes or max(1, size)
             for number, lo in enumerate(range(0, max(1, size), step)):
                 ranges.append((own, name, path, size, number, lo, min(size, lo + step)))
@@ -283,7 +418,7 @@ class CaptureReader(DataSourceReader):
         def rows() -> Iterator[tuple]:
             for item in partition.value:
                 row = dict(zip(_RANGE, (*item, None), strict=True))
-                yield from _read_range(row, self.head_bytes, self.max_packets, self.filesystem)
+                yield from _read_range(row, self.head_bytes, self.max_packets, self.filesystem, self.min_bytes)
 
         yield from _batches(rows())
 
@@ -349,11 +484,14 @@ class CaptureWriter(DataSourceArrowWriter):
     """Writes rows (class, capture, ts_us, caplen, origlen, linktype, data) as ``<path>/<class>/<capture>``.
 
     Rows of a file come one after the other, in one task. A file appears under its name when it is whole; the job's
-    commit adds ``_SUCCESS``, and a job that fails removes the files of the tasks that had finished.
+    commit adds ``_SUCCESS``, and a job that fails removes the files of the tasks that had finished. With
+    ``compression="zstd"`` names end in ``.zst``.
     """
 
-    def __init__(self, path: str, filesystem: str | None, overwrite: bool) -> None:
-        self.path, self.filesystem = path.rstrip("/"), filesystem
+    def __init__(self, path: str, filesystem: str | None, overwrite: bool, compression: str = "none") -> None:
+        if compression not in ("none", "zstd"):
+            raise ValueError(f"no such compression of captures: {compression}")
+        self.path, self.filesystem, self.compressed = path.rstrip("/"), filesystem, compression == "zstd"
         if overwrite:
             system, inner = _file_system(self.path, filesystem)
             system.delete_dir_contents(inner, missing_dir_ok=True)
@@ -366,6 +504,8 @@ class CaptureWriter(DataSourceArrowWriter):
         name = draft = ""
 
         def close() -> None:
+            if self.compressed:
+                stream.finish()
             stream.close()
             if draft != name:
                 system.move(draft, name)
@@ -377,7 +517,7 @@ class CaptureWriter(DataSourceArrowWriter):
                 names = [batch.column(c).fill_null("None") for c in ("class", "capture")]
                 for first, last in _runs(names):
                     own, capture = (c[first].as_py() for c in names)
-                    target = f"{root}/{own}/{capture}"
+                    target = f"{root}/{own}/{capture}" + (".zst" if self.compressed else "")
                     if target != name:
                         if stream is not None:
                             close()
@@ -390,6 +530,8 @@ class CaptureWriter(DataSourceArrowWriter):
                             system.create_dir(f"{root}/{own}", recursive=True)
                             folders.add(own)
                         stream = system.open_output_stream(draft, buffer_size=1 << 20)
+                        if self.compressed:
+                            stream = _FrameWriter(stream)
                         stream.write(_new_header(batch.column("linktype")[first].as_py()))
                     stream.write(records.slice(bounds[first], bounds[last] - bounds[first]))
             if stream is not None:
@@ -537,7 +679,7 @@ def fetch_packets(rows: DataFrame, filesystem: str | None = None, fetch_bytes: i
                 if name != opened:
                     if file is not None:
                         file.close()
-                    file, opened = _Places(name, filesystem, _SMALL_BLOCK), name
+                    file, opened = _open(name, filesystem, _SMALL_BLOCK), name
                 begin = int(offset[at]) + RECORD_HEADER_BYTES
                 # The block grows where the next packets of the file are near.
                 last = int(np.searchsorted(offset[at:], begin + int(size[at]) + _NEAR)) if offset[at:].size > 1 and path[-1] == name else 0
@@ -572,21 +714,25 @@ def quarantine(packets: DataFrame) -> DataFrame:
     )
 
 
-def _write(packets: DataFrame, path: str, filesystem: str | None, mode: str) -> None:
+def _write(packets: DataFrame, path: str, filesystem: str | None, mode: str, compression: str) -> None:
     packets.sparkSession.dataSource.register(CaptureSource)
     link = F.col("linktype") if "linktype" in packets.columns else F.lit(1)
     rows = packets.select("class", "capture", "ts_us", "caplen", "origlen", link.cast("int").alias("linktype"), "data")
-    writer = rows.write.format(FORMAT).mode(mode)
-    (writer.option("filesystem", filesystem) if filesystem else writer).save(path)
+    with dropped_shuffles(packets.sparkSession):
+        writer = rows.write.format(FORMAT).mode(mode).option("compression", compression)
+        (writer.option("filesystem", filesystem) if filesystem else writer).save(path)
 
 
-def write_class_captures(packets: DataFrame, path: str, order: list[str], filesystem: str | None = None, mode: str = "append") -> None:
+def write_class_captures(
+    packets: DataFrame, path: str, order: list[str], filesystem: str | None = None, mode: str = "append", compression: str = "none"
+) -> None:
     """All packets of a class in ``order`` as ``<path>/<class>/part-<n>.pcap``: read by name, the files are in that order.
 
     Rows are dealt out by ranges of (class, order), so neither a class nor its captures end up in one task.
+    ``compression="zstd"`` makes them ``part-<n>.pcap.zst``, which are read alike.
     """
     ranges = packets.repartitionByRange("class", *order).withColumn("capture", F.format_string("part-%06d.pcap", F.spark_partition_id()))
-    _write(ranges.sortWithinPartitions("class", *order), path, filesystem, mode)
+    _write(ranges.sortWithinPartitions("class", *order), path, filesystem, mode, compression)
 
 
 def session_file_name() -> Column:
@@ -625,11 +771,16 @@ def _in_parts(index: DataFrame, order: list[str], size: Column, part_bytes: int)
 
 
 def write_session_files(
-    packets: DataFrame, path: str, filesystem: str | None = None, mode: str = "append", order: list[str] | None = None
+    packets: DataFrame,
+    path: str,
+    filesystem: str | None = None,
+    mode: str = "append",
+    order: list[str] | None = None,
+    compression: str = "none",
 ) -> None:
-    """Packets with ``capture`` and ``pos`` (:func:`place_sessions`) as ``<path>/<class>/<capture>``.
+    """Packets with ``capture`` and ``pos`` (:func:`place_sessions`) as ``<path>/<class>/<capture>``, with ``compression="zstd"`` as ``….zst``.
 
     With ``order``, what ``pos`` was ranked by, no rank has to be made: bytes move once, to the task that writes their file.
     """
     dealt = packets.repartition("class", "capture").sortWithinPartitions("class", "capture", *(order or ["pos"]))
-    _write(dealt, path, filesystem, mode)
+    _write(dealt, path, filesystem, mode, compression)

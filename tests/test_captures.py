@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,3 +298,70 @@ def test_class_captures_are_in_order(spark, tmp_path):
         captures.write_class_captures(packets.repartition(5), str(tmp_path / "out"), ["ts_us"], mode=mode)
     back = rows(captures.read_captures(spark, str(tmp_path / "out")))
     assert [(r["class"], bytes(r["data"])) for r in back] == [(f"c{k}", f) for k in (0, 1) for f in frames[k::2]]
+
+
+def test_compressed_captures_are_read_like_plain_ones(spark, tmp_path):
+    """Files of several frames, read whole, in ranges, by place and no further than their first packets."""
+    frames = [tcp_frame(payload=bytes([i % 251]) * 40, pad_to=900 + i % 70) for i in range(900)]
+    packets = decoded(spark, frames).withColumn("class", F.concat(F.lit("c"), F.col("capture_pos") % 2))
+    plain, packed = tmp_path / "plain", tmp_path / "packed"
+    captures.write_class_captures(packets, str(plain), ["ts_us"])
+    captures.write_class_captures(packets, str(packed), ["ts_us"], compression="zstd")
+    files = {p.relative_to(plain): p for p in plain.rglob("*.pcap")}
+    assert {p.relative_to(packed) for p in packed.rglob("*.pcap.zst")} == {name.with_name(f"{name.name}.zst") for name in files}
+    for name, path in files.items():
+        other = packed / name.with_name(f"{name.name}.zst")
+        with pa.input_stream(str(other), compression="zstd") as stream:
+            assert stream.read() == path.read_bytes()
+        assert other.stat().st_size * 4 < path.stat().st_size
+    without = ["path"]
+    for read in (
+        lambda path: captures.read_captures(spark, path),
+        lambda path: captures.read_captures(spark, path, range_bytes=5000),
+        lambda path: captures.index_captures(spark, path, range_bytes=300_000),
+        lambda path: captures.first_packets_of_files(spark, path),
+        lambda path: captures.first_packets_of_files(spark, path, max_packets=3, min_bytes=20_000),
+    ):
+        assert rows(read(str(packed)).drop(*without)) == rows(read(str(plain)).drop(*without)) != []
+    none = captures.first_packets_of_files(spark, str(packed), max_packets=3, min_bytes=max(p.stat().st_size for p in files.values()) + 1)
+    assert none.count() == 0
+
+
+def test_lengths_of_compressed_files_are_those_of_the_captures(spark, tmp_path):
+    packets = decoded(spark, [tcp_frame(pad_to=700) for _ in range(5)])
+    sized = packets.withColumn("capture", F.when(F.col("capture_pos") < 4, "long.pcap").otherwise("short.pcap")).withColumn("pos", F.col("capture_pos"))
+    captures.write_session_files(sized, str(tmp_path), compression="zstd")
+    assert (tmp_path / "c" / "long.pcap.zst").stat().st_size < 2048
+    switch = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(switch)
+    try:
+        for pushed in ("true", "false"):
+            spark.conf.set(switch, pushed)
+            for asked in (
+                captures.first_packets_of_files(spark, str(tmp_path), min_bytes=2048, max_packets=2),
+                captures.first_packets_of_files(spark, str(tmp_path)).where("length >= 2048 and capture_pos < 2"),
+            ):
+                assert [(r["capture"], r["length"]) for r in rows(asked)] == [("long.pcap", 24 + 4 * 716)] * 2
+    finally:
+        spark.conf.set(switch, before)
+
+
+def test_damaged_compressed_captures_do_not_stop_the_job(spark, tmp_path):
+    packets = decoded(spark, [tcp_frame(payload=bytes([i])) for i in range(5)])
+    captures.write_class_captures(packets.coalesce(1), str(tmp_path), ["ts_us"], compression="zstd")
+    whole = b"".join(p.read_bytes() for p in sorted((tmp_path / "c").glob("*.zst"))[:1])
+    X.write(tmp_path / "cut" / "a.pcap.zst", whole[:-3])
+    X.write(tmp_path / "holes" / "a.pcap.zst", whole[:9] + b"\xff" * 30 + whole[39:])
+    X.write(tmp_path / "none" / "a.pcap.zst", b"")
+    X.write(tmp_path / "two" / "a.pcap.zst", whole)
+    X.write(tmp_path / "two" / "a.pcap", X.capture([(7, tcp_frame())]))
+    index = captures.index_captures(spark, str(tmp_path))
+    assert {r["class"] for r in captures.quarantine(index).collect()} == {"cut", "holes", "none"}
+    good = captures.good_packets(index)
+    assert good.where("class = 'c'").count() == 5
+    names = {r["capture"] for r in good.where("class = 'two'").select("capture").distinct().collect()}
+    assert names == {"a.pcap", "a.pcap.zst"}
+    first = captures.first_packets_of_files(spark, str(tmp_path), max_packets=1)
+    assert {r["class"] for r in first.where("error is not null").collect()} == {"cut", "holes", "none"}
+    with pytest.raises(Exception, match="no such compression"):
+        captures.write_class_captures(packets, str(tmp_path / "more"), ["ts_us"], compression="zip")

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+import time
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from catalog import fixtures, jobs
 from flowloom.operators.sessions import KEY, assign_sessions
+from flowloom.plans.staging import stage_table
 from flowloom.sources import captures
 from tests import frames as X
 
@@ -100,3 +103,29 @@ def test_sessions_alone_leave_no_table_of_frames(spark, tables):
     assert jobs.feature_join(spark, tables).columns == [*KEY, "features"]
     key = spark.sparkContext.applicationId, tables
     assert (*key, "sessions") in fixtures._STAGED and (*key, "frames") not in fixtures._STAGED
+
+
+def stored(path):
+    return sum(p.stat().st_size for p in path.rglob("*.pcap*"))
+
+
+def test_captures_of_the_roundtrip_are_compressed(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "fresh_path", lambda spark, name: f"{tmp_path}/{name}")
+    assert jobs.pcap_roundtrip(spark, tables).count() == 400
+    plain = fixtures.build_frames(spark, tables).agg(F.sum(F.col("caplen") + 16)).first()[0]
+    assert 0 < stored(tmp_path / "captures") * 3 < plain
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    folders = [str(d) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    found = lambda: {p.name for d in folders for p in Path(d).rglob("shuffle_*.data")}
+    before = found()
+    switch = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held = spark.conf.get(switch)
+    rows = spark.range(1000).repartition(4).repartition(3, "id")
+    assert len(stage_table(rows, "rows").collect()) == 1000 and spark.conf.get(switch) == held
+    for _ in range(50):
+        if not found() - before:
+            break
+        time.sleep(0.2)
+    assert found() - before == set()
