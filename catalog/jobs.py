@@ -268,7 +268,7 @@ def session_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every session into a file of its own, and the first packets of the files that are large enough."""
     path = fresh_path(spark, "flow")
     placed = place_sessions(fixtures.sessions(spark, sf_dir), PACKET_ORDER)
-    write_session_files(placed, path, order=PACKET_ORDER)
+    write_session_files(placed, path, order=PACKET_ORDER, compression="zstd")
     kept = packets_of_session_files(spark, path)
     return _ints(kept, "pos", "caplen", "proto").select(
         "class", "capture", "pos", "n_pkts", "ts_us", "caplen", "proto", "src_ip", "dst_ip", "forward"

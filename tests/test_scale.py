@@ -116,6 +116,16 @@ def test_captures_of_the_roundtrip_are_compressed(spark, tables, tmp_path, monke
     assert 0 < stored(tmp_path / "captures") * 3 < plain
 
 
+def test_session_files_are_compressed(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "fresh_path", lambda spark, name: f"{tmp_path}/{name}")
+    got = jobs.session_files(spark, tables)
+    files = captures.first_packets_of_files(spark, f"{tmp_path}/flow", max_packets=1)
+    plain = files.agg(F.sum("length")).first()[0]
+    assert plain == assign_sessions(fixtures.build_frames(spark, tables)).agg(F.sum(F.col("caplen") + 16) + 24 * F.count_distinct(*KEY)).first()[0]
+    assert 0 < stored(tmp_path / "flow") * 2 < plain
+    assert {r["capture"][-5:] for r in got.select("capture").collect()} <= {".pcap"}
+
+
 def test_staged_tables_leave_no_shuffle_files(spark):
     folders = [str(d) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
     found = lambda: {p.name for d in folders for p in Path(d).rglob("shuffle_*.data")}
