@@ -134,9 +134,10 @@ def packets_of_captures(
 def packets_of_session_files(spark: SparkSession, flow_path: str, filesystem: str | None = None) -> DataFrame:
     """Kept packets of ``flow/<class>/*.pcap``, one session per file.
 
-    The size filter runs on the file listing, and a file is read no further than the last packet needed, whatever its
-    size. The key of a session is its file's name: files of the same endpoints stay apart, and so
-    do files whose names tell no endpoints, which get no statistics. Later parts of a session are not read.
+    The size filter runs on the file listing (of compressed files, on the length that their end tells), and a file is
+    read no further than the last packet needed, whatever its size. The key of a session is its file's name: files of
+    the same endpoints stay apart, and so do files whose names tell no endpoints, which get no statistics. Later parts
+    of a session are not read.
     """
     files = first_packets_of_files(
         spark, flow_path, max_packets=FIRST_PACKETS, min_bytes=MIN_CAPTURE_BYTES, filesystem=filesystem
